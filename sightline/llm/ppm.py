@@ -1,4 +1,4 @@
-"""Prediction by partial matching with frozen counts: byte contexts, escape method C, symbol exclusion.
+"""Prediction by partial matching with frozen counts: byte contexts, escape method D, symbol exclusion.
 
 A gram packs ``order`` context symbols and the coded symbol, nine bits each.  Symbols are the 256
 bytes and END; START fills the contexts at the beginning of a text and is never coded.  Counts of
@@ -106,9 +106,9 @@ class Model:
             kinds = np.where(known, level.kinds[node] - fewer, 0).astype(float)
             hit = level.grams.find(gram)
             found = hit >= 0
-            out[left[found]] += np.log2((total[found] + kinds[found]) / level.counts[hit[found]])
+            out[left[found]] += np.log2(2 * total[found] / (2 * level.counts[hit[found]] - 1))
             escape = ~found & (kinds > 0)
-            out[left[escape]] += np.log2((total[escape] + kinds[escape]) / kinds[escape])
+            out[left[escape]] += np.log2(2 * total[escape] / kinds[escape])
             less = np.where(known, level.below[node], 0)[~found]
             fewer = np.where(known, level.kinds[node], 0)[~found]
             left = left[~found]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, packing
+from . import bpe, exact_dedup, language_id, lm_scoring, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path("word_bpe_49k.json"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op8_packing": op8_packing,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
 }
 
