@@ -1,0 +1,158 @@
+"""Repeated fixed-length windows of symbols, found over all documents in bounded memory.
+
+Counting every window of a large corpus one row each would shuffle many times the input.  Windows
+are therefore routed by *anchors*: the anchor of a window is the leftmost k-gram in it with the
+least hash.  Equal windows have equal anchors, so a window whose anchor stands nowhere else cannot
+repeat, and only about two of (window - k + 2) positions are anchors.
+
+The windows of one anchor are consecutive.  Anchors with the same k-gram, the same windows and the
+same bytes are one *class*: all but the first of a class repeat it window for window.  Only the
+first members of k-grams that have several classes (the ends of copied passages) are left, and
+their windows are compared one by one.  No step drops, caps or samples anything.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import BYTES, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
+
+FIELDS = "fp long, cls long, doc_id long, t int, first int, n int"
+
+
+def symbols_of(unit: str, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix hashes of the symbols, bytes or words, of all rows, and the rows' offsets in symbols."""
+    if unit == "byte":
+        return prefix(BYTES[data]), off
+    starts, ends, row = words(data, off)
+    return prefix(rolled(prefix(BYTES[data]), starts, ends)), row
+
+
+def anchors(p: np.ndarray, off: np.ndarray, window: int, k: int):
+    """(row, first, n, fp, cls) of every anchor: its windows start at first ... first + n - 1 in the row."""
+    count = np.maximum(0, np.diff(off) - window + 1)
+    if not count.any():
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
+    at = np.arange(len(p) - k)
+    h = rolled(p, at, at + k)
+    least, place, span, wide = h, at.astype(np.int32), 1, window - k + 1
+    while span < wide:
+        step = min(span, wide - span)
+        a, b = least[:-step], least[step:]
+        place = np.where(a <= b, place[:-step], place[step:])
+        least = np.minimum(a, b)
+        span += step
+    full = np.flatnonzero(count)
+    start = ragged(off[full], count[full])
+    anchor = place[start]
+    change = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    first, n = start[change], np.diff(np.append(change, len(start)))
+    fp = h[anchor[change]]
+    cls = rolled(p, first, first + n + window - 1) ^ mix((anchor[change] - first + 1).astype(U64))
+    row = np.searchsorted(off, first, "right") - 1
+    return row, first - off[row], n, fp, cls
+
+
+class Repeats:
+    """Windows of ``docs`` that also start earlier.
+
+    unit: ``byte`` or ``word``.  within: whether an earlier start in the same document counts; if
+    not, only documents with a smaller doc_id do.  Rows with a null doc_id take no part.
+    """
+
+    #: Classes of a k-gram above which its windows are compared by hash, not together in one task.
+    HOT = 256
+
+    def __init__(self, docs: DataFrame, unit: str, window: int, k: int, within: bool, id_col: str = "doc_id", text_col: str = "text"):
+        self.unit, self.window, self.k, self.within = unit, window, k, within
+        every = identified(docs, id_col, text_col)
+        self.docs = every.select("doc_id", F.hash("text").alias("t"), "text")
+        self.place = F.struct("doc_id", "first") if within else F.col("doc_id")
+
+    def anchor_rows(self) -> DataFrame:
+        unit, window, k = self.unit, self.window, self.k
+
+        def find(batches):
+            for batch in batches:
+                data, off = utf8(batch.column(2))
+                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for i, j in spans(off):
+                    row, first, n, fp, cls = anchors(*symbols_of(unit, data[off[i] : off[j]], off[i : j + 1] - off[i]), window, k)
+                    if len(row):
+                        yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(cls.view(np.int64)), pa.array(ids[i:j][row]), pa.array(tags[i:j][row]), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))], ["fp", "cls", "doc_id", "t", "first", "n"])
+
+        return self.docs.filter("doc_id is not null").mapInArrow(find, FIELDS)
+
+    def classed(self) -> DataFrame:
+        """Anchors whose k-gram repeats: fp, doc_id, t, first, n, later (not the first of its class) and
+        classes (of its k-gram)."""
+        rows = self.anchor_rows()
+        # map-side combined counts; each table that a join reads is stored, so that both sides are
+        # shuffled for that join alone and large partitions can be split
+        count = rows.groupBy("fp").agg(F.count("*").alias("c")) if self.within else rows.groupBy("fp").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        seen = stored(count.filter("c > 1" if self.within else "a < b").select("fp"), "seen")
+        held = stored(rows.join(seen.hint("shuffle_hash"), "fp", "left_semi"), "held")
+        classes = stored(held.groupBy("fp", "cls").agg(F.min(self.place).alias("rep")), "classes")
+        several = stored(classes.groupBy("fp").agg(F.count("*").cast("int").alias("classes")).filter("classes > 1"), "several")
+        told = held.join(classes, ["fp", "cls"]).select("fp", "doc_id", "t", "first", "n", (self.place > F.col("rep")).alias("later"))
+        return stored(told.join(several, "fp", "left"), "classed")
+
+    def with_text(self, rows: DataFrame, *columns: str) -> DataFrame:
+        """(doc_id, t, text, spans): the rows of each document, gathered, next to its text."""
+        some = rows.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct(*columns))).alias("spans"))
+        return self.docs.join(some, ["doc_id", "t"]).select("doc_id", "t", "text", "spans")
+
+    def later_windows(self, rows: DataFrame) -> DataFrame:
+        """(doc_id, t, first, n): windows of the anchors ``rows`` that start earlier too, each compared
+        by the Rabin-Karp hash of all its symbols next to its anchor's hash."""
+        unit, window = self.unit, self.window
+
+        def hashes(batches):
+            for batch in batches:
+                data, off = utf8(batch.column(2))
+                lists = batch.column(3)
+                bounds = lists.offsets.to_numpy().astype(np.int64)
+                flat = lists.flatten()
+                bounds = bounds - bounds[0]
+                first, n, fp = (flat.field(x).to_numpy() for x in ("first", "n", "fp"))
+                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for i, j in spans(off):
+                    p, at = symbols_of(unit, data[off[i] : off[j]], off[i : j + 1] - off[i])
+                    a, b = bounds[i], bounds[j]
+                    row = np.repeat(np.arange(i, j), np.diff(bounds[i : j + 1]))
+                    start = ragged(at[row - i] + first[a:b], n[a:b])
+                    row, mark = np.repeat(row, n[a:b]), np.repeat(fp[a:b], n[a:b])
+                    yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(rolled(p, start, start + window).view(np.int64)), pa.array(ids[row]), pa.array(tags[row]), pa.array((start - at[row - i]).astype(np.int32))], ["fp", "w", "doc_id", "t", "first"])
+
+        found = stored(self.with_text(rows, "first", "n", "fp").mapInArrow(hashes, "fp long, w long, doc_id long, t int, first int"), "windows")
+        place = self.place
+        least = stored(found.groupBy("fp", "w").agg(F.min(place).alias("rep"), F.max(place).alias("last")).filter("rep < last").select("fp", "w", "rep"), "least")
+        return found.join(least.hint("shuffle_hash"), ["fp", "w"]).filter(place > F.col("rep")).select("doc_id", "t", "first", F.lit(1).alias("n"))
+
+
+def merged(first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal intervals covered by windows that start at first ... first + n - 1; first is sorted."""
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    end = np.maximum.accumulate(first + n + window - 1)
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
+    return first[new].astype(np.int64), end[np.append(new[1:] - 1, len(end) - 1)].astype(np.int64)
+
+
+def cut(docs: DataFrame, found: DataFrame, window: int, finish, fields: str) -> DataFrame:
+    """All of ``docs`` (doc_id, t, text) with ``finish(batch, spans of a row)``; spans are (first, end) arrays."""
+    gathered = found.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("spans"))
+
+    def apply(batches):
+        for batch in batches:
+            lists = batch.column(2).fill_null([]) if batch.column(2).null_count else batch.column(2)
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            bounds = bounds - bounds[0]
+            flat = lists.flatten()
+            first, n = flat.field("first").to_numpy(), flat.field("n").to_numpy()
+            yield finish(batch, [merged(first[a:b], n[a:b], window) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+
+    return docs.join(gathered, ["doc_id", "t"], "left").select("doc_id", "text", "spans").mapInArrow(apply, fields)

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, lm_scoring, packing
+from . import bpe, exact_dedup, language_id, lm_scoring, packing, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), bpe.vocabulary_path("byte_bpe_50k.json"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path("word_bpe_49k.json"))
 
@@ -34,14 +42,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": """
+        WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),
+        least AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 49], ' ')) AS first_doc FROM s),
+        gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS p FROM least WHERE first_doc < doc_id),
+        each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
