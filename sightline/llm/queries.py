@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, lm_scoring, packing, substring_dedup, suffix_dedup
+from . import bpe, exact_dedup, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest_fiftieth(table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path("word_bpe_49k.json"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_exact_topk": op6_exact_topk,
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
@@ -65,4 +70,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op6_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= 5""",
 }
