@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, topk
+from . import bpe, exact_dedup, language_id, lm_scoring, minhash, packing, substring_dedup, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest_fiftieth(table(spark, sf_dir, "embeddings"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path("word_bpe_49k.json"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_topk": op6_exact_topk,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
