@@ -68,8 +68,10 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, unit: str, window: int, k: int, within: bool, id_col: str = "doc_id", text_col: str = "text"):
         self.unit, self.window, self.k, self.within = unit, window, k, within
-        every = identified(docs, id_col, text_col)
-        self.docs = every.select("doc_id", F.hash("text").alias("t"), "text")
+        others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+        #: rest: all other columns, for those who want them back
+        self.full = identified(docs.withColumn("__rest", F.struct(*others or [F.lit(0)])), id_col, text_col, "__rest").select("doc_id", F.hash("text").alias("t"), "text", F.col("__rest").alias("rest"))
+        self.docs = self.full.drop("rest")
         self.place = F.struct("doc_id", "first") if within else F.col("doc_id")
 
     def anchor_rows(self) -> DataFrame:
@@ -142,8 +144,9 @@ def merged(first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, n
     return first[new].astype(np.int64), end[np.append(new[1:] - 1, len(end) - 1)].astype(np.int64)
 
 
-def cut(docs: DataFrame, found: DataFrame, window: int, finish, fields: str) -> DataFrame:
-    """All of ``docs`` (doc_id, t, text) with ``finish(batch, spans of a row)``; spans are (first, end) arrays."""
+def cut(docs: DataFrame, found: DataFrame, window: int, finish, fields) -> DataFrame:
+    """All of ``docs`` (doc_id, t, text and maybe more) with ``finish(batch, spans of each row)``; spans are
+    (first, end) arrays, and the batch has doc_id, text, spans and what else ``docs`` has."""
     gathered = found.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("spans"))
 
     def apply(batches):
@@ -155,4 +158,4 @@ def cut(docs: DataFrame, found: DataFrame, window: int, finish, fields: str) ->
             first, n = flat.field("first").to_numpy(), flat.field("n").to_numpy()
             yield finish(batch, [merged(first[a:b], n[a:b], window) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
 
-    return docs.join(gathered, ["doc_id", "t"], "left").select("doc_id", "text", "spans").mapInArrow(apply, fields)
+    return docs.join(gathered, ["doc_id", "t"], "left").select("doc_id", "text", "spans", *[c for c in docs.columns if c not in ("doc_id", "t", "text")]).mapInArrow(apply, fields)

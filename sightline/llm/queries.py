@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, lm_scoring, minhash, packing, substring_dedup, suffix_dedup, topk
+from . import bpe, exact_dedup, language_id, lm_scoring, minhash, packing, quality, substring_dedup, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), bpe.vocabulary_path("byte_bpe_50k.json"))
 
@@ -52,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_topk": op6_exact_topk,

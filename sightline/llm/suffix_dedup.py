@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .anchors import Repeats, cut
 from .common import U64, ragged, stored, utf8
@@ -138,12 +139,12 @@ def repeated_strings(repeats: Repeats, bucket: int = BUCKET) -> DataFrame:
     return known.unionByName(stored(cold, "cold")).unionByName(repeats.later_windows(many))
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET, carry: bool = False) -> DataFrame:
     """One row for each input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, removed.
 
     Strings are judged on the input and never cross documents; overlaps count.  Null, empty and
     shorter texts lose nothing.  kept_sha256 is of the remaining bytes; kept_text is their text, in
-    which a character that is cut in two goes as a whole.
+    which a character that is cut in two goes as a whole.  carry: all other columns, as struct ``rest``.
     """
     repeats = Repeats(docs, "byte", window, gram, within=True, id_col=id_col, text_col=text_col)
 
@@ -161,6 +162,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sizes = np.diff(off)
         span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in kept], np.int64)), pa.array([len(x) for x in removed], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), pa.array(removed, span)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed"])
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[3:]], names[: 7 + carry])
 
-    return cut(repeats.docs, repeated_strings(repeats, bucket), window, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<struct<first: long, end: long>>")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "rest"]
+    span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
+    kinds = [*[T.LongType()] * 4, T.StringType(), T.StringType(), span, repeats.full.schema["rest"].dataType]
+    fields = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)][: 7 + carry])
+    return cut(repeats.full if carry else repeats.docs, repeated_strings(repeats, bucket), window, finish, fields)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs``, all rows and columns, with the repeated strings cut out of its texts; n_chars follows."""
+    cut_ = suffix_dedup(docs, carry=True)
+    new = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut_.select(*[(new[c] if c in new else F.col("rest").getField(c)).alias(c) for c in docs.columns])
