@@ -63,8 +63,8 @@ class Repeats:
     not, only documents with a smaller doc_id do.  Rows with a null doc_id take no part.
     """
 
-    #: Classes of a k-gram above which its windows are compared by hash, not together in one task.
-    HOT = 256
+    #: Windows of a run: how finely the windows of a k-gram with very many surroundings are classed.
+    RUN = 8
 
     def __init__(self, docs: DataFrame, unit: str, window: int, k: int, within: bool, id_col: str = "doc_id", text_col: str = "text"):
         self.unit, self.window, self.k, self.within = unit, window, k, within
@@ -96,12 +96,49 @@ class Repeats:
         # shuffled for that join alone and large partitions can be split
         count = rows.groupBy("fp").agg(F.count("*").alias("c")) if self.within else rows.groupBy("fp").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
         seen = stored(count.filter("c > 1" if self.within else "a < b").select("fp"), "seen")
-        held = stored(rows.join(seen.hint("shuffle_hash"), "fp", "left_semi"), "held")
+        return self.settled(stored(rows.join(seen.hint("shuffle_hash"), "fp", "left_semi"), "held"))
+
+    def settled(self, held: DataFrame) -> DataFrame:
+        """Stored rows (fp, cls, doc_id, t, first, n) with ``later`` and ``classes`` in place of cls."""
         classes = stored(held.groupBy("fp", "cls").agg(F.min(self.place).alias("rep")), "classes")
         several = stored(classes.groupBy("fp").agg(F.count("*").cast("int").alias("classes")).filter("classes > 1"), "several")
         told = held.join(classes, ["fp", "cls"]).select("fp", "doc_id", "t", "first", "n", (self.place > F.col("rep")).alias("later"))
         return stored(told.join(several, "fp", "left"), "classed")
 
+    def finer(self, rows: DataFrame) -> DataFrame:
+        """(doc_id, t, first, n): windows of the anchors ``rows`` that start earlier too.
+
+        For k-grams with very many surroundings.  Their windows are cut into runs of ``RUN`` by the
+        distance to the k-gram, and runs are classed like anchors, so a passage that many documents
+        share costs one row for each run in it.  Only runs over its ends go on window by window."""
+        told = self.settled(stored(self.with_text(rows, "first", "n", "fp").mapInArrow(self.run_finder(), FIELDS), "runs"))
+        known = told.filter("later").select("doc_id", "t", "first", "n")
+        return known.unionByName(self.later_windows(told.filter("not later and classes is not null")))
+
+    def run_finder(self):
+        unit, window, k, run = self.unit, self.window, self.k, self.RUN
+
+        def find(batches):
+            for batch in batches:
+                for p, at, row, first, n, fp, ids, tags in spanned(batch, unit):
+                    # the anchor is the first place at or after the first window's start with its hash
+                    wide = np.full(len(first), window - k + 1)
+                    each = np.repeat(np.arange(len(first)), wide)
+                    places = ragged(at[row] + first, wide)
+                    hit = np.flatnonzero(rolled(p, places, places + k).view(np.int64) == fp[each])
+                    _, lead = np.unique(each[hit], return_index=True)
+                    anchor = places[hit[lead]]
+                    start = ragged(at[row] + first, n)
+                    own = np.repeat(np.arange(len(first)), n)
+                    step = (anchor[own] - start) // run
+                    new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (step[1:] != step[:-1])])) if len(own) else own
+                    head, size, o = start[new], np.diff(np.append(new, len(start))), own[new]
+                    key = mix(fp[o].view(U64) + step[new].astype(U64) + U64(1))
+                    cls = rolled(p, head, head + size + window - 1) ^ mix((anchor[o] - head + 1).astype(U64))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cls.view(np.int64)), pa.array(ids[o]), pa.array(tags[o]), pa.array((head - at[row[o]]).astype(np.int32)), pa.array(size.astype(np.int32))], ["fp", "cls", "doc_id", "t", "first", "n"])
+
+        return find
+
     def with_text(self, rows: DataFrame, *columns: str) -> DataFrame:
         """(doc_id, t, text, spans): the rows of each document, gathered, next to its text."""
         some = rows.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct(*columns))).alias("spans"))
@@ -114,20 +151,9 @@ class Repeats:
 
         def hashes(batches):
             for batch in batches:
-                data, off = utf8(batch.column(2))
-                lists = batch.column(3)
-                bounds = lists.offsets.to_numpy().astype(np.int64)
-                flat = lists.flatten()
-                bounds = bounds - bounds[0]
-                first, n, fp = (flat.field(x).to_numpy() for x in ("first", "n", "fp"))
-                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for i, j in spans(off):
-                    p, at = symbols_of(unit, data[off[i] : off[j]], off[i : j + 1] - off[i])
-                    a, b = bounds[i], bounds[j]
-                    row = np.repeat(np.arange(i, j), np.diff(bounds[i : j + 1]))
-                    start = ragged(at[row - i] + first[a:b], n[a:b])
-                    row, mark = np.repeat(row, n[a:b]), np.repeat(fp[a:b], n[a:b])
-                    yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(rolled(p, start, start + window).view(np.int64)), pa.array(ids[row]), pa.array(tags[row]), pa.array((start - at[row - i]).astype(np.int32))], ["fp", "w", "doc_id", "t", "first"])
+                for p, at, row, first, n, fp, ids, tags in spanned(batch, unit):
+                    start, own = ragged(at[row] + first, n), np.repeat(np.arange(len(first)), n)
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[own]), pa.array(rolled(p, start, start + window).view(np.int64)), pa.array(ids[own]), pa.array(tags[own]), pa.array((start - at[row[own]]).astype(np.int32))], ["fp", "w", "doc_id", "t", "first"])
 
         found = stored(self.with_text(rows, "first", "n", "fp").mapInArrow(hashes, "fp long, w long, doc_id long, t int, first int"), "windows")
         place = self.place
@@ -135,6 +161,21 @@ class Repeats:
         return found.join(least.hint("shuffle_hash"), ["fp", "w"]).filter(place > F.col("rep")).select("doc_id", "t", "first", F.lit(1).alias("n"))
 
 
+def spanned(batch: pa.RecordBatch, unit: str):
+    """Groups of whole rows of (doc_id, t, text, spans): prefix hashes, the rows' symbol offsets, and for
+    each span its row, first, n, fp, doc_id and t."""
+    data, off = utf8(batch.column(2))
+    bounds = batch.column(3).offsets.to_numpy().astype(np.int64)
+    flat, bounds = batch.column(3).flatten(), bounds - bounds[0]
+    first, n, fp = (flat.field(x).to_numpy() for x in ("first", "n", "fp"))
+    ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    for i, j in spans(off):
+        p, at = symbols_of(unit, data[off[i] : off[j]], off[i : j + 1] - off[i])
+        k = slice(bounds[i], bounds[j])
+        row = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+        yield p, at, row, first[k], n[k], fp[k], ids[i:j][row], tags[i:j][row]
+
+
 def merged(first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal intervals covered by windows that start at first ... first + n - 1; first is sorted."""
     if not len(first):

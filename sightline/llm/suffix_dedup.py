@@ -6,9 +6,9 @@ may repeat; all but the first of identical stretches are settled there.  What is
 copies around the ends of repeated passages, is dealt by anchor into buckets of bounded size, so
 that strings that can be equal meet.  A bucket's suffix array, its LCP array and the previous and
 next smaller positions in suffix order give each suffix's longest previous factor; a string whose
-factor reaches ``WINDOW`` starts earlier.  Anchors with very many different surroundings are
-compared by the hash of each string instead, counted with map-side combining, so that no bucket
-grows with a hot passage.
+factor reaches ``WINDOW`` starts earlier.  Anchors with very many different surroundings, such as the
+ends of a passage that a third of all documents hold, would overfill a bucket: their strings are
+compared by hash instead, in runs and then one by one, counted with map-side combining.
 """
 
 from __future__ import annotations
@@ -115,7 +115,9 @@ def repeated_strings(repeats: Repeats, bucket: int = BUCKET) -> DataFrame:
     window = repeats.window
     rows = repeats.classed()
     ends = rows.filter("not later and classes is not null")
-    few, many = ends.filter(F.col("classes") <= repeats.HOT), ends.filter(F.col("classes") > repeats.HOT)
+    # the segments of one k-gram fill a quarter of a bucket at most
+    most = bucket // (8 * window)
+    few, many = ends.filter(F.col("classes") <= most), ends.filter(F.col("classes") > most)
     size = few.agg(F.sum(F.col("n") + (window - 1))).first()[0] or 0
     buckets = max(1, -(-size // bucket))
 
@@ -136,7 +138,7 @@ def repeated_strings(repeats: Repeats, bucket: int = BUCKET) -> DataFrame:
     dealt = repeats.with_text(few.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int")), "first", "n", "bucket")
     cold = dealt.mapInArrow(segments, "bucket int, doc_id long, t int, first int, n int, segment binary").groupBy("bucket").applyInArrow(lambda table: bucket_repeats(table, window), "doc_id long, t int, first int, n int")
     known = rows.filter("later").select("doc_id", "t", "first", "n")
-    return known.unionByName(stored(cold, "cold")).unionByName(repeats.later_windows(many))
+    return known.unionByName(stored(cold, "cold")).unionByName(repeats.finer(many))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET, carry: bool = False) -> DataFrame:
