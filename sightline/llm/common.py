@@ -50,10 +50,15 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at once."""
+    for name, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
+
+
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """(doc_id, h, text): null text is empty; h tells rows apart that share a doc_id.  more: columns to keep."""
-    for name, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):  # what a Python worker holds at once
-        docs.sparkSession.conf.set(f"spark.sql.execution.arrow.{name}", most)
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"), *more)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import Lookup, held_out, identified, spans, utf8
+from .common import Lookup, bounded_batches, held_out, identified, spans, utf8
 
 ORDER = 3
 #: Expected labelled texts a language that are learned from, and the longest of them in characters.
@@ -97,6 +97,19 @@ def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def predictions(scorer: Scorer, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its share of the likelihood."""
+    data, off = utf8(texts)
+    names = np.array([*scorer.names, UNKNOWN], object)
+    pick, score = np.full(len(off) - 1, len(scorer.names)), np.zeros(len(off) - 1)
+    if scorer.names and len(pick):
+        bits = scorer.bits(data, off)
+        letter = has_letter(data, off)
+        pick[letter] = bits.argmin(1)[letter]
+        score[letter] = (1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1))[letter]
+    return names[pick].tolist(), score
+
+
 def language_id(docs: DataFrame, models: dict[str, ppm.Model], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each input row: doc_id, lang_pred, score (the chosen language's share of the
     likelihood, 0 to 1).  Null texts and texts without a letter are ``und`` with score 0, and so is
@@ -105,16 +118,8 @@ def language_id(docs: DataFrame, models: dict[str, ppm.Model], id_col: str = "do
 
     def predict(batches):
         for batch in batches:
-            data, off = utf8(batch.column(1))
-            names = np.array([*scorer.names, UNKNOWN], object)
-            pick, score = np.full(len(off) - 1, len(scorer.names)), np.zeros(len(off) - 1)
-            if scorer.names and len(pick):
-                bits = scorer.bits(data, off)
-                best = bits.min(1)
-                letter = has_letter(data, off)
-                pick[letter] = bits.argmin(1)[letter]
-                score[letter] = (1 / np.exp2(np.maximum(best[:, None] - bits, -1000)).sum(1))[letter]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[pick].tolist(), pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+            lang, score = predictions(scorer, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return identified(docs, id_col, text_col).select("doc_id", "text").mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
@@ -129,7 +134,15 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     return language_id(docs, fit(training_rows(docs))).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, in which a language was found."""
-    known = identify_documents(docs).filter(F.col("lang_pred") != UNKNOWN).select(F.col("doc_id").alias("__known")).distinct()
-    return docs.join(known, F.col("doc_id").cast("long") == F.col("__known"), "left_semi")
+def with_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, in which a language is found; rows pass as they are, without a shuffle."""
+    scorer = Scorer(fit(training_rows(docs)))
+    at = docs.columns.index(text_col)
+    bounded_batches(docs.sparkSession)
+
+    def keep(batches):
+        for batch in batches:
+            lang, _ = predictions(scorer, batch.column(at))
+            yield batch.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

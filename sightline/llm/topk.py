@@ -55,18 +55,17 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
 
 
 def matrix(ids: bytes, data: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and components; integers whose products may pass 2**53 become Python's."""
-    out = np.frombuffer(data, "<f8").reshape(-1, dims)
-    return np.frombuffer(ids, "<i8"), out
+    return np.frombuffer(ids, "<i8"), np.frombuffer(data, "<f8").reshape(-1, dims)
 
 
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products a @ b.T."""
-    most = max(1.0, np.abs(a).max(initial=0)) * max(1.0, np.abs(b).max(initial=0)) * a.shape[1]
+def product(a: np.ndarray, b: np.ndarray, room: int = 1) -> np.ndarray:
+    """Exact integer products a @ b.T; those beyond 64 bits (shared by ``room`` summands) count as the nearest that fits."""
+    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
     if most < 2**53:
         return (a @ b.T).astype(np.int64)
-    x, y = (np.array([[int(c) for c in row] for row in m], object).reshape(m.shape) for m in (a, b))
-    return x @ y.T
+    x, y = (np.array([int(c) for c in m.ravel()], object).reshape(m.shape) for m in (a, b))
+    edge = (2**63 - 1) // room
+    return np.clip(x @ y.T, -edge, edge).astype(np.int64)
 
 
 def bounds(dims: int, lists: int) -> list[tuple[int, int]]:
@@ -89,7 +88,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
 
     Scores are inner products of floor(scale * x); ties go to the smaller vec_id.  Vectors that are
     null or hold a null or non-finite component take no part; vectors of another length than the
-    query aren't compared.  Rows that repeat an id count as rows, and a query meets no row of its id.
+    query aren't compared.  A list's part of a score beyond 64 bits is cut to them.  Rows that repeat an id count as rows, and a query meets no row of its id.
     """
     blocks = stored(packed(quantised(vectors, id_col, vector_col, scale), rows), "vectors")
     asked = stored(packed(quantised(queries, id_col, vector_col, scale), query_rows).withColumn("q", F.monotonically_increasing_id()), "queries")
@@ -104,7 +103,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     def lists_of(ids, data, q_ids, q_data, dims):
         own, v = matrix(ids, data, dims)
         q_own, q = matrix(q_ids, q_data, dims)
-        return own, q_own, [product(q[:, a:b], v[:, a:b]) for a, b in bounds(dims, lists)]
+        return own, q_own, [product(q[:, a:b], v[:, a:b], lists) for a, b in bounds(dims, lists)]
 
     def out(found, names, kinds):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found]) if found else [], t) for i, t in enumerate(kinds)], names)
@@ -118,7 +117,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                     others = np.flatnonzero(own != query)
                     named = np.unique(np.concatenate([others[best(p[i, others], own[others], k)] for p in parts])) if len(others) else others
                     keep = named[best(total[i, named], own[named], k)]
-                    found.append((np.full(len(keep), row["q"]), np.full(len(keep), i), total[i, keep].astype(np.int64)))
+                    found.append((np.full(len(keep), row["q"]), np.full(len(keep), i), total[i, keep]))
                 yield out(found, ["q", "i", "score"], [pa.int64(), pa.int32(), pa.int64()])
 
     def collect(batches):
@@ -134,7 +133,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                     left = np.flatnonzero((most[i] >= least[i]) & (own != query))
                     left = left[total[i, left] >= cut[i]]
                     keep = left[best(total[i, left], own[left], k)]
-                    found.append((np.full(len(keep), query), own[keep], total[i, keep].astype(np.int64)))
+                    found.append((np.full(len(keep), query), own[keep], total[i, keep]))
                 yield out(found, ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.int64()])
 
     near = tiles(None).mapInArrow(first, "q long, i int, score long")
