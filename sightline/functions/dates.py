@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, first_filled, squeeze
+from .text import col, first_filled, let, squeeze
 from .vocabulary import DATE_RANGE, DATE_SINGLE, PLACES
 
 
@@ -17,22 +17,29 @@ def iso(y: Column, m: Column, d: Column) -> Column:
 
 def normalize_date(c: Column | str, year: Column | None = None) -> Column:
     """Y.M.D, or M.D with a year, in dots, slashes or dashes, as an ISO date; else empty."""
-    parts = F.filter(F.split(F.regexp_replace(squeeze(c), "[./]", "-"), "-"), lambda x: F.trim(x) != "")
-    part = lambda i: F.trim(F.get(parts, F.lit(i)))
-    whole = F.when(F.size(parts) == 3, iso(part(0), part(1), part(2)))
-    if year is not None:
-        whole = whole.when((F.size(parts) == 2) & year.isNotNull(), iso(year.cast("string"), part(0), part(1)))
-    return whole.otherwise("")
+
+    def whole(parts: Column) -> Column:
+        part = lambda i: F.trim(F.get(parts, F.lit(i)))
+        out = F.when(F.size(parts) == 3, iso(part(0), part(1), part(2)))
+        if year is not None:
+            out = out.when((F.size(parts) == 2) & year.isNotNull(), iso(year.cast("string"), part(0), part(1)))
+        return out.otherwise("")
+
+    return let(F.filter(F.split(F.regexp_replace(squeeze(c), "[./]", "-"), "-"), lambda x: F.trim(x) != ""), whole)
 
 
 def date_range(c: Column | str) -> tuple[Column, Column]:
     """(start, end) of the first range in a text, whose short end borrows the start's year; else of the first date."""
     text = col(c)
     ranged = text.rlike(DATE_RANGE)
-    start = F.when(ranged, normalize_date(F.regexp_extract(text, DATE_RANGE, 1))).otherwise(normalize_date(F.regexp_extract(text, DATE_SINGLE, 0)))
-    year = F.when(start != "", F.substring(start, 1, 4).try_cast("int"))
-    end = F.when(ranged, normalize_date(F.regexp_extract(text, DATE_RANGE, 2), year)).otherwise("")
-    return start, end
+    first = normalize_date(F.when(ranged, F.regexp_extract(text, DATE_RANGE, 1)).otherwise(F.regexp_extract(text, DATE_SINGLE, 0)))
+
+    def both(start: Column) -> Column:
+        year = F.when(start != "", F.substring(start, 1, 4).try_cast("int"))
+        return F.struct(start.alias("start"), F.when(ranged, normalize_date(F.regexp_extract(text, DATE_RANGE, 2), year)).otherwise("").alias("end"))
+
+    found = let(first, both)
+    return found["start"], found["end"]
 
 
 def parse_iso(c: Column | str) -> Column:

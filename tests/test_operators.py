@@ -75,7 +75,7 @@ def test_html(spark):
     assert page["links"][0]["context"].endswith("header|a") and page["links"][1]["context"].split("|")[-2] == "nav_like"
     assert "x &lt; yz" in page["lines"] and "w" in page["lines"] and "no" not in page["lines"]
     assert [e["exhibition_name"] for e in page["events"]] == ["", "In"] and page["events"][1]["detail_url"] == "https://h.com/dir/x"
-    assert "x < yz\nw" in [b["text"].strip() for b in page["blocks"]]
+    assert "x < y\nz\n\nw" in [b["text"].strip() for b in page["blocks"]]
     assert page["images"] == [{"url": "https://h.com/dir/p.png?x", "alt": "poster one", "title": ""}]
     assert html.read_page("", "", tuple(html.VIEWS))["links"] == [] and html.read_page("<a href='//[x'>y</a", "http://[", ("links",))["links"] == []
 
