@@ -138,7 +138,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
 
     near = tiles(None).mapInArrow(first, "q long, i int, score long")
     kth = near.groupBy("q", "i").agg(F.slice(F.sort_array(F.collect_list("score"), False), 1, k).alias("s"))
-    lowest = -(1 << 62)
+    lowest = -(1 << 63) + 1
     cuts = kth.select("q", "i", F.when(F.size("s") < k, F.lit(lowest)).otherwise(F.element_at("s", -1)).alias("cut"))
 
     def table(batches):
