@@ -47,10 +47,12 @@ def outcomes(pages: DataFrame, events: DataFrame, failures: DataFrame, today: Co
 
     pages: page, and columns to carry; events: page and the event fields; failures: page and its
     summary.  A page whose valid events are all over is ``filtered``; else it is ``failed``."""
-    valid = events.filter(is_valid())
-    current = valid.filter(D.is_current("start_date", "end_date", today))
-    n_valid = valid.groupBy(page).agg(F.count("*").alias("__valid"))
-    out = pages.select(page, *carry).join(failures, page, "left").join(n_valid, page, "left").join(current, page, "left")
+    fields = ("exhibition_name", "start_date", "end_date", "location", "detail_url")
+    current = D.is_current("start_date", "end_date", today)
+    # one pass over the events: what a page has, gathered by page
+    had = events.filter(is_valid()).groupBy(page).agg(F.count("*").alias("__valid"), F.collect_list(F.when(current, F.struct(*fields))).alias("__events"))
+    out = pages.select(page, *carry).join(failures, page, "left").join(had, page, "left")
+    out = out.withColumn("__event", F.explode_outer("__events")).withColumns({c: F.col(f"__event.{c}") for c in fields})
     ok = F.col("exhibition_name").isNotNull()
     gone = F.coalesce("__valid", F.lit(0)) > 0
     shown = lambda c, over, none: F.when(ok, T.col(c)).otherwise(T.first_filled(c, F.when(gone, over).otherwise(none)))

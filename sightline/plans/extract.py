@@ -28,9 +28,8 @@ FIELDS = ("exhibition_name", "start_date", "end_date", "location", "detail_url")
 
 def page_events(pages: DataFrame, stage: int, o: Options, column: str = "page") -> DataFrame:
     """JSON-LD events, then block events, of parsed pages: list_url, position and the event fields."""
-    linked = H.linked_event_rows(pages, ["list_url"], f"{column}.events").withColumn("position", F.lit(stage << 32) + F.col("position"))
-    blocks = H.block_events(pages, ["list_url"], "final_url", f"{column}.blocks", o.rules).withColumn("position", F.lit((stage << 32) + (1 << 31)) + F.col("position"))
-    return linked.unionByName(blocks)
+    rows = H.page_event_rows(pages, ["list_url"], "final_url", column, o.rules)
+    return rows.withColumn("position", F.lit(stage << 32) + F.col("position"))
 
 
 def ocr_page_events(pages: DataFrame, images: DataFrame, stage: int, o: Options) -> DataFrame:

@@ -18,7 +18,7 @@ from .functions import urls as U
 from .functions import vocabulary as V
 from .operators import dedup, html, ranking, records, scoring
 from .plans import classify, collect, discover, extract, release
-from .session import table
+from .session import spread, table
 from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,7 +120,7 @@ CONTEXT = "html|head|body|nav|ul|li|a"
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
     """Every link of every page: page_id, base, at, href, text, context, url."""
-    pages = table(spark, sf, "pages").select("page_id", F.col("url").alias("base"), html.parsed("html", "url", ("links",)).alias("page"))
+    pages = spread(table(spark, sf, "pages")).select("page_id", F.col("url").alias("base"), html.parsed("html", "url", ("links",)).alias("page"))
     return pages.select("page_id", "base", F.posexplode("page.links").alias("at", "link")).select("page_id", "base", "at", "link.*")
 
 
@@ -243,18 +243,18 @@ def internal_links(spark, sf):
 
 @query(f"SELECT page_id, left({squeeze_sql(entity_sql("regexp_extract(html, '<title>(.*?)</title>', 1)"))}, 300) AS title, left({squeeze_sql(entity_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1)"))}, 500) AS headings FROM pages")
 def page_title_headings(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.parsed("html", "url", ("title", "headings")).alias("p")).select("page_id", "p.title", "p.headings")
+    return spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("title", "headings")).alias("p")).select("page_id", "p.title", "p.headings")
 
 
 @query()
 def page_visible_lines(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", html.parsed("html", "url", ("lines",)).alias("p"))
+    pages = spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("lines",)).alias("p"))
     return pages.select("page_id", F.posexplode("p.lines").alias("at", "line"))
 
 
 @query()
 def page_blocks(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", html.parsed("html", "url", ("blocks",)).alias("p"))
+    pages = spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("blocks",)).alias("p"))
     return pages.select("page_id", F.posexplode("p.blocks").alias("at", "b")).select("page_id", "at", "b.tag", "b.depth", F.size("b.links").alias("n_links"), F.size(T.split_lines("b.text")).alias("n_lines"))
 
 
@@ -265,7 +265,7 @@ _order_page = f"""'<html><head><script type="application/ld+json">{{"@graph": [{
 @query("""SELECT o_orderkey, 'Sale ' || o_orderkey AS exhibition_name, strftime(o_orderdate, '%Y-%m-%d') AS start_date, strftime(make_date(year(o_orderdate), month(o_orderdate + INTERVAL 10 DAY), day(o_orderdate + INTERVAL 10 DAY)), '%Y-%m-%d') AS end_date,
     'Hall ' || o_custkey || ' 1 Road X' AS location, 'https://shop.example.com/e/' || o_orderkey AS detail_url FROM orders""")
 def jsonld_events(spark, sf):
-    pages = table(spark, sf, "orders").select("o_orderkey", html.parsed(F.expr(_order_page), F.lit("https://shop.example.com/list"), ("events",)).alias("page"))
+    pages = spread(table(spark, sf, "orders")).select("o_orderkey", html.parsed(F.expr(_order_page), F.lit("https://shop.example.com/list"), ("events",)).alias("page"))
     return html.linked_event_rows(pages, ["o_orderkey"]).drop("position")
 
 
@@ -278,7 +278,7 @@ _part_page = """'<body><img src="/i/' || p_partkey || CASE WHEN p_partkey % 2 =
     s AS (SELECT *, (CASE WHEN contains(m, 'red') OR contains(m, 'large') THEN 45 ELSE 0 END + CASE WHEN contains(m, 'ring') THEN 25 ELSE 0 END + CASE WHEN regexp_matches(lower(url), '\\.(png|jpg|jpeg|webp|gif)($|[?#])') THEN 10 ELSE 0 END + CASE WHEN length(alt) >= 6 THEN 10 ELSE 0 END + CASE WHEN length(title) >= 6 THEN 10 ELSE 0 END) / 100.0 AS score FROM m)
     SELECT p_partkey, url, alt, title, CAST(score AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, pos) AS INTEGER) AS rank FROM s""")
 def image_candidates(spark, sf):
-    pages = table(spark, sf, "part").select("p_partkey", html.parsed(F.expr(_part_page), F.lit("https://p.example.com/"), ("images",)).alias("page"))
+    pages = spread(table(spark, sf, "part")).select("p_partkey", html.parsed(F.expr(_part_page), F.lit("https://p.example.com/"), ("images",)).alias("page"))
     return html.image_candidates(pages, ["p_partkey"], rules=EVENTS).drop("position")
 
 
@@ -300,7 +300,7 @@ def robots_sitemaps(spark, sf):
 
 @query(f"SELECT doc_id, md5({squeeze_sql('text')}) AS normal, CAST(length({squeeze_sql('text')}) AS INTEGER) AS n FROM documents")
 def text_normalize(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(T.squeeze("text").cast("binary")).alias("normal"), F.length(T.squeeze("text")).alias("n"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.md5(T.squeeze("text").cast("binary")).alias("normal"), F.length(T.squeeze("text")).alias("n"))
 
 
 _lines_sql = f"list_filter(list_transform(regexp_split_to_array(replace(text, chr(13), chr(10)), '[\\n|•·]+'), lambda x: {squeeze_sql('x')}), lambda x: x <> '')"
@@ -309,13 +309,13 @@ _lines_sql = f"list_filter(list_transform(regexp_split_to_array(replace(text, ch
 @query(f"WITH l AS (SELECT doc_id, {_lines_sql} AS l FROM documents) SELECT doc_id, CAST(len(l) AS INTEGER) AS n, md5(array_to_string(l, chr(10))) AS lines FROM l")
 def text_split_lines(spark, sf):
     lines = T.split_lines("text")
-    return table(spark, sf, "documents").select("doc_id", F.size(lines).alias("n"), F.md5(F.array_join(lines, "\n").cast("binary")).alias("lines"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.size(lines).alias("n"), F.md5(F.array_join(lines, "\n").cast("binary")).alias("lines"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, regexp_split_to_array(lower({squeeze_sql('text')}), '[^0-9a-zA-Z가-힣]+') AS l FROM documents), u AS (SELECT doc_id, unnest(l) AS w, unnest(range(len(l))) AS i FROM t),
     f AS (SELECT doc_id, w, min(i) AS i FROM u WHERE length(w) >= 2 GROUP BY ALL) SELECT doc_id, count(*) AS n, md5(string_agg(w, ' ' ORDER BY i)) AS tokens FROM f GROUP BY 1""")
 def text_tokens(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", T.tokens("text").alias("t")).filter(F.size("t") > 0)
+    rows = spread(table(spark, sf, "documents")).select("doc_id", T.tokens("text").alias("t")).filter(F.size("t") > 0)
     return rows.select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ").cast("binary")).alias("tokens"))
 
 
@@ -329,7 +329,7 @@ WORDS = ("tion", "ing", "ée", "über", "the", "zzz")
 
 @query(f"SELECT doc_id, array_to_string({hits_sql('lower(text)', WORDS)}, '|') AS hits FROM documents")
 def keyword_hits(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.keyword_hits(WORDS, "text").alias("hits"))
+    return spread(table(spark, sf, "documents")).select("doc_id", T.keyword_hits(WORDS, "text").alias("hits"))
 
 
 PATTERNS = ("^the", "tion.*ing", "[0-9]{3}", "é+a", "MIT licen[cs]e")
@@ -337,7 +337,7 @@ PATTERNS = ("^the", "tion.*ing", "[0-9]{3}", "é+a", "MIT licen[cs]e")
 
 @query(f"SELECT doc_id, array_to_string({hits_rx('text', PATTERNS)}, ';') AS hits FROM documents")
 def pattern_hits(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(T.pattern_hits(F.col("text"), PATTERNS), ";").alias("hits"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.array_join(T.pattern_hits(F.col("text"), PATTERNS), ";").alias("hits"))
 
 
 # --- Venues -----------------------------------------------------------------------------------
@@ -476,7 +476,7 @@ _names_sql = f"""
 
 @query(_names_sql + " SELECT c.conv_id, c.turn, CASE WHEN b.score >= 30 THEN b.x ELSE '' END AS event_name FROM conversations c LEFT JOIN b USING (conv_id, turn)")
 def best_event_name(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", html.event_name(T.split_lines("text"), F.array().cast("array<string>"), EVENTS).alias("event_name"))
+    return spread(table(spark, sf, "conversations")).select("conv_id", "turn", html.event_name(T.split_lines("text"), F.array().cast("array<string>"), EVENTS).alias("event_name"))
 
 
 @query(f"""WITH l AS ({LINKS_SQL}), t AS (SELECT page_id, lower(regexp_replace({squeeze_sql(entity_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1)"))}, '[^0-9a-zA-Z가-힣]+', ' ', 'g')) AS name FROM pages),
@@ -485,7 +485,7 @@ def best_event_name(spark, sf):
     b AS (SELECT page_id, arg_max(url, score * 10000 - i) AS url FROM s GROUP BY 1), f AS (SELECT page_id, arg_min({FULL_SQL}, l.at) AS url FROM l GROUP BY 1)
     SELECT f.page_id, coalesce(b.url, f.url) AS detail_url FROM f LEFT JOIN b USING (page_id)""")
 def best_detail_link(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url", html.parsed("html", "url", ("headings", "links")).alias("p"))
+    pages = spread(table(spark, sf, "pages")).select("page_id", "url", html.parsed("html", "url", ("headings", "links")).alias("p"))
     return pages.filter(F.size("p.links") > 0).select("page_id", html.detail_url(F.col("p.links"), F.col("url"), F.regexp_extract("p.headings", "^(.*)$", 1), EVENTS).alias("detail_url"))
 
 
@@ -642,6 +642,6 @@ def extract_pipeline(spark, sf):
     url = F.concat(F.lit("https://shop.example.com/list/"), "o_orderkey")
     # the event's own page is the list page, and its end lies in the start's year, at its end at the latest
     page = F.expr(_order_page.replace("date_format(o_orderdate + interval 10 days, 'M/d')", "'12/31'").replace("/e/", "/list/"))
-    snapshots = table(spark, sf, "orders").select(url.alias("url"), url.alias("final_url"), F.lit("ok").alias("status"), F.lit("200").alias("http_status"), F.lit("text/html").alias("content_type"), page.alias("text"), F.lit("").alias("error"))
+    snapshots = spread(table(spark, sf, "orders")).select(url.alias("url"), url.alias("final_url"), F.lit("ok").alias("status"), F.lit("200").alias("http_status"), F.lit("text/html").alias("content_type"), page.alias("text"), F.lit("").alias("error"))
     out = extract.extract(snapshots.select(F.col("url").alias("list_url")), snapshots, F.lit("1998-01-01").cast("date"))
     return out.select("source_list_url", "exhibition_name", "status", "failure_stage", "start_date")

@@ -2,16 +2,48 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once an application, so that functions that
+    are pickled by their module's name are found wherever a worker runs."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="sightline-"), "sightline.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"{root.name}/{source.relative_to(root)}")
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
 
 def session(cpus: int | str = "*", name: str = "sightline", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
     settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
     for k, v in (settings | conf).items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df):
+    """``df`` dealt out if it has fewer splits than the session has cores, before costly work on each row.
+
+    A large input has more splits than there are cores and passes as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

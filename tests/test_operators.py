@@ -65,7 +65,7 @@ def test_failures_and_first_hit(spark):
 
 PAGE = """<html><head><title>T &amp; U</title><meta name="Description" content=" d "><script type="application/ld+json">[{"@type":"event","name":null,"startDate":"2024-01-02T10","endDate":"1/9","location":"L","sub":{"@type":"Event","name":"In","url":"x"}},{"@type":["Event"]}]</script>
 <script type="application/ld+json">{bad</script></head><body><header id=top><a href="/a">One</a></header><div class="gnb big"><a href="b?x=1">Two <b>2</b></a></div>
-<ul><li>Grand tion 2024.3.1 ~ 3.9 <a href="/view?id=1">Grand tion</a></li><li>x &amp;lt; y<br>z<br/>w</li></ul><noscript>no</noscript><img src=" "><img data-src="p.png?x" alt="poster one"></body>"""
+<ul><li>Grand tion 2024.3.1 ~ 3.9 <a href="/view?id=1">Grand tion</a></li><li>x &amp;lt; y<br>z<br/>w</li></ul><noscript>no</noscript><img src=""><img data-src="p.png?x" alt="poster one"></body>"""
 
 
 def test_html(spark):
