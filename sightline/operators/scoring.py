@@ -200,11 +200,11 @@ def ocr_score(text: Column, rules: V.EventRules | None = None) -> Column:
     return F.when(line == "", 0.0).otherwise(F.least(F.lit(1.0), score))
 
 
-def best_ocr_text(variants: DataFrame, key: str, text: str = "text", position: str = "pos") -> DataFrame:
+def best_ocr_text(variants: DataFrame, key: str, text: str = "text", position: str = "pos", rules: V.EventRules | None = None) -> DataFrame:
     """The best recognised text of each key: score, then length, then the first."""
     line = T.squeeze(text)
     rows = variants.filter(line != "")
-    return rows.groupBy(key).agg(F.max_by(F.col(text), F.struct(ocr_score(F.col(text)), F.length(line), -F.col(position))).alias(text))
+    return rows.groupBy(key).agg(F.max_by(F.col(text), F.struct(ocr_score(F.col(text), rules), F.length(line), -F.col(position))).alias(text))
 
 
 def url_check(checked: DataFrame, snapshots: DataFrame, keywords: tuple = V.PAGE_KEYWORDS, only_candidates: bool = True) -> DataFrame:

@@ -19,6 +19,7 @@ from .functions import vocabulary as V
 from .operators import dedup, html, ranking, records, scoring
 from .plans import classify, collect, discover, extract, release
 from .session import spread, table
+from .sources.search import official_site_query
 from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,6 +239,19 @@ def internal_links(spark, sf):
     return links.groupBy("page_id").agg(F.count("*").alias("n_links"), F.count_distinct("u").alias("n_urls"), F.min("u").alias("first_url"))
 
 
+@query(f"SELECT page_id, regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || unnest([{', '.join(map(lit, V.LIKELY_PATHS))}]) AS url FROM pages")
+def url_common_paths(spark, sf):
+    home = table(spark, sf, "pages").select(F.col("page_id").alias("venue_index"), F.lit("x").alias("homepage_url"), F.col("url").alias("final_homepage"))
+    return discover.from_common_paths(home).select(F.col("venue_index").alias("page_id"), "url")
+
+
+@query(f"SELECT page_id, CASE page_id % 3 WHEN 0 THEN {clean_sql('url')} WHEN 1 THEN 'https://own' || page_id || '.example.com' ELSE '' END AS homepage, trim(CASE page_id % 3 WHEN 2 THEN '' ELSE 'T' || page_id END || ' Road ' || page_id || ' official') AS query FROM pages")
+def url_homepage(spark, sf):
+    rows = table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(" ").alias("verified_url"), F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("own"), "page_id", F.lit(".example.com#x"))).otherwise("https://").alias("link"))
+    title = F.when(F.col("page_id") % 3 != 2, F.concat(F.lit("T"), "page_id"))
+    return rows.select("page_id", U.homepage("verified_url", "link").alias("homepage"), official_site_query(title, F.concat(F.lit(" Road  "), "page_id"), "official").alias("query"))
+
+
 # --- HTML -------------------------------------------------------------------------------------
 
 
@@ -547,6 +561,21 @@ def ocr_scores(spark, sf):
     return table(spark, sf, "part").select("p_partkey", scoring.ocr_score(F.concat_ws("  ", "p_name", "p_type"), EVENTS).alias("score"))
 
 
+@query("""WITH v AS (SELECT p_brand, p_partkey, p_name || CASE WHEN p_partkey % 5 = 0 THEN ' station' ELSE '' END AS t FROM part WHERE p_partkey % 9 <> 0),
+    s AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY least(length(t) / CAST(120.0 AS DOUBLE), 0.35) + (CASE WHEN contains(t, 'tion') THEN 20 ELSE 0 END + CASE WHEN contains(t, 'blue') THEN 15 ELSE 0 END) / CAST(100.0 AS DOUBLE) DESC, length(t) DESC, p_partkey) AS k FROM v)
+    SELECT p_brand, t AS text FROM s WHERE k = 1""")
+def ocr_best_variant(spark, sf):
+    text = F.when(F.col("p_partkey") % 9 == 0, "  ").otherwise(F.concat("p_name", F.when(F.col("p_partkey") % 5 == 0, " station").otherwise("")))
+    return scoring.best_ocr_text(table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("pos"), text.alias("text")), "p_brand", rules=EVENTS)
+
+
+@query("SELECT p_partkey, CASE WHEN contains(lower(p_name), lower(p_type)) THEN p_name ELSE p_type || ' ' || p_name END AS name FROM part")
+def event_closest(spark, sf):
+    event = lambda c: F.struct(c.alias("exhibition_name"))
+    events = F.array(event(F.col("p_name")), event(F.concat_ws(" ", "p_type", "p_name")), event(F.lit("other")))
+    return table(spark, sf, "part").select("p_partkey", html.closest_event(events, F.col("p_type"))["exhibition_name"].alias("name"))
+
+
 @query("""SELECT item_id, left(regexp_extract(text, '^([^\\n]*)', 1), 120) AS event_name, left(text, 300) AS description, '2024-05-0' || (1 + item_id % 9) AS start_date, CASE WHEN contains(text, 'ing') THEN '0.85' ELSE '0.65' END AS confidence FROM benchmark""")
 def social_events(spark, sf):
     posts = table(spark, sf, "benchmark").select(F.concat(F.lit("p"), "item_id").alias("post_url"), F.col("text").alias("caption"), F.concat(F.lit("on 2024.5."), 1 + F.col("item_id") % 9).alias("ocr_text"))

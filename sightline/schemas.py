@@ -16,6 +16,4 @@ FAILED_PAGES = ("list_url", "stage", "error_type", "error_message", "source_titl
 RELEASE = ("exhibition_name", "exhibition_start_date", "exhibition_end_date", "exhibition_location", "exhibition_detail_url", "source_list_url")
 #: A fetched page: one row a URL.
 SNAPSHOT = "url string, final_url string, status string, http_status string, content_type string, text string, error string"
-#: A search result: pos is null if the search gave nothing, status tells failed searches.
-SEARCH = "query string, pos int, title string, link string, description string, status string"
 EVENT_FIELDS = "exhibition_name string, start_date string, end_date string, location string, detail_url string"

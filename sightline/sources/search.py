@@ -3,7 +3,8 @@
     spark.dataSource.register(search_source(fetch))
     spark.read.format("search").option("queries", path_of_parquet).option("display", "5").load()
 
-``fetch(query, display, sort)`` returns dicts with title, link and description.  It runs on the
+``fetch(query, display, sort)`` returns dicts with the fields asked for: title, link and
+description of a web search, or ``PLACE_FIELDS`` of a place search.  It runs on the
 executors, one partition for a range of queries; a query that fails gives a row that says so.
 """
 
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import text as T
-from ..schemas import SEARCH
 
+WEB_FIELDS = ("title", "link", "description")
+PLACE_FIELDS = ("title", "link", "category", "description", "telephone", "address", "roadAddress", "mapx", "mapy")
 SORTS = ("random", "comment")
 MOST_DISPLAY = 5
 
@@ -49,7 +51,7 @@ class Range(InputPartition):
         self.queries = queries
 
 
-def search_source(fetch: Callable[[str, int, str], list[dict]], queries: list[str], per_partition: int = 64, name: str = "search"):
+def search_source(fetch: Callable[[str, int, str], list[dict]], queries: list[str], per_partition: int = 64, name: str = "search", fields: tuple = WEB_FIELDS):
     """A DataSource class over ``fetch`` for the given queries."""
 
     class Reader(DataSourceReader):
@@ -66,9 +68,9 @@ def search_source(fetch: Callable[[str, int, str], list[dict]], queries: list[st
                 except Exception as e:  # noqa: BLE001  a failed query is a record, not a failed job
                     items, status = [], f"error: {type(e).__name__}: {e}"[:240]
                 for i, item in enumerate(items):
-                    yield query, i, item.get("title", ""), item.get("link", ""), item.get("description", ""), status
+                    yield query, i, *[str(item.get(f) or "") for f in fields], status
                 if not items:
-                    yield query, None, "", "", "", status
+                    yield query, None, *[""] * len(fields), status
 
     class Search(DataSource):
         @classmethod
@@ -76,7 +78,7 @@ def search_source(fetch: Callable[[str, int, str], list[dict]], queries: list[st
             return name
 
         def schema(self):
-            return SEARCH
+            return f"query string, pos int, {', '.join(f'{f} string' for f in fields)}, status string"
 
         def reader(self, schema):
             return Reader(self.options)
