@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTES, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
+from .common import BYTES, POWERS, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
 
+HALF = U64(0xFFFFFFFF)
 FIELDS = "fp long, cls long, doc_id long, t int, first int, n int"
 
 
@@ -36,18 +37,18 @@ def anchors(p: np.ndarray, off: np.ndarray, window: int, k: int):
     count = np.maximum(0, np.diff(off) - window + 1)
     if not count.any():
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
-    at = np.arange(len(p) - k)
-    h = rolled(p, at, at + k)
-    least, place, span, wide = h, at.astype(np.int32), 1, window - k + 1
+    n = len(p) - k
+    _, down = POWERS.to(len(p))
+    h = mix((p[k:] - p[:n]) * down[:n] + U64(k))
+    # upper half of the hash, then the place: the least key is the leftmost of the least
+    least, span, wide = (h & ~HALF) | np.arange(n, dtype=np.int64).astype(U64), 1, window - k + 1
     while span < wide:
         step = min(span, wide - span)
-        a, b = least[:-step], least[step:]
-        place = np.where(a <= b, place[:-step], place[step:])
-        least = np.minimum(a, b)
+        least = np.minimum(least[:-step], least[step:])
         span += step
     full = np.flatnonzero(count)
     start = ragged(off[full], count[full])
-    anchor = place[start]
+    anchor = (least[start] & HALF).astype(np.int64)
     change = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     first, n = start[change], np.diff(np.append(change, len(start)))
     fp = h[anchor[change]]
@@ -125,7 +126,7 @@ class Repeats:
                     wide = np.full(len(first), window - k + 1)
                     each = np.repeat(np.arange(len(first)), wide)
                     places = ragged(at[row] + first, wide)
-                    hit = np.flatnonzero(rolled(p, places, places + k).view(np.int64) == fp[each])
+                    hit = np.flatnonzero(mix((p[places + k] - p[places]) * POWERS.to(len(p))[1][places] + U64(k)).view(np.int64) == fp[each])
                     _, lead = np.unique(each[hit], return_index=True)
                     anchor = places[hit[lead]]
                     start = ragged(at[row] + first, n)

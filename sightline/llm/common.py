@@ -22,9 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 U64 = np.uint64
 #: Bytes of text that one vectorised step works on: its scratch arrays stay near 30 MB and inside the caches.
 CHUNK = 1 << 18
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,10 +42,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again: cuts lineage, survives lost executors."""
+    """``df`` written once to the shared folder and read again: cuts lineage, survives lost executors.
+
+    The shuffle files of the finished write are of no more use and go at once, where Spark can do that."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sightline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,7 +61,8 @@ def parts(spark: SparkSession) -> int:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker holds at once."""
+    """Bounds what a Python worker holds at once; the workers get this package."""
+    ship(spark)
     for name, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
         spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
 

@@ -43,8 +43,12 @@ def shifted(a: np.ndarray, by: int) -> np.ndarray:
 
 def suffix_array(text: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices of ``starts`` in the order of the ``window`` bytes that follow each, and the LCP, at most
-    ``window``, of each with the one before it.  Prefix doubling: ranks of 1, 2, 4 ... bytes."""
-    levels, span = [ranks(text)], 1
+    ``window``, of each with the one before it.  Prefix doubling: ranks of 8, 16, 32 ... bytes."""
+    base = 8 if window >= 8 else 1
+    words_ = np.zeros(len(text), U64)
+    for i in range(base):
+        words_ = (words_ << U64(8)) | shifted(text, i).astype(U64)
+    levels, span = [ranks(words_)], base
     while 2 * span <= window:
         r = levels[-1]
         levels.append(ranks((r.astype(U64) << U64(32)) | shifted(r, span).astype(U64)))
@@ -53,12 +57,16 @@ def suffix_array(text: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.
     key = (r[starts].astype(U64) << U64(32)) | r[starts + rest].astype(U64)
     order = np.argsort(key, kind="stable")
     a, b = starts[order[:-1]], starts[order[1:]]
-    same = np.zeros(len(a), np.int64)
+    same, last = np.zeros(len(a), np.int64), len(text) - 1
     for r in reversed(levels):
-        end = same + span <= window
-        x, y = np.minimum(a + same, len(text) - 1), np.minimum(b + same, len(text) - 1)
-        same += np.where(end & (r[x] == r[y]), span, 0)
+        x, y = np.minimum(a + same, last), np.minimum(b + same, last)
+        same += np.where((same + span <= window) & (r[x] == r[y]), span, 0)
         span >>= 1
+    on = np.ones(len(a), bool)
+    for _ in range(base - 1):
+        x, y = np.minimum(a + same, last), np.minimum(b + same, last)
+        on &= (same < window) & (text[x] == text[y])
+        same += on
     same[key[order[:-1]] == key[order[1:]]] = window
     return order, np.concatenate([[0], same]) if len(order) else same
 
