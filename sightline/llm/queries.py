@@ -69,10 +69,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": """
         WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
-        s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),
-        least AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 49], ' ')) AS first_doc FROM s),
-        gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS p FROM least WHERE first_doc < doc_id),
         each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        win AS (SELECT doc_id, p, string_agg(word, ' ') OVER f AS body, count(*) OVER f AS n FROM each WINDOW f AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+        first AS (SELECT body, min(doc_id) AS first_doc FROM win WHERE n = 50 GROUP BY body HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT DISTINCT doc_id, p + unnest(range(0, 50)) AS p FROM win JOIN first USING (body) WHERE n = 50 AND first_doc < doc_id),
         kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
