@@ -6,7 +6,7 @@ tables (the same on both sides) and vocabularies that match the tables' words.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +18,7 @@ from .functions import urls as U
 from .functions import vocabulary as V
 from .operators import dedup, html, ranking, records, scoring
 from .plans import classify, collect, discover, extract, release
-from .session import spread, table
+from .session import shared_dir, spread, table
 from .sources.search import official_site_query
 from .streaming import incremental
 
@@ -640,7 +640,7 @@ def sort_safe_int(spark, sf):
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
 def stream_dedup(spark, sf):
-    at = tempfile.mkdtemp(prefix="sightline-stream-")
+    at = f"{shared_dir(spark)}/sightline/{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     last = events.agg(F.max("event_id")).first()[0] or 0
     for i in range(4):  # four files that arrive one after another

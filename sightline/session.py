@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -27,6 +30,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Folders of local sessions that have no spark.checkpoint.dir; they go when the process ends.
+_local: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.  Where it is unset, a
+    local session gets a temporary folder and a cluster an error, as its disks aren't shared."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if at:
+        return at.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if spark.sparkContext.applicationId not in _local:
+        _local[spark.sparkContext.applicationId] = at = tempfile.mkdtemp(prefix="sightline-tables-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
+    return "file://" + _local[spark.sparkContext.applicationId]
+
+
 def session(cpus: int | str = "*", name: str = "sightline", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
     settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}

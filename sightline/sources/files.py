@@ -129,7 +129,10 @@ def read_progress(spark: SparkSession, path: str) -> dict:
 
 
 def list_pages(rows: DataFrame, column: str = "list_url", position: str = "source_row") -> DataFrame:
-    """Rows with a list URL, squeezed, and their 1-based number among those."""
+    """Rows with a list URL, squeezed, and their 1-based number among those.
+
+    The number runs over all rows in order, so one task gives it: for lists that people write, of up
+    to some millions of URLs.  Tables from elsewhere should bring their own ``page_index``."""
     clean = rows.withColumn("list_url", squeeze(column)).filter("list_url <> ''")
     return clean.withColumn("page_index", F.expr(f"row_number() over (order by {position})"))
 
