@@ -13,8 +13,6 @@ Conventions that hold for every operator here
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -22,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_dir, ship
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step works on: its scratch arrays stay near 30 MB and inside the caches.
@@ -30,23 +28,13 @@ CHUNK = 1 << 18
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.  Where it is unset, a
-    local session gets a temporary folder and a cluster an error, as its disks aren't shared."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    if not (spark.sparkContext.master or "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return "file://" + os.path.join(tempfile.gettempdir(), f"sightline-{os.getuid()}")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again: cuts lineage, survives lost executors.
+    """``df`` written once to the shared folder, below the application's id, and read again: cuts lineage,
+    survives lost executors.
 
     The shuffle files of the finished write are of no more use and go at once, where Spark can do that."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sightline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/sightline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
