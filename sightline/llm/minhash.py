@@ -7,9 +7,11 @@ signatures agree in a register with a probability of the documents' probability
 
 Signatures are cut into bands.  A bucket, the documents that share a band, links each member to
 two leaders, its least document and one drawn by the band, so a bucket of n documents costs 2n
-pairs and no pair within it needs to be listed; a member meets other leaders in its other bands.
-Pairs are verified exactly on the shingles of the whole texts.  Groups are the connected
-components of the verified links.
+pairs.  A bucket whose members are then all in one component is settled.  The members of all other
+buckets go through an exact search by prefix filtering: shingles have one global order, rare ones
+first, and two documents that are similar enough share a shingle among those that come before the
+last part of each, however many documents their buckets hold.  Pairs are verified exactly on the
+shingles of the whole texts.  Groups are the connected components of the verified links.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from .components import components
 
 #: Words of a shingle, least similarity of a link, bands, and registers of a band.
 SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 32, 4
+#: Expected documents that tell which shingles are frequent, and the most of those that are told apart.
+#: Both only decide the order of shingles; any order gives the same links.
+ORDER_DOCS, ORDER_SHINGLES = 20_000, 1 << 20
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int):
@@ -94,12 +99,74 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return max(plain, total)
 
 
+def read(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted shingles and weights of a packed list."""
+    value, weight = np.frombuffer(raw, "<u4").reshape(2, -1)
+    if len(value) > 1 and (value[1:] == value[:-1]).any():
+        new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        value, weight = value[new], np.add.reduceat(weight, new)
+    return value, weight
+
+
+def leading(value: np.ndarray, weight: np.ndarray, frequency: np.ndarray, similar: float) -> np.ndarray:
+    """Places of the shingles that a list must share one of with any list at least ``similar`` to it.
+
+    Either similarity is at most the overlap of the two lists' shares, of shingles or of their counts.
+    So from the first common shingle on, in the order of (frequency, value), each list holds a share of
+    at least ``similar``: it is not in the rest that holds less."""
+    order = np.lexsort((value, frequency))
+    w = weight[order].astype(float)
+    n = len(w)
+    return order[((n - np.arange(n)) >= (similar - 1e-9) * n) | (w[::-1].cumsum()[::-1] >= (similar - 1e-9) * w.sum())]
+
+
+def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
+    """(a, b): every pair of different labels that may be ``similar``.  lists: (doc_id, label, list)."""
+    rate = min(1.0, ORDER_DOCS / max(1, lists.count()))
+
+    def tokens(batches):
+        for batch in batches:
+            values = [read(x.as_py())[0] for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, "<u4"), *values]).astype(np.int64))], ["shingle"])
+
+    drawn = lists.filter(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30)) < rate * (1 << 30))
+    often = drawn.select("list").mapInArrow(tokens, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
+    known, number = often["shingle"].to_numpy(), often["n"].to_numpy()
+    by = np.argsort(known)
+    # the sentinel is no shingle: every search ends at a place
+    known, number = np.append(known[by], 1 << 33), np.append(number[by], 0)
+
+    def prefixes(batches):
+        for batch in batches:
+            rows, values, sizes, flat = [], [], [], []
+            for k, x in enumerate(batch.column(2)):
+                value, weight = read(x.as_py())
+                at = np.searchsorted(known, value)
+                lead = value[leading(value, weight, np.where(known[at] == value, number[at], 0), similar)]
+                rows.append(np.full(len(lead), k))
+                values.append(lead.astype(np.int64))
+                sizes.append(np.full(len(lead), len(value)))
+                flat.append(np.full(len(lead), weight.max(initial=1) == 1))
+            if rows:
+                row = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(flat))], ["shingle", "doc_id", "label", "n", "flat"])
+
+    held = stored(lists.select("doc_id", "label", "list").mapInArrow(prefixes, "shingle long, doc_id long, label long, n long, flat boolean"), "prefixes")
+    shared = held.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("shingle")
+    held = stored(held.join(shared, "shingle", "left_semi"), "shared")
+    x, y = (held.select("shingle", *(F.col(c).alias(c + side) for c in ("doc_id", "label", "n", "flat"))) for side in "xy")
+    # lists without repeats are alike by both measures at once, and then of like length
+    alike = F.expr("not (flatx and flaty)") | (F.least("nx", "ny") >= (similar - 1e-9) * F.greatest("nx", "ny"))
+    met = x.join(y, "shingle").filter("doc_idx < doc_idy and labelx <> labely").filter(alike)
+    return met.select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b")).distinct()
+
+
 def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> DataFrame:
     """(a, b): verified links between documents of different word sequences.  reps: (doc_id, bands)."""
     held = reps.select("doc_id", F.explode("bands").alias("band"))
     drawn = F.min_by("doc_id", F.xxhash64("doc_id", "band"))
-    buckets = held.groupBy("band").agg(F.min("doc_id").alias("one"), drawn.alias("two"), F.max("doc_id").alias("last")).filter("one < last").select("band", "one", "two")
-    met = held.join(stored(buckets, "buckets"), "band")
+    buckets = held.groupBy("band").agg(F.min("doc_id").alias("one"), drawn.alias("two"), F.max("doc_id").alias("last"), F.count("*").alias("n")).filter("one < last").select("band", "one", "two", "n")
+    met = stored(held.join(stored(buckets, "buckets"), "band"), "met")
     pairs = met.select("doc_id", F.explode(F.array("one", "two")).alias("leader")).filter("doc_id <> leader")
     pairs = stored(pairs.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct(), "pairs")
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
@@ -116,15 +183,6 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(packed, pa.binary())], ["doc_id", "list"])
 
     known = stored(docs.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lists, "doc_id long, list binary"), "lists")
-    first = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("list").alias("x")), "a")
-    both = first.join(known.select(F.col("doc_id").alias("b"), F.col("list").alias("y")), "b")
-
-    def read(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        value, weight = np.frombuffer(raw, "<u4").reshape(2, -1)
-        if len(value) > 1 and (value[1:] == value[:-1]).any():
-            new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-            value, weight = value[new], np.add.reduceat(weight, new)
-        return value, weight
 
     def verify(batches):
         for batch in batches:
@@ -132,7 +190,19 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
             good = np.array([similarity(read(x.as_py()), read(y.as_py())) >= similar for x, y in zip(batch.column(2), batch.column(3), strict=True)], bool)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    def verified(pairs: DataFrame) -> DataFrame:
+        first = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("list").alias("x")), "a")
+        both = first.join(known.select(F.col("doc_id").alias("b"), F.col("list").alias("y")), "b")
+        return stored(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "verified")
+
+    links = verified(pairs)
+    # a bucket of two is compared in full; one of more is settled if its members are in one component
+    labels = stored(components(links).withColumnRenamed("node", "doc_id"), "labels")
+    named = met.filter("n > 2").join(labels, "doc_id", "left").select("band", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+    unsettled = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band")
+    left = stored(named.join(unsettled, "band", "left_semi").select("doc_id", "label").distinct(), "left")
+    more = open_pairs(known.join(left, "doc_id"), similar)
+    return links.unionByName(verified(more.join(pairs, ["a", "b"], "left_anti")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: float = SIMILAR, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:

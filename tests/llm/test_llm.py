@@ -408,6 +408,27 @@ def test_near_dedup(corpus):
     assert rows(minhash.near_dedup(corpus), "doc_id", "class_id", "kept") == sorted(want, key=repr)
 
 
+def test_near_dedup_rare_pair_in_a_large_bucket(spark):
+    r = random.Random(3)
+    own = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    template = own(204)
+    texts = [template + " " + own(150) for _ in range(3000)]
+    texts += [template + " " + own(10) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert rows(minhash.near_dedup(docs).filter("not kept"), "doc_id", "class_id") == [(3001, 3000)]
+
+
+def test_leading_shingles_of_similar_lists_meet():
+    r = np.random.default_rng(4)
+    for k in range(300):
+        a = np.unique(r.integers(0, 60, 40))
+        b = np.unique(np.append(r.permutation(a)[r.integers(0, 8) :], r.integers(0, 60, r.integers(0, 6))))
+        x, y = r.integers(1, 2 + k % 4, 60), r.integers(0, 50, 60)
+        z = np.where(r.random(60) < 0.2, r.integers(1, 5, 60), x)
+        if minhash.similarity((a, x[a]), (b, z[b])) >= 0.8:
+            assert set(a[minhash.leading(a, x[a], y[a], 0.8)]) & set(b[minhash.leading(b, z[b], y[b], 0.8)])
+
+
 def test_probminhash_estimates_probability_jaccard():
     r = random.Random(9)
     for _ in range(5):
