@@ -3,7 +3,9 @@
 A document's shingles are its runs of five words, weighted by how often they occur.  Each weighted
 shingle sends a Poisson process of arrivals at random registers; a register keeps its first
 arrival, and an element ends as soon as its next arrival is later than every register's.  Two
-signatures agree in a register with a probability of the documents' probability Jaccard.
+signatures agree in a register with a probability of the documents' probability Jaccard.  A document
+with repeated shingles has a second signature, over the set of its shingles (all weights 1); two of
+those agree with a probability of the plain Jaccard.
 
 Signatures are cut into bands.  A bucket, the documents that share a band, links each member to
 two leaders, its least document and one drawn by the band, so a bucket of n documents costs 2n
@@ -138,25 +140,27 @@ def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
 
     def prefixes(batches):
         for batch in batches:
-            rows, values, sizes, flat = [], [], [], []
+            rows, values, rests, sizes, flat = [], [], [], [], []
             for k, x in enumerate(batch.column(2)):
                 value, weight = read(x.as_py())
                 at = np.searchsorted(known, value)
                 lead = value[leading(value, weight, np.where(known[at] == value, number[at], 0), similar)]
                 rows.append(np.full(len(lead), k))
                 values.append(lead.astype(np.int64))
+                rests.append(len(value) - np.arange(len(lead)))
                 sizes.append(np.full(len(lead), len(value)))
                 flat.append(np.full(len(lead), weight.max(initial=1) == 1))
             if rows:
                 row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(flat))], ["shingle", "doc_id", "label", "n", "flat"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(rests)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(flat))], ["shingle", "doc_id", "label", "rest", "n", "flat"])
 
-    held = stored(lists.select("doc_id", "label", "list").mapInArrow(prefixes, "shingle long, doc_id long, label long, n long, flat boolean"), "prefixes")
+    held = stored(lists.select("doc_id", "label", "list").mapInArrow(prefixes, "shingle long, doc_id long, label long, rest long, n long, flat boolean"), "prefixes")
     shared = held.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("shingle")
     held = stored(held.join(shared, "shingle", "left_semi"), "shared")
-    x, y = (held.select("shingle", *(F.col(c).alias(c + side) for c in ("doc_id", "label", "n", "flat"))) for side in "xy")
-    # lists without repeats are alike by both measures at once, and then of like length
-    alike = F.expr("not (flatx and flaty)") | (F.least("nx", "ny") >= (similar - 1e-9) * F.greatest("nx", "ny"))
+    x, y = (held.select("shingle", *(F.col(c).alias(c + side) for c in ("doc_id", "label", "rest", "n", "flat"))) for side in "xy")
+    # without repeats both similarities are the same, and all a pair has in common stands from its first
+    # common shingle on: the row of that shingle passes if the pair is similar
+    alike = F.expr("not (flatx and flaty)") | (F.least("restx", "resty") * (1 + similar) >= (similar - 1e-9) * (F.col("nx") + F.col("ny")))
     met = x.join(y, "shingle").filter("doc_idx < doc_idy and labelx <> labely").filter(alike)
     return met.select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b")).distinct()
 
@@ -224,8 +228,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 row, value, weight, whole = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
                 keys = bands(signatures(row, value, weight, j - i, registers), rows)
                 some = np.isin(np.arange(j - i), row)
-                at = np.append(0, np.cumsum(some * n_bands)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *(pa.array(w.view(np.int64)) for w in whole), pa.ListArray.from_arrays(at, pa.array(keys[some].ravel().view(np.int64)))], ["doc_id", "c1", "c2", "bands"])
+                # the signature over the set is the same one where no shingle repeats
+                again = np.unique(row[weight > 1])
+                part = np.isin(row, again)
+                extra = bands(signatures(np.searchsorted(again, row[part]), value[part], np.ones(part.sum()), len(again), registers), rows)
+                owner = np.concatenate([np.repeat(np.flatnonzero(some), n_bands), np.repeat(again, n_bands)])
+                both = np.concatenate([keys[some].ravel(), extra.ravel()])
+                order = np.lexsort((both, owner))
+                owner, both = owner[order], both[order]
+                # a band that both signatures agree in is listed once
+                new = np.append(True, (owner[1:] != owner[:-1]) | (both[1:] != both[:-1])) if len(owner) else np.zeros(0, bool)
+                at = np.searchsorted(owner[new], np.arange(j - i + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *(pa.array(w.view(np.int64)) for w in whole), pa.ListArray.from_arrays(at, pa.array(both[new].view(np.int64)))], ["doc_id", "c1", "c2", "bands"])
 
     signed = stored(table.mapInArrow(sign, "doc_id long, c1 long, c2 long, bands array<long>"), "signed")
     classes = stored(signed.filter("doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")), "classes")

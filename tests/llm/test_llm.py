@@ -418,6 +418,19 @@ def test_near_dedup_rare_pair_in_a_large_bucket(spark):
     assert rows(minhash.near_dedup(docs).filter("not kept"), "doc_id", "class_id") == [(3001, 3000)]
 
 
+def test_near_dedup_of_texts_that_differ_in_repeats(spark):
+    r = random.Random(8)
+    own = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    texts, want = [], []
+    for times in (60, 200) * 10:
+        text, line = own(304), own(10)
+        want.append((len(texts) + 1, len(texts)))
+        texts += [text, " ".join([text, *[line] * times])]
+    assert all(len(a.keys() & b.keys()) >= 0.8 * len(a.keys() | b.keys()) for a, b in zip(map(counter, texts[::2]), map(counter, texts[1::2]), strict=True))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert rows(minhash.near_dedup(docs).filter("not kept"), "doc_id", "class_id") == sorted(want, key=repr)
+
+
 def test_leading_shingles_of_similar_lists_meet():
     r = np.random.default_rng(4)
     for k in range(300):
