@@ -16,25 +16,33 @@ from . import ppm
 from .common import Lookup, bounded_batches, held_out, identified, spans, utf8
 
 ORDER = 3
-#: Expected labelled texts a language that are learned from, and the longest of them in characters.
-SAMPLE_DOCS, SAMPLE_CHARS, MOST_LANGUAGES = 1500, 20_000, 512
+#: Expected labelled texts a language that are learned from, and the most characters and pieces of each.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_PIECES, MOST_LANGUAGES = 1500, 20_000, 10, 512
 UNKNOWN = "und"
 
 
+def pieces(text):
+    """A text of at most SAMPLE_CHARS characters whole; of a longer one, as many characters in pieces of
+    equal length, spread evenly from its start to its end."""
+    size, n = SAMPLE_CHARS // SAMPLE_PIECES, F.length(text)
+    starts = [F.floor((n - size) * k / (SAMPLE_PIECES - 1)).cast("int") + 1 for k in range(SAMPLE_PIECES)]
+    return F.when(n <= SAMPLE_CHARS, F.array(text)).otherwise(F.array(*[F.substring(F.col(text), at, F.lit(size)) for at in starts]))
+
+
 def fit(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE_DOCS) -> dict[str, ppm.Model]:
     """The model of every value of ``lang``.  labelled: doc_id, text, lang (rows with a null are left out).
 
-    The sample takes the texts whose hashed id is below a threshold set by the language's count, so
+    Long texts are learned from pieces, so a language all of whose texts are long has a model too.  The sample takes the texts whose hashed id is below a threshold set by the language's count, so
     it costs no shuffle of texts; what reaches the driver is grams, bounded by the sample."""
     rows = labelled.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.filter(F.length("text") <= SAMPLE_CHARS).groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not sizes:
         return {}
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.filter(F.length("text") <= SAMPLE_CHARS).filter(draw < share[F.col("lang")]).select("lang", "text")
+    chosen = rows.filter(draw < share[F.col("lang")]).select("lang", F.explode(pieces("text")).alias("text"))
 
     def count(batches):
         for batch in batches:
@@ -135,14 +143,19 @@ def identify_documents(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, in which a language is found; rows pass as they are, without a shuffle."""
+    """The rows of ``docs``, all columns, in which a language is found; rows pass as they are, without a shuffle.
+    Where there is no labelled text to learn from, only null texts and texts without a letter go."""
     scorer = Scorer(fit(training_rows(docs)))
     at = docs.columns.index(text_col)
     bounded_batches(docs.sparkSession)
 
     def keep(batches):
         for batch in batches:
-            lang, _ = predictions(scorer, batch.column(at))
-            yield batch.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+            if scorer.names:
+                lang, _ = predictions(scorer, batch.column(at))
+                good = [x != UNKNOWN for x in lang]
+            else:
+                good = has_letter(*utf8(batch.column(at)))
+            yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

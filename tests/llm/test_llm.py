@@ -328,6 +328,22 @@ def test_language_id(spark, sf, empty):
     assert [r.doc_id for r in language_id.with_language(docs.limit(30).union(odd.selectExpr("doc_id", "text", "'de'", "''", "0L"))).filter("doc_id between 1 and 3").collect()].count(1) <= 1
 
 
+def test_language_of_long_texts_only(spark):
+    r = random.Random(6)
+    say = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(5)) for _ in range(n))
+    rows_ = [(i, say("abcdef", 50), "short") for i in range(30)]
+    rows_ += [(100 + i, say("uvwxyz", 5000), "long") for i in range(12)] + [(200 + i, say("uvwxyz", 20), "long") for i in range(60) if zlib.crc32(str(200 + i).encode()) % 4 == 2]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    assert all(got.lang_pred == want for got, want in zip(language_id.identify_documents(docs).orderBy("doc_id").collect(), [x[2] for x in rows_], strict=True) if got.held_out)
+    cut = spark.createDataFrame([("a" * 20_000,), ("".join(chr(97 + k // 2500) for k in range(50_000)),)], "t string").select(language_id.pieces("t").alias("p")).collect()
+    assert cut[0].p == ["a" * 20_000] and [len(x) for x in cut[1].p] == [2000] * 10 and cut[1].p[0] == "a" * 2000 and cut[1].p[-1] == "t" * 2000
+
+
+def test_language_stage_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, None), (3, "12 !?", None), (4, "é", None)], "doc_id long, text string, lang string")
+    assert rows(language_id.with_language(docs), "doc_id") == [(1,), (4,)]
+
+
 def test_code_lengths_against_brute_force():
     r = random.Random(8)
     texts = ["".join(r.choice("abc ") for _ in range(r.randrange(40))).encode() for _ in range(30)]
