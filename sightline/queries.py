@@ -338,6 +338,11 @@ def text_strip_tags(spark, sf):
     return table(spark, sf, "pages").filter(~F.contains("html", F.lit("&"))).select("page_id", F.md5(T.strip_tags("html").cast("binary")).alias("bare"))
 
 
+@query(f"""SELECT page_id, md5(regexp_replace({entity_sql("regexp_replace(html, '<[^>]+>', '', 'g')")}, '^[\\s]+|[\\s]+$', '', 'g')) AS bare FROM pages""")
+def text_strip_tags_all(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.md5(T.strip_tags("html").cast("binary")).alias("bare"))
+
+
 WORDS = ("tion", "ing", "ée", "über", "the", "zzz")
 
 
