@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTES, POWERS, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
+from .common import POWERS, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
 
 HALF = U64(0xFFFFFFFF)
 FIELDS = "fp long, cls long, doc_id long, t int, first int, n int"
@@ -27,9 +27,9 @@ FIELDS = "fp long, cls long, doc_id long, t int, first int, n int"
 def symbols_of(unit: str, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix hashes of the symbols, bytes or words, of all rows, and the rows' offsets in symbols."""
     if unit == "byte":
-        return prefix(BYTES[data]), off
+        return prefix(data), off
     starts, ends, row = words(data, off)
-    return prefix(rolled(prefix(BYTES[data]), starts, ends)), row
+    return prefix(rolled(prefix(data), starts, ends)), row
 
 
 def anchors(p: np.ndarray, off: np.ndarray, window: int, k: int):

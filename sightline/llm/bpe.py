@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import identified, parts
+from .common import identified, parts, stored
 
 #: Bytes above which a document is dealt out in parts, bytes of such a part, and of a leaf of the tree.
 LONG, PART, LEAF = 1 << 16, 1 << 14, 1 << 10
@@ -185,10 +185,24 @@ def encoded(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
 
     def split(batches):
         coder = Coder.of(vocabulary, leaf)
+        named = ["doc_id", "row", "k", "kind", "piece"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        made: list[tuple] = []
+        size = 0
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array([m[c] for m in made], types[c]) for c in range(5)], named)
+
         for batch in batches:
             for i, row, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 for k, (kind, piece) in enumerate(cut(text, coder, part)):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((i, pa.int64()), (row, pa.int64()), (k, pa.int32()), (kind, pa.int32()), (piece, pa.binary()))], ["doc_id", "row", "k", "kind", "piece"])
+                    made.append((i, row, k, kind, piece))
+                    size += len(piece)
+                    if len(made) >= 10_000 or size >= 1 << 22:
+                        yield flush()
+                        made, size = [], 0
+        if made:
+            yield flush()
 
     def encode_parts(batches):
         coder = Coder.of(vocabulary, leaf)
@@ -220,7 +234,8 @@ def encoded(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
     size = F.octet_length("text")
     brief = table.filter(size <= long).select("doc_id", "text").mapInArrow(short, fields)
     n = parts(docs.sparkSession)
-    pieces = table.filter(size > long).select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(split, "doc_id long, row long, k int, kind int, piece binary")
+    # the numbers of rows are written before they deal out anything: a task that runs again keeps them
+    pieces = stored(table.filter(size > long).select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(split, "doc_id long, row long, k int, kind int, piece binary"), "pieces")
     dealt = pieces.repartition(n, "row", "k").mapInArrow(encode_parts, "doc_id long, row long, k int, kind int, ids binary")
     return brief.unionByName(dealt.groupBy("row").applyInArrow(join, fields))
 

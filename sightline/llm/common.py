@@ -2,10 +2,11 @@
 
 Conventions that hold for every operator here
 ---------------------------------------------
-* Only the key and text columns are read; other columns, whatever their names, never clash.
+* Only the key and text columns are read by name; others travel in one struct, whatever their names.
 * A null text counts as an empty text.  A null ``doc_id`` takes part in no comparison with
-  other documents and its row is returned unchanged.
+  other documents and its row is returned unchanged (exact dedup compares it, as it needs no id).
 * Rows that repeat a ``doc_id`` keep one output row each; joins use (doc_id, hash of text).
+* Stages of a pipeline that keep one document of a group keep one row, also if rows repeat.
 * An empty table gives an empty result of the same schema.
 * Tables that cut lineage are written below ``spark.checkpoint.dir``.  ``localCheckpoint`` is
   never used, so a lost executor costs recomputation and never a result.
@@ -58,8 +59,18 @@ def bounded_batches(spark: SparkSession) -> None:
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """(doc_id, h, text): null text is empty; h tells rows apart that share a doc_id.  more: columns to keep."""
     bounded_batches(docs.sparkSession)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"), *more)
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
+    return docs.select(quoted(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"), *more)
+
+
+def quoted(name: str):
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def with_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, text, row): ``identified`` and all columns as one struct."""
+    return identified(docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.struct(*[quoted(c) for c in docs.columns]).alias("row")), "doc_id", "text", "row")
 
 
 def held_out(column: str, mod: int, rest: int):
@@ -102,11 +113,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+#: Hashes are polynomials modulo this prime: two strings of n symbols collide for n of all bases at most.
+PRIME = U64((1 << 61) - 1)
+LOW30, LOW31 = U64((1 << 30) - 1), U64((1 << 31) - 1)
+#: Symbols that one step of a prefix sum takes: its partial sums stay below 2**64.
+STEP = 1 << 22
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & PRIME) + (x >> U64(61))
+    return x - PRIME * (x >= PRIME)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, of numbers below it."""
+    a1, a0, b1, b0 = a >> U64(31), a & LOW31, b >> U64(31), b & LOW31
+    mid = a1 * b0 + a0 * b1
+    return folded(((a1 * b1) << U64(1)) + (mid >> U64(30)) + ((mid & LOW30) << U64(31)) + a0 * b0)
+
+
 class Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, grown as needed."""
+    """Powers of a base modulo PRIME and of its inverse, grown as needed."""
 
     def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.base, self.inverse = base, pow(base, -1, int(PRIME))
         self.up = self.down = np.ones(1, U64)
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,28 +146,39 @@ class Powers:
             for name, b in (("up", self.base), ("down", self.inverse)):
                 p = np.ones(1, U64)
                 while len(p) < size:
-                    p = np.concatenate([p, p * U64(pow(b, len(p), 1 << 64))])
+                    p = np.concatenate([p, times(p, U64(pow(b, len(p), int(PRIME))))])
                 setattr(self, name, p)
         return self.up, self.down
 
 
-POWERS = Powers(0x9E3779B97F4A7C15)
-#: A fixed random value for each byte, from a seeded generator.
-BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+#: Two bases, for hashes that are independent of each other.
+POWERS, OTHER = Powers(0x1D8AF066F5A1C20B), Powers(0x0B3F1E5A9C47D6E5)
+
 
+def prefix(symbols: np.ndarray, powers: Powers = POWERS) -> np.ndarray:
+    """Rabin-Karp prefix sums: P[i] = sum of symbols[j] * base**j over j < i, modulo PRIME.
 
-def prefix(symbols: np.ndarray) -> np.ndarray:
-    """Rabin-Karp prefix sums: P[i] = sum of symbols[j] * base**j over j < i, modulo 2**64."""
-    up, _ = POWERS.to(len(symbols) + 1)
-    out = np.zeros(len(symbols) + 1, U64)
-    np.cumsum(symbols * up[: len(symbols)], out=out[1:])
+    Symbols are bytes (counted from 1, so that leading ones count) or numbers below PRIME."""
+    n = len(symbols)
+    up, _ = powers.to(n + 1)
+    out = np.zeros(n + 1, U64)
+    for i in range(0, n, STEP):
+        x, b = symbols[i : i + STEP], up[i : min(n, i + STEP)]
+        if x.dtype == np.uint8:
+            x = x.astype(U64) + U64(1)
+            low, high = np.cumsum(x * (b & LOW31)), np.cumsum(x * (b >> U64(31)))
+        else:
+            x = times(x, b)
+            low, high = np.cumsum(x & LOW31), np.cumsum(x >> U64(31))
+        high = folded(high)
+        out[i + 1 : i + 1 + len(x)] = folded(((high & LOW30) << U64(31)) + (high >> U64(30)) + folded(low) + out[i])
     return out
 
 
-def rolled(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Mixed hashes of symbols[start:end]; equal strings have equal hashes wherever they stand."""
-    _, down = POWERS.to(len(p))
-    return mix((p[end] - p[start]) * down[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+def rolled(p: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers = POWERS) -> np.ndarray:
+    """Hashes, below PRIME, of symbols[start:end]; equal strings have equal hashes wherever they stand."""
+    _, down = powers.to(len(p))
+    return times(folded(p[end] + (PRIME - p[start])), down[start])
 
 
 _SPACE = np.zeros(256, bool)
@@ -188,3 +230,24 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     out = np.arange(total, dtype=np.int64)
     return out + np.repeat(np.asarray(starts, np.int64) - (np.cumsum(lengths) - lengths), lengths)
+
+
+def planes(values: np.ndarray, size: int = 0) -> bytes:
+    """Little-endian integers as ``size`` planes of bytes, the lowest first: what they share compresses well."""
+    raw = values.view(np.uint8).reshape(len(values), values.itemsize)
+    return np.ascontiguousarray(raw[:, : size or values.itemsize].T).tobytes()
+
+
+def unplanes(raw: bytes, n: int, size: int, kind: str) -> np.ndarray:
+    """The integers that ``planes`` packed; bytes that it left out are zero."""
+    out = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(size, n).T
+    return out.reshape(-1).view(kind)
+
+
+def packed_runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value and the length of each run of equal values."""
+    if not len(values):
+        return values, np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return values[head], np.diff(np.append(head, len(values)))

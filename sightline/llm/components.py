@@ -20,12 +20,13 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
     return moved.filter("u > v").distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component.  links: (a, b) in any order; nodes
-    without a link don't appear.  Every round is written, so a lost executor repeats one round."""
+    without a link don't appear.  Every round is written, so a lost executor repeats one round; the
+    rounds grow with the logarithm of the nodes."""
     links = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     links, before = stored(links, "links"), None
-    for _ in range(rounds):
+    while True:
         large = stored(_star(links, small=False), "large")
         links = stored(_star(large, small=True), "small")
         # equal sums over the links of two rounds: nothing moved
@@ -33,4 +34,3 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("label"))
         before = now
-    raise RuntimeError("components did not settle")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import identified, stored
+from .common import identified, stored, with_rows
 
 #: Counters of a summary and the most rows that are ever broadcast.
 COUNTERS = 1024
@@ -67,6 +67,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that exact dedup keeps."""
-    keep = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    """One row of ``docs``, with all columns, of each group of equal texts: that of the largest doc_id,
+    null ids last; of rows that repeat both, the one whose columns hash to the least."""
+    keep = exact_dedup(docs, id_col, text_col).filter("kept").groupBy("doc_id", F.unhex("text_sha256").alias("digest")).agg(F.count("*").alias("n"))
+    rows = with_rows(docs, id_col, text_col).select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "row").alias("r")
+    k = keep.alias("k")
+    kept = rows.join(k, F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.digest") == F.col("k.digest"))).select("r.doc_id", "r.digest", "r.row", "k.n")
+    once = kept.filter("n = 1").select("row")
+    again = kept.filter("n > 1").groupBy("doc_id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return once.unionByName(again).select("row.*")

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import Lookup, bounded_batches, held_out, identified, spans, utf8
+from .common import Lookup, bounded_batches, held_out, identified, quoted, spans, utf8
 
 ORDER = 3
-#: Expected labelled texts a language that are learned from, and the most characters and pieces of each.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_PIECES, MOST_LANGUAGES = 1500, 20_000, 10, 512
+#: Expected labelled texts that are learned from, of a language, at least of any, and of all; the most
+#: characters and pieces of each text; the most languages whose list is broadcast; entries of a dense table.
+SAMPLE_DOCS, LEAST_DOCS, ALL_DOCS, SAMPLE_CHARS, SAMPLE_PIECES, BROADCAST, DENSE = 1500, 8, 60_000, 20_000, 10, 100_000, 1 << 24
 UNKNOWN = "und"
 
 
@@ -29,20 +30,23 @@ def pieces(text):
     return F.when(n <= SAMPLE_CHARS, F.array(text)).otherwise(F.array(*[F.substring(F.col(text), at, F.lit(size)) for at in starts]))
 
 
-def fit(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE_DOCS) -> dict[str, ppm.Model]:
-    """The model of every value of ``lang``.  labelled: doc_id, text, lang (rows with a null are left out).
+def fit(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE_DOCS, total: int = ALL_DOCS) -> dict[str, ppm.Model]:
+    """The model of every value of ``lang``, however many there are.  labelled: doc_id, text, lang (rows
+    with a null are left out).
 
-    Long texts are learned from pieces, so a language all of whose texts are long has a model too.  The sample takes the texts whose hashed id is below a threshold set by the language's count, so
-    it costs no shuffle of texts; what reaches the driver is grams, bounded by the sample."""
-    rows = labelled.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    Long texts are learned from pieces, so a language all of whose texts are long has a model too.  The
+    sample takes the texts whose hashed id is below a threshold set by the language's count, and the
+    least of each language in any case, so it costs no shuffle of texts; what reaches the driver is
+    grams, bounded by the sample."""
+    spark = labelled.sparkSession
+    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    rows = labelled.filter("lang is not null and text is not null").select("lang", "text", draw.alias("draw"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
     if not sizes:
         return {}
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
-    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.filter(draw < share[F.col("lang")]).select("lang", F.explode(pieces("text")).alias("text"))
+    each = min(sample, max(LEAST_DOCS, total // len(sizes)))
+    most = spark.createDataFrame([(r["lang"], max(r["least"], each / r["n"])) for r in sizes], "lang string, most double")
+    chosen = rows.join(F.broadcast(most) if len(sizes) <= BROADCAST else most, "lang").filter("draw <= most").select("lang", F.explode(pieces("text")).alias("text"))
 
     def count(batches):
         for batch in batches:
@@ -58,19 +62,22 @@ def fit(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE_DOCS) -> d
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array(k.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
     table = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    out = {}
-    for lang in sorted(sizes):
-        part = table.filter(pa.compute.equal(table["lang"], lang))
-        out[lang] = ppm.Model(order, part["gram"].to_numpy().astype(np.uint64), part["n"].to_numpy())
-    return out
+    coded = table["lang"].combine_chunks().dictionary_encode()
+    number, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    by = np.argsort(number, kind="stable")
+    cut = np.searchsorted(number[by], np.arange(len(names) + 1))
+    gram, n = table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+    return {names[i]: ppm.Model(order, gram[some := by[cut[i] : cut[i + 1]]], n[some]) for i in sorted(range(len(names)), key=names.__getitem__)}
 
 
 class Scorer:
-    """Code lengths of texts under several models, through one table over the grams they know."""
+    """Code lengths of texts under several models.  Where it stays small, a table has those of the grams that
+    any model knows; all others are computed once for each distinct gram of a piece of text."""
 
     def __init__(self, models: dict[str, ppm.Model], order: int = ORDER):
         self.order, self.names, self.models = order, list(models), list(models.values())
         known = np.unique(np.concatenate([m.levels[order].grams.keys for m in self.models])) if models else np.zeros(0, np.uint64)
+        known = known if len(known) * len(self.models) <= DENSE else known[:0]
         self.known = Lookup(known)
         self.table = np.stack([m.bits(known) for m in self.models], 1).astype(np.float32) if models else np.zeros((0, 0), np.float32)
 
@@ -83,11 +90,10 @@ class Scorer:
             place = self.known.find(keys)
             odd = np.flatnonzero(place < 0)
             new, back = np.unique(keys[odd], return_inverse=True)
-            fresh = np.stack([m.bits(new) for m in self.models], 1) if len(new) else None
-            for k in range(len(self.names)):
+            for k, model in enumerate(self.models):
                 cost = self.table[:, k][place].astype(np.float64) if len(self.table) else np.zeros(len(keys))
-                if fresh is not None:
-                    cost[odd] = fresh[back, k]
+                if len(new):
+                    cost[odd] = model.bits(new).astype(np.float32)[back]
                 out[i:j, k] = np.add.reduceat(cost, at[:-1])
         return out
 
@@ -146,8 +152,11 @@ def with_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which a language is found; rows pass as they are, without a shuffle.
     Where there is no labelled text to learn from, only null texts and texts without a letter go."""
     scorer = Scorer(fit(training_rows(docs)))
-    at = docs.columns.index(text_col)
     bounded_batches(docs.sparkSession)
+    names = docs.columns
+    # inside, columns go by their place: Arrow takes any name, the schema's text form doesn't
+    plain = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)])
+    at = names.index(text_col)
 
     def keep(batches):
         for batch in batches:
@@ -158,4 +167,4 @@ def with_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 good = has_letter(*utf8(batch.column(at)))
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return plain.mapInArrow(keep, plain.schema).toDF(*names)

@@ -6,39 +6,52 @@ The byte-context trie grows with the corpus, so no task holds it and it is never
 2. Grams that share their last two context bytes share every trie node from there up, so their
    code lengths come out of one task; only orders 0 and 1, at most 257 + 257 * 258 counts, are
    sent to all.
-3. Texts are dealt into blocks of bounded size.  A block asks for its own distinct grams and
-   words, gets their code lengths and counts by joins, and scores its texts with them.
+3. Texts are dealt into blocks of bounded size, one a partition.  A block asks for its own distinct
+   grams and words, gets their code lengths and counts by joins, and scores its texts with them.
 
+Words are counted as they are, long ones by their SHA-256, so different words are never one.
 Escapes follow method D with symbol exclusion.  Counts are frozen before any text is scored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import BYTES, U64, Lookup, held_out, identified, prefix, rolled, spans, stored, utf8, words
+from .common import U64, Lookup, held_out, identified, parts, spans, stored, utf8
 
 ORDER = 4
-#: Bytes of text in a block, about.
-BLOCK = 24 << 20
-#: The word that stands for a text's end: the hash of no bytes.
+#: Bytes of text in a block at most, and at least where there are fewer blocks than shuffle partitions.
+BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
 WORD, GRAM = 0, 1
-END_WORD = int(rolled(prefix(np.zeros(0, U64)), np.zeros(1, np.int64), np.zeros(1, np.int64)).view(np.int64)[0])
+#: The longest word that is its own key, and the key of a text's end: a space is in no word.
+LONG_WORD, END_KEY = 32, b" "
 
 
-def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of lower-cased rows, each row followed by its end; n + 1 offsets of the rows."""
-    starts, ends, row = words(data, off)
-    hashes = rolled(prefix(BYTES[data]), starts, ends).view(np.int64)
-    out = np.full(len(hashes) + len(off) - 1, END_WORD, np.int64)
-    out[np.arange(len(hashes)) + np.repeat(np.arange(len(off) - 1), np.diff(row))] = hashes
-    return out, row + np.arange(len(off))
+def word_key(word: bytes) -> bytes:
+    return word if len(word) <= LONG_WORD else END_KEY + hashlib.sha256(word).digest()
+
+
+def word_lists(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The keys of the distinct words of lower-cased rows; each word's row and its place among the keys."""
+    column = column.fill_null("") if column.null_count else column
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
+    coded = lists.flatten().dictionary_encode()
+    names = coded.dictionary.cast(pa.binary()).to_pylist()
+    row = np.repeat(np.arange(len(column)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    index = coded.indices.to_numpy(zero_copy_only=False)
+    # an empty entry stands for white space at a text's ends
+    if b"" in names:
+        some = index != names.index(b"")
+        row, index = row[some], index[some]
+    return [word_key(w) if w else w for w in names], row, index
 
 
 def lowered_chunks(column: pa.Array):
@@ -48,6 +61,30 @@ def lowered_chunks(column: pa.Array):
         yield i, j, ppm.lowered(data[off[i] : off[j]]), off[i : j + 1] - off[i]
 
 
+def even_keys(n: int) -> np.ndarray:
+    """n numbers that hash partitioning deals to n different partitions: the i-th to partition i."""
+    out, left, at = np.full(n, -1, np.int64), n, 0
+    while left:
+        k = np.arange(at, at + max(1024, 4 * left), dtype=np.int64).astype(np.uint32)
+        at += len(k)
+        place = murmur(k) % n
+        place, first = np.unique(place, return_index=True)
+        new = out[place] < 0
+        out[place[new]] = k[first[new]]
+        left = int((out < 0).sum())
+    return out
+
+
+def murmur(k: np.ndarray, seed: int = 42) -> np.ndarray:
+    """Murmur3 of 32-bit integers, as Spark's hash partitioning has it."""
+    turn = lambda x, r: (x << np.uint32(r)) | (x >> np.uint32(32 - r))
+    h = np.uint32(seed) ^ (turn(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593))
+    h = (turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
+    for shift, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ (h >> np.uint32(shift))) * np.uint32(m)
+    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64)
+
+
 class Tally:
     """Sums by key of a stream, held as sorted arrays that are merged when they have doubled."""
 
@@ -69,19 +106,28 @@ class Tally:
         return self.parts[0]
 
 
-def emit(kind: int, keys: np.ndarray, more: np.ndarray | None, names: list[str], step: int = 200_000):
-    for i in range(0, len(keys), step):
-        k = keys[i : i + step].astype(U64).view(np.int64)
-        columns = [pa.array(np.full(len(k), kind, np.int8)), pa.array(k)]
-        yield pa.RecordBatch.from_arrays(columns + ([pa.array(more[i : i + step])] if more is not None else []), names)
+def emit(tally: Tally, words: dict[bytes, int], block: int | None = None, step: int = 200_000):
+    """Rows (kind, key, word, n), or (block, kind, key, word) for a block."""
+    keys, n = tally.merge()
+    found = list(words)
+    for kind, size in ((GRAM, len(keys)), (WORD, len(found))):
+        for i in range(0, size, step):
+            m = min(step, size - i)
+            columns = {"block": pa.array(np.full(m, block or 0, np.int32)), "kind": pa.array(np.full(m, kind, np.int8))}
+            if kind == GRAM:
+                columns |= {"key": pa.array(keys[i : i + m].astype(U64).view(np.int64)), "word": pa.array([b""] * m, pa.binary()), "n": pa.array(n[i : i + m])}
+            else:
+                columns |= {"key": pa.array(np.zeros(m, np.int64)), "word": pa.array(found[i : i + m], pa.binary()), "n": pa.array([words[w] for w in found[i : i + m]], pa.int64())}
+            names = ["kind", "key", "word", "n"] if block is None else ["block", "kind", "key", "word"]
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
 
 def corpus_counts(rows: DataFrame, order: int) -> DataFrame:
-    """(kind, key, n): training counts of all words and grams; grams of other texts have n = 0.
+    """(kind, key, word, n): training counts of all words and grams; grams of other texts have n = 0.
     rows: train (boolean), text."""
 
     def count(batches):
-        gram, word = Tally(), Tally()
+        gram, words = Tally(), {}
         for batch in batches:
             train = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
             for i, j, data, off in lowered_chunks(batch.column(1)):
@@ -93,13 +139,15 @@ def corpus_counts(rows: DataFrame, order: int) -> DataFrame:
                     for learn in (True, False):
                         k, n = ppm.distinct(keys[(counts > 0) == learn])
                         gram.add(k, n * learn)
-                if train[i:j].any():
-                    hashes, at = tokens(data, off)
-                    word.add(*ppm.distinct(hashes[np.repeat(train[i:j], np.diff(at))].view(U64)))
-        for kind, tally in ((GRAM, gram), (WORD, word)):
-            yield from emit(kind, *tally.merge(), ["kind", "key", "n"])
+            if train.any():
+                names, _, index = word_lists(batch.column(1).filter(batch.column(0)))
+                for w, n in zip(names, np.bincount(index, minlength=len(names)).tolist(), strict=True):
+                    if n:
+                        words[w] = words.get(w, 0) + n
+                words[END_KEY] = words.get(END_KEY, 0) + int(train.sum())
+        yield from emit(gram, words)
 
-    return rows.mapInArrow(count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "kind byte, key long, word binary, n long").groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
 
 
 def gram_costs(counts: DataFrame, order: int) -> DataFrame:
@@ -145,55 +193,54 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     totals = counts.filter(F.col("kind") == WORD).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, kinds = totals["n"] or 0, totals["v"]
     size = table.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block))
+    blocks = max(1, math.ceil(size / block), min(parts(docs.sparkSession), math.ceil(size / min(block, LEAST_BLOCK))))
     costs = gram_costs(counts.filter(F.col("kind") == GRAM).select("key", "n"), order)
-    known = counts.filter(F.col("kind") == WORD).select(F.lit(WORD).cast("byte").alias("kind"), "key", F.col("n").cast("double").alias("value"))
-    values = known.unionByName(costs.select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value"))
-    dealt = table.select(F.pmod(F.xxhash64("doc_id", "h"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text").repartition(blocks, "block")
+    known = counts.filter(F.col("kind") == WORD).select("kind", "key", "word", F.col("n").cast("double").alias("value"))
+    values = known.unionByName(costs.select(F.lit(GRAM).cast("byte").alias("kind"), "key", F.lit(b"").alias("word"), "value"))
+    # blocks have numbers that hash partitioning deals to a partition each
+    number = F.get(F.split(F.lit(",".join(map(str, even_keys(blocks)))), ",").cast("array<int>"), F.pmod(F.xxhash64("doc_id", "h"), F.lit(blocks)).cast("int"))
+    dealt = table.select(number.alias("block"), "doc_id", "text").repartition(blocks, "block")
 
     def wanted(batches):
-        tallies: dict[int, tuple[Tally, Tally]] = {}
+        tallies: dict[int, tuple[Tally, dict]] = {}
         for batch in batches:
             number = batch.column(0).to_numpy()
             for b in np.unique(number).tolist():
                 some = batch.filter(pa.array(number == b)) if (number != b).any() else batch
-                gram, word = tallies.setdefault(b, (Tally(), Tally()))
+                gram, words = tallies.setdefault(b, (Tally(), {}))
                 for _, _, data, off in lowered_chunks(some.column(2)):
                     gram.add(*ppm.distinct(ppm.grams(data, off, order)[0]))
-                    word.add(*ppm.distinct(tokens(data, off)[0].view(U64)))
-        for b, pair in tallies.items():
-            for kind, tally in zip((GRAM, WORD), pair, strict=True):
-                for out in emit(kind, tally.merge()[0], None, ["kind", "key"]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(out.num_rows, b, np.int32)), *out.columns], ["block", "kind", "key"])
+                words.update(dict.fromkeys(filter(None, word_lists(some.column(2))[0]), 0))
+        for b, (gram, words) in tallies.items():
+            yield from emit(gram, words | {END_KEY: 0}, b)
 
-    needs = dealt.mapInArrow(wanted, "block int, kind byte, key long").join(values, ["kind", "key"])
+    needs = dealt.mapInArrow(wanted, "block int, kind byte, key long, word binary").join(values, ["kind", "key", "word"]).select("block", "kind", "key", "word", "value")
 
     def rate(texts: pa.Table, found: pa.Table) -> pa.Table:
         kind, key, value = (found[k].to_numpy() for k in ("kind", "key", "value"))
-        look = {}
-        for k in (WORD, GRAM):
-            own = np.flatnonzero(kind == k)
-            own = own[np.argsort(key[own].view(U64))]
-            look[k] = Lookup(key[own].view(U64)), value[own]
+        own = np.flatnonzero(kind == GRAM)
+        own = own[np.argsort(key[own].view(U64))]
+        grams, cost = Lookup(key[own].view(U64)), value[own]
+        own = np.flatnonzero(kind == WORD)
+        counted = dict(zip(found["word"].take(pa.array(own)).to_pylist(), value[own].tolist(), strict=True))
         rows = []
         for batch in texts.select(["doc_id", "text"]).to_batches():
-            columns: list[list] = [[] for _ in range(4)]
+            names, row, index = word_lists(batch.column(1))
+            n = np.array([counted.get(w, 0.0) for w in names], float)[index]
+            end = counted.get(END_KEY, 0.0)
+            sums = lambda x, last: np.bincount(row, x, batch.num_rows) + last  # noqa: E731, B023
+            size = (np.bincount(row, minlength=batch.num_rows) + 1).astype(np.int64)
+            bits = [np.zeros(0)]
             for _, _, data, off in lowered_chunks(batch.column(1)):
                 keys, at = ppm.grams(data, off, order)
-                place = look[GRAM][0].find(keys)
-                columns[3].append(np.add.reduceat(look[GRAM][1][place], at[:-1]))
-                hashes, at = tokens(data, off)
-                place = look[WORD][0].find(hashes.view(U64))
-                n = np.where(place >= 0, look[WORD][1][place], 0) if len(look[WORD][1]) else np.zeros(len(place))
-                columns[0].append(np.diff(at))
-                columns[1].append(np.add.reduceat((n > 0).astype(np.int64), at[:-1]))
-                columns[2].append(np.add.reduceat(np.log10((n + 1) / (total + kinds + 1)), at[:-1]))
-            done = [pa.array(np.concatenate(c)) for c in columns]
-            rows.append(pa.RecordBatch.from_arrays([batch.column(0), done[0], done[1], pa.array(np.full(batch.num_rows, total)), done[2], done[3]], names))
+                bits.append(np.add.reduceat(cost[grams.find(keys)], at[:-1]))
+            least = total + kinds + 1
+            columns = [size, sums(n > 0, end > 0).astype(np.int64), np.full(batch.num_rows, total), sums(np.log10((n + 1) / least), math.log10((end + 1) / least)), np.concatenate(bits)]
+            rows.append(pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names_))
         return pa.Table.from_batches(rows, schema) if rows else schema.empty_table()
 
-    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    schema = pa.schema([*((n, pa.int64()) for n in names[:4]), *((n, pa.float64()) for n in names[4:])])
+    names_ = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    schema = pa.schema([*((n, pa.int64()) for n in names_[:4]), *((n, pa.float64()) for n in names_[4:])])
     return dealt.groupBy("block").cogroup(needs.groupBy("block")).applyInArrow(rate, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

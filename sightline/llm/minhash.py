@@ -18,12 +18,14 @@ shingles of the whole texts.  Groups are the connected components of the verifie
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTES, U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, words
+from .common import U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, with_rows, words
 from .components import components
 
 #: Words of a shingle, least similarity of a link, bands, and registers of a band.
@@ -34,12 +36,10 @@ ORDER_DOCS, ORDER_SHINGLES = 20_000, 1 << 20
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int):
-    """(row, shingle, weight) of the distinct shingles of each row, sorted, and each row's word sequence
-    as two hashes.  A row of fewer words has one shingle, all its words; one without words has none."""
+    """(row, shingle, weight) of the distinct shingles of each row, sorted.  A row of fewer words has one
+    shingle, all its words; one without words has none."""
     starts, ends, at = words(data, off)
-    hashes = rolled(prefix(BYTES[data]), starts, ends)
-    p = prefix(hashes)
-    whole = rolled(p, at[:-1], at[1:]), rolled(prefix(mix(hashes + U64(0x51ED270B))), at[:-1], at[1:])
+    p = prefix(rolled(prefix(data), starts, ends))
     n = np.diff(at)
     count = np.where(n >= size, n - size + 1, np.minimum(n, 1))
     first = ragged(at[:-1], count)
@@ -48,7 +48,13 @@ def shingles(data: np.ndarray, off: np.ndarray, size: int):
     order = np.lexsort((value, row))
     row, value = row[order], value[order]
     new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (value[1:] != value[:-1])])) if len(row) else np.zeros(0, np.int64)
-    return row[new], value[new], np.diff(np.append(new, len(row))), whole
+    return row[new], value[new], np.diff(np.append(new, len(row)))
+
+
+def same_words(data: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """What texts with the same words in the same order, and no others, have in common: a SHA-256."""
+    raw = data.tobytes()
+    return [hashlib.sha256(b" ".join(raw[i:j].split())).digest() for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
 
 
 def signatures(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int, registers: int) -> np.ndarray:
@@ -101,13 +107,19 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return max(plain, total)
 
 
+def packed(value: np.ndarray, weight: np.ndarray) -> bytes:
+    """A sorted list of shingles, with its weights if any shingle repeats."""
+    many = len(weight) and weight.max() > 1
+    return bytes([bool(many)]) + value.astype("<u8").tobytes() + (weight.astype("<u4").tobytes() if many else b"")
+
+
 def read(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The sorted shingles and weights of a packed list."""
-    value, weight = np.frombuffer(raw, "<u4").reshape(2, -1)
-    if len(value) > 1 and (value[1:] == value[:-1]).any():
-        new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-        value, weight = value[new], np.add.reduceat(weight, new)
-    return value, weight
+    if raw[0]:
+        n = (len(raw) - 1) // 12
+        return np.frombuffer(raw, "<u8", n, 1), np.frombuffer(raw, "<u4", n, 1 + 8 * n)
+    value = np.frombuffer(raw, "<u8", -1, 1)
+    return value, np.ones(len(value), "<u4")
 
 
 def leading(value: np.ndarray, weight: np.ndarray, frequency: np.ndarray, similar: float) -> np.ndarray:
@@ -129,22 +141,22 @@ def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
     def tokens(batches):
         for batch in batches:
             values = [read(x.as_py())[0] for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, "<u4"), *values]).astype(np.int64))], ["shingle"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, "<u8"), *values]).astype(np.int64))], ["shingle"])
 
     drawn = lists.filter(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30)) < rate * (1 << 30))
     often = drawn.select("list").mapInArrow(tokens, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
     known, number = often["shingle"].to_numpy(), often["n"].to_numpy()
     by = np.argsort(known)
     # the sentinel is no shingle: every search ends at a place
-    known, number = np.append(known[by], 1 << 33), np.append(number[by], 0)
+    known, number = np.append(known[by], 1 << 62), np.append(number[by], 0)
 
     def prefixes(batches):
         for batch in batches:
             rows, values, rests, sizes, flat = [], [], [], [], []
             for k, x in enumerate(batch.column(2)):
                 value, weight = read(x.as_py())
-                at = np.searchsorted(known, value)
-                lead = value[leading(value, weight, np.where(known[at] == value, number[at], 0), similar)]
+                at = np.searchsorted(known, value.astype(np.int64))
+                lead = value[leading(value, weight, np.where(known[at] == value.astype(np.int64), number[at], 0), similar)]
                 rows.append(np.full(len(lead), k))
                 values.append(lead.astype(np.int64))
                 rests.append(len(value) - np.arange(len(lead)))
@@ -180,11 +192,9 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
             data, off = utf8(batch.column(1))
             ids = batch.column(0).to_numpy()
             for i, j in spans(off):
-                row, value, weight, _ = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
+                row, value, weight = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
                 at = np.searchsorted(row, np.arange(j - i + 1))
-                # 32 bits tell the shingles of two documents apart; equal ones add their weights
-                packed = [np.stack([(value[a:b] >> U64(32)).astype("<u4"), weight[a:b].astype("<u4")]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(packed, pa.binary())], ["doc_id", "list"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array([packed(value[a:b], weight[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["doc_id", "list"])
 
     known = stored(docs.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lists, "doc_id long, list binary"), "lists")
 
@@ -209,48 +219,69 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
     return links.unionByName(verified(more.join(pairs, ["a", "b"], "left_anti")))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: float = SIMILAR, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row for each input row: doc_id, class_id (the least doc_id of its group), kept.
-
-    Texts with the same words in the same order are one class, and so are texts without any word
-    (null, empty, white space); they meet the others through their least doc_id.  Two classes are
-    linked if the probability Jaccard of their shingle counts, or the Jaccard of their shingle sets,
-    is at least ``similar``; shorter texts have one shingle.  The least doc_id of a group is kept,
-    all its rows if it repeats.  Rows with a null doc_id are kept with a null class.
-    """
-    table = identified(docs, id_col, text_col).select("doc_id", "text")
+def near_groups(docs: DataFrame, id_col: str, text_col: str, size: int, similar: float, n_bands: int, rows: int) -> DataFrame:
+    """(doc_id, h, class_id, kept) of each input row; h: the hash of its text."""
+    table = identified(docs, id_col, text_col)
     registers = n_bands * rows
 
     def sign(batches):
         for batch in batches:
-            data, off = utf8(batch.column(1))
+            data, off = utf8(batch.column(2))
             for i, j in spans(off):
-                row, value, weight, whole = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
+                part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                row, value, weight = shingles(part, at, size)
                 keys = bands(signatures(row, value, weight, j - i, registers), rows)
                 some = np.isin(np.arange(j - i), row)
                 # the signature over the set is the same one where no shingle repeats
                 again = np.unique(row[weight > 1])
-                part = np.isin(row, again)
-                extra = bands(signatures(np.searchsorted(again, row[part]), value[part], np.ones(part.sum()), len(again), registers), rows)
+                own = np.isin(row, again)
+                extra = bands(signatures(np.searchsorted(again, row[own]), value[own], np.ones(own.sum()), len(again), registers), rows)
                 owner = np.concatenate([np.repeat(np.flatnonzero(some), n_bands), np.repeat(again, n_bands)])
                 both = np.concatenate([keys[some].ravel(), extra.ravel()])
                 order = np.lexsort((both, owner))
                 owner, both = owner[order], both[order]
                 # a band that both signatures agree in is listed once
                 new = np.append(True, (owner[1:] != owner[:-1]) | (both[1:] != both[:-1])) if len(owner) else np.zeros(0, bool)
-                at = np.searchsorted(owner[new], np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *(pa.array(w.view(np.int64)) for w in whole), pa.ListArray.from_arrays(at, pa.array(both[new].view(np.int64)))], ["doc_id", "c1", "c2", "bands"])
+                to = np.searchsorted(owner[new], np.arange(j - i + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(same_words(part, at), pa.binary()), pa.ListArray.from_arrays(to, pa.array(both[new].view(np.int64)))], ["doc_id", "h", "words", "bands"])
+
+    signed = stored(table.mapInArrow(sign, "doc_id long, h long, words binary, bands array<long>"), "signed")
+    first = signed.filter("doc_id is not null").groupBy("words").agg(F.min(F.struct("doc_id", "h")).alias("rep")).select("words", "rep.*")
+    # classes meet under the doc_id of their first row; where rows repeat an id, under a hash of their own
+    shared = first.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", F.lit(True).alias("shared"))
+    node = F.when(F.col("shared"), F.xxhash64("words", F.lit("class"))).otherwise(F.col("doc_id"))
+    classes = stored(first.join(shared, "doc_id", "left").select("words", F.col("doc_id").alias("rep"), F.col("h").alias("rep_h"), node.alias("node")), "classes")
+    reps = signed.join(classes.select("words", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"), "node"), ["words", "doc_id", "h"]).select(F.col("node").alias("doc_id"), "bands")
+    texts = table.join(classes.select(F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"), "node"), ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text")
+    labels = stored(components(near_links(texts, reps, size, similar)), "groups")
+    linked = stored(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "linked")
+    least = linked.groupBy("label").agg(F.min(F.struct("rep", "rep_h")).alias("least"))
+    known = linked.join(least, "label").select("words", "least", (F.struct("rep", "rep_h") == F.col("least")).alias("leads"))
+    found = signed.select("doc_id", "h", "words").join(known, "words", "left")
+    alone = F.col("doc_id").isNull()
+    kept = F.col("leads") & (F.struct(F.col("doc_id").alias("rep"), F.col("h").alias("rep_h")) == F.col("least"))
+    return found.select("doc_id", "h", F.when(~alone, F.col("least.rep")).alias("class_id"), F.when(alone, True).otherwise(F.coalesce(kept, F.lit(False))).alias("kept"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: float = SIMILAR, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row for each input row: doc_id, class_id (the least doc_id of its group), kept.
 
-    signed = stored(table.mapInArrow(sign, "doc_id long, c1 long, c2 long, bands array<long>"), "signed")
-    classes = stored(signed.filter("doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")), "classes")
-    members = signed.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
-    reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "c1", "c2"), ["doc_id", "c1", "c2"], "left_semi").select("doc_id", "bands")
-    labels = components(near_links(table, reps, size, similar))
-    found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
-    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    Texts with the same words in the same order are one class, and so are texts without any word
+    (null, empty, white space); they meet the others through their first row, that of the least
+    (doc_id, hash of text).  Two classes are linked if the probability Jaccard of their shingle counts,
+    or the Jaccard of their shingle sets, is at least ``similar``; shorter texts have one shingle.  The
+    first row of a group is kept.  Rows that repeat a doc_id are told apart by their texts; rows that
+    repeat both are alike.  Rows with a null doc_id are kept with a null class.
+    """
+    return near_groups(docs, id_col, text_col, size, similar, n_bands, rows).drop("h")
 
 
 def first_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that near-dedup keeps."""
-    keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    """One row of ``docs``, with all columns, of each group, and all rows with a null doc_id.  Of rows that
+    repeat doc_id and text, the one stays whose columns hash to the least."""
+    keep = near_groups(docs, "doc_id", "text", SHINGLE, SIMILAR, BANDS, ROWS).filter("kept and doc_id is not null").groupBy("doc_id", "h").agg(F.count("*").alias("n"))
+    rows = with_rows(docs).select("doc_id", "h", "row")
+    kept = rows.join(keep, ["doc_id", "h"])
+    once = kept.filter("n = 1").select("row")
+    again = kept.filter("n > 1").groupBy("doc_id", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return once.unionByName(again).unionByName(rows.filter("doc_id is null").select("row")).select("row.*")

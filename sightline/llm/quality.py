@@ -1,7 +1,7 @@
 """Quality classifier: gated-attention multiple-instance learning over passages.
 
-A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded from its own bytes
-(shape statistics and pairs of character classes) by a learned layer; gated attention weighs the
+A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded from its own words and
+bytes (hashed words, pairs of character classes, shape statistics) by a learned layer; gated attention weighs the
 passages, and the weighted mean is scored.  Only documents carry labels, so the attention learns
 which passages decide.  The model is fitted on a bounded sample of labelled rows and then scores
 every passage of every whole text.
@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTES, held_out, identified, prefix, rolled, spans, utf8, words
+from .common import U64, held_out, identified, mix, prefix, rolled, spans, utf8, words
 
 PASSAGE = 32
-#: Expected labelled documents that are learned from, the longest of them in bytes, and passes over them.
-SAMPLE, SAMPLE_BYTES, EPOCHS = 4000, 1 << 16, 30
+#: Expected labelled documents that are learned from, the most passages of each (spread evenly over it), and passes over them.
+SAMPLE, SAMPLE_PASSAGES, EPOCHS = 4000, 64, 30
 HIDDEN, ATTENTION, THRESHOLD = 24, 12, 0.3
 
 #: Character classes: lower, upper, beyond ASCII, digit, space, newline, full stop, comma, exclamation mark, bar, other.
@@ -27,7 +27,9 @@ _CLASS = np.full(256, 10, np.int64)
 for _c, _members in enumerate((range(97, 123), range(65, 91), range(128, 256), range(48, 58), (32, 9), range(10, 14), (46,), (44,), (33,), (124,))):
     _CLASS[list(_members)] = _c
 STATS = 6
-DIMS = CLASSES * CLASSES + CLASSES + STATS
+#: Slots that words are hashed to.
+WORDS = 128
+DIMS = CLASSES * CLASSES + CLASSES + WORDS + STATS
 
 
 def passages(data: np.ndarray, off: np.ndarray, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +58,7 @@ def passages(data: np.ndarray, off: np.ndarray, size: int = PASSAGE) -> tuple[np
     inside = np.flatnonzero(total[1:] == total[:-1])
     pair = np.bincount((total[inside] * CLASSES + kind[inside]) * CLASSES + kind[inside + 1], minlength=len(out) * CLASSES**2).reshape(len(out), -1)
     size_of = np.maximum(1, single.sum(1, keepdims=True))
-    hashes = rolled(prefix(BYTES[data]), starts, ends)
+    hashes = rolled(prefix(data), starts, ends)
     k = np.bincount(place, minlength=len(out)).astype(float)
     some = np.maximum(1, k)
     order = np.lexsort((hashes, place))
@@ -67,7 +69,9 @@ def passages(data: np.ndarray, off: np.ndarray, size: int = PASSAGE) -> tuple[np
     mean = np.bincount(place, wide, len(out)) / some
     spread = np.sqrt(np.maximum(0, np.bincount(place, wide * wide, len(out)) / some - mean * mean))
     out[:, : CLASSES**2] = np.sqrt(pair / size_of)
-    out[:, CLASSES**2 : -STATS] = np.sqrt(single / size_of)
+    out[:, CLASSES**2 : CLASSES**2 + CLASSES] = np.sqrt(single / size_of)
+    slot = np.bincount(place * WORDS + (mix(hashes) % U64(WORDS)).astype(np.int64), minlength=len(out) * WORDS).reshape(len(out), -1)
+    out[:, -STATS - WORDS : -STATS] = np.sqrt(slot / some[:, None])
     out[:, -STATS:] = np.stack([kinds / some, again / some, mean / 10, spread / 10, np.log1p(k) / 4, np.log1p(size_of[:, 0]) / 8], 1)
     return out, to
 
@@ -137,14 +141,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     """Learns from labels (doc_id, label 0 or 1) and the texts of docs (doc_id, text); None without a label.
 
     The sample takes the labelled ids whose hash is below a threshold, ``sample`` of them in
-    expectation, so the broadcast and what reaches the driver stay bounded."""
+    expectation, so the broadcast and what reaches the driver stay bounded: at most ``SAMPLE_PASSAGES``
+    passages a document.  Scores take all passages."""
     rows = labels.filter("doc_id is not null and label in (0, 1)")
     n = rows.count()
     if not n:
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.filter(draw < min(1.0, sample / n)).select("doc_id", F.col("label").cast("int").alias("label"))
-    texts = docs.join(F.broadcast(chosen), "doc_id").filter(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "label", "text")
+    texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+
+    def some(a: int, b: int) -> np.ndarray:
+        return np.unique(np.linspace(a, b - 1, min(b - a, SAMPLE_PASSAGES)).round().astype(np.int64))
 
     def encode(batches):
         for batch in batches:
@@ -152,11 +160,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
             out: list[bytes] = []
             for i, j in spans(off):
                 x, to = passages(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                out += [x[a:b].tobytes() for a, b in zip(to[:-1], to[1:], strict=True)]
+                out += [x[some(a, b)].astype(np.float16).tobytes() for a, b in zip(to[:-1], to[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "label", "bag"])
 
     table = texts.mapInArrow(encode, "doc_id long, label int, bag binary").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    bags = [np.frombuffer(x.as_py(), np.float32).reshape(-1, DIMS) for x in table["bag"]]
+    bags = [np.frombuffer(x.as_py(), np.float16).reshape(-1, DIMS).astype(np.float32) for x in table["bag"]]
     if not bags:
         return None
     every = np.concatenate(bags)

@@ -1,56 +1,172 @@
 """Substring dedup: repeated fixed-length windows of words, by Rabin-Karp hashes counted in Spark.
 
-Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Every window of ``window`` words has a rolling hash;
-windows that may repeat (see ``anchors``) are counted by hash, and a window goes if it also starts
-in a document with a smaller doc_id.  Removed windows merge into maximal intervals of words.
+Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Every window of ``window`` words of every document has
+a Rabin-Karp hash of 93 bits: 61 by one base, 32 by another that is independent of it.  Windows are
+counted by hash: a window goes if its hash also stands in a document with a smaller doc_id.
+
+One row a window would shuffle many times the input, so windows travel packed.  A batch of documents
+counts its own windows first and sends on those of its least doc_id only, however often it repeats a
+window: a window that a third of all documents hold costs one entry a batch.  Entries are dealt by
+hash into buckets of bounded size, packed in the order of their documents, and each bucket is counted
+in one task.  Removed windows merge into maximal intervals of words.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import LOW31, OTHER, POWERS, U64, identified, packed_runs, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
+
+#: Words of a window, and bytes of text whose windows fill a bucket.
+WINDOW, BUCKET = 50, 12 << 20
+ENTRIES = "bucket int, ids binary, tags binary, sizes binary, places binary, hashes binary"
+
+
+def window_hashes(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """(row, first word, 61-bit hash, 32-bit hash) of every window of ``size`` words, in order."""
+    starts, ends, at = words(data, off)
+    count = np.maximum(0, np.diff(at) - size + 1)
+    full = np.flatnonzero(count)
+    start = ragged(at[full], count[full])
+    row = np.repeat(full, count[full])
+    found = [rolled(prefix(rolled(prefix(data, powers), starts, ends, powers), powers), start, start + size, powers) for powers in (POWERS, OTHER)]
+    return row, (start - at[row]).astype(np.uint32), found[0], (found[1] & U64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def of_later(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether each window's hash also stands under a smaller id."""
+    order = np.argsort(one)
+    a, b = one[order], two[order]
+    same = a[1:] == a[:-1]
+    if (same & (b[1:] != b[:-1])).any():
+        order = np.lexsort((two, one))
+        a, b = one[order], two[order]
+        same = a[1:] == a[:-1]
+    out = np.zeros(len(ids), bool)
+    if same.any():
+        head = np.flatnonzero(np.concatenate([[True], ~same | (b[1:] != b[:-1])]))
+        sizes = np.diff(np.append(head, len(a)))
+        some = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        head, sizes = np.append(0, np.cumsum(sizes[sizes > 1]))[:-1], sizes[sizes > 1]
+        place = order[some]
+        out[place] = ids[place] > np.repeat(np.minimum.reduceat(ids[place], head), sizes)
+    return out
+
 
-from .anchors import Repeats, cut
-from .common import utf8, words
+def entries(bucket: np.ndarray, ids: np.ndarray, tags: np.ndarray, row: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray, width: int = 8):
+    """Rows of ``ENTRIES``, one a bucket; windows come in the order of their rows.  ``width`` bytes of the first hash go along."""
+    order = np.argsort(bucket, kind="stable")
+    number, row, first, one, two = bucket[order], row[order], first[order], one[order], two[order]
+    cut = np.append(np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])), len(number)) if len(number) else np.zeros(1, np.int64)
+    out = []
+    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        own, sizes = packed_runs(row[i:j])
+        out.append((int(number[i]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[i:j].astype("<u4")), planes(one[i:j].astype("<u8"), width) + planes(two[i:j].astype("<u4"))))
+    kinds = [pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(6)], [f.split()[0] for f in ENTRIES.split(", ")])
 
-#: Words of a window and of the k-grams that route it.
-WINDOW, GRAM = 50, 25
 
+def found_rows(ids: np.ndarray, tags: np.ndarray, row: np.ndarray, first: np.ndarray) -> pa.Table:
+    """(doc_id, t, places): the first words of the windows of each run of equal rows."""
+    own, sizes = packed_runs(row)
+    ends = np.append(0, np.cumsum(sizes)).tolist()
+    first = first.astype("<u4")
+    return pa.table({"doc_id": pa.array(ids[own], pa.int64()), "t": pa.array(tags[own], pa.int64()), "places": pa.array([first[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())})
 
-def repeated_windows(repeats: Repeats) -> DataFrame:
-    rows = repeats.classed()
-    known = rows.filter("later").select("doc_id", "t", "first", "n")
-    return known.unionByName(repeats.later_windows(rows.filter("not later and classes is not null")))
 
+def repeated_windows(table: DataFrame, window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, t, places): the windows that also start in a document with a smaller doc_id, in parts.
+    table: (doc_id, h, text)."""
+    rows = table.filter("doc_id is not null").select("doc_id", "h", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a bucket's number is the first bits of its hashes; if those are five, seven bytes say the rest
+    bits = max(0, math.ceil(math.log2(max(1, size / bucket))))
+    width = 7 if bits >= 5 else 8
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    def count(batches):
+        for batch in batches:
+            data, off = utf8(batch.column(2))
+            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            got = []
+            for i, j in spans(off):
+                row, *more = window_hashes(data[off[i] : off[j]], off[i : j + 1] - off[i], window)
+                got.append((row + i, *more))
+            row, first, one, two = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.zeros(0, t) for t in (np.int64, np.uint32, U64, np.uint32))
+            later = of_later(ids[row], one, two)
+            here = np.flatnonzero(later)
+            if len(here):
+                # settled in the batch: under a number of the batch's own below zero
+                mark = -1 - int(one[0] & LOW31)
+                yield entries(np.full(len(here), mark, np.int32), ids, tags, row[here], first[here], np.zeros(len(here), U64), np.zeros(len(here), np.uint32))
+            rest = np.flatnonzero(~later)
+            # the bucket's own bits lead the 61-bit hash
+            number = (one[rest] >> U64(61 - bits)).astype(np.int32)
+            yield entries(number, ids, tags, row[rest], first[rest], one[rest], two[rest], width)
+
+    def settle(key, group):
+        ids, tags, sizes, first, one, two = [], [], [], [], [], []
+        for r in group.to_pylist():
+            sizes.append(np.frombuffer(r["sizes"], "<u4"))
+            n = int(sizes[-1].sum())
+            ids.append(np.frombuffer(r["ids"], "<i8"))
+            tags.append(np.frombuffer(r["tags"], "<i8"))
+            first.append(unplanes(r["places"], n, 4, "<u4"))
+            wide = len(r["hashes"]) // n - 4
+            one.append(unplanes(r["hashes"][: wide * n], n, wide, "<u8"))
+            two.append(unplanes(r["hashes"][wide * n :], n, 4, "<u4"))
+        ids, tags, sizes, first, one, two = (np.concatenate(x) for x in (ids, tags, sizes, first, one, two))
+        row = np.repeat(np.arange(len(ids)), sizes)
+        some = np.arange(len(row)) if key[0].as_py() < 0 else np.flatnonzero(of_later(ids[row], one, two))
+        return found_rows(ids, tags, row[some], first[some])
+
+    return stored(rows.mapInArrow(count, ENTRIES).groupBy("bucket").applyInArrow(settle, "doc_id long, t long, places binary"), "windows")
+
+
+def intervals(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal intervals that windows of ``size`` from ``places`` cover."""
+    if not len(places):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.unique(places).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > first[:-1] + size]))
+    return first[new], first[np.append(new[1:] - 1, len(first) - 1)] + size
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
     """One row for each input row: doc_id, n_words, n_removed, kept_sha256, kept_text, removed (spans of words).
 
     Windows are judged on the input.  Null, empty and shorter texts lose nothing; the kept words are
-    joined by one space.  Repeats inside a document, and in rows of the same doc_id, stay.
+    joined by one space.  Repeats inside a document, and in rows of the same doc_id, stay; rows with a
+    null doc_id keep all their words.  Columns other than the two named are not read, whatever their names.
     """
-    repeats = Repeats(docs, "word", window, gram, within=False, id_col=id_col, text_col=text_col)
-
-    def finish(batch, intervals):
-        data, off = utf8(batch.column(1))
-        starts, ends, row = words(data, off)
-        raw = data.tobytes()
-        counts, gone, kept, removed = [], [], [], []
-        for i, (first, end) in enumerate(intervals):
-            a, b = int(row[i]), int(row[i + 1])
-            keep = np.ones(b - a, bool)
-            for x, y in zip(first.tolist(), end.tolist(), strict=True):
-                keep[x:y] = False
-            index = a + np.flatnonzero(keep)
-            counts.append(b - a)
-            gone.append(b - a - len(index))
-            kept.append(b" ".join([raw[x:y] for x, y in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]))
-            removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
-        digest = [hashlib.sha256(x).hexdigest() for x in kept]
-        span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array([x.decode() for x in kept], pa.string()), pa.array(removed, span)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "removed"])
-
-    return cut(repeats.docs, repeated_windows(repeats), window, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<struct<first: long, end: long>>")
+    table = identified(docs, id_col, text_col)
+    gone = repeated_windows(table, window, bucket).groupBy("doc_id", "t").agg(F.collect_list("places").alias("parts"))
+
+    def finish(batches):
+        for batch in batches:
+            data, off = utf8(batch.column(1))
+            starts, ends, row = words(data, off)
+            raw = data.tobytes()
+            counts, lost, kept, removed = [], [], [], []
+            for i, parts in enumerate(batch.column(2).to_pylist()):
+                a, b = int(row[i]), int(row[i + 1])
+                keep = np.ones(b - a, bool)
+                first, end = intervals(np.frombuffer(b"".join(parts or ()), "<u4"), window)
+                for x, y in zip(first.tolist(), end.tolist(), strict=True):
+                    keep[x:y] = False
+                index = a + np.flatnonzero(keep)
+                counts.append(b - a)
+                lost.append(b - a - len(index))
+                kept.append(b" ".join([raw[x:y] for x, y in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]))
+                removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
+            digest = [hashlib.sha256(x).hexdigest() for x in kept]
+            span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(digest, pa.string()), pa.array([x.decode() for x in kept], pa.string()), pa.array(removed, span)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "removed"])
+
+    both = table.join(gone, (table["doc_id"] == gone["doc_id"]) & (table["h"] == gone["t"]), "left").select(table["doc_id"], "text", "parts")
+    return both.mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<struct<first: long, end: long>>")

@@ -3,14 +3,16 @@
 The components of the vectors are split into ``LISTS`` dimension blocks; each block is a list of
 partial scores, and a score is the sum over the lists.
 
-1. Every list gives its own k best entries a query.  Their exact scores bound the k-th best score
-   of the query from below: the cutoff.
+1. Every list gives its own k best entries a query, of one vector block in ``FIRST``.  Only their
+   exact scores are computed; the k-th best of a query bounds its result from below: the cutoff.
 2. Each query's cutoff goes to all lists.  A vector that reaches it has at least one partial score
-   of cutoff / LISTS, so entries below that uniform threshold are safe to leave out.
-3. The entries that are left are resolved exactly, and the k best are kept.
+   of cutoff / LISTS, and partial scores that add up to it.  Lists are multiplied in single precision
+   (double where numbers are large), and entries that stay below either bound are left out.
+3. The exact scores of the entries that are left are resolved in whole numbers, and the k best kept.
 
-Vectors and queries are packed into blocks of bounded size and met block by block through an
-equi-join on the query block's number; no side is broadcast or collected.
+Vectors and queries are packed into blocks of bounded size and met block by block on a grid: a
+vector block goes to the cells of its row, a query block to those of its column, and cells are as
+many as shuffle partitions.  No key holds all blocks, and no side is collected.
 """
 
 from __future__ import annotations
@@ -20,17 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import parts, quoted, stored
 
-#: Lists that a score is the sum of, results a query, rows of a vector block and of a query block.
-LISTS, K, ROWS, QUERIES = 4, 5, 4096, 1024
+#: Lists that a score is the sum of, results a query, rows of a vector block and of a query block, and
+#: vector blocks of which the first phase reads one.
+LISTS, K, ROWS, QUERIES, FIRST = 4, 5, 4096, 1024, 4
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, v): floor(scale * x) of every component, as double; rows with a null id, a null vector,
     an empty one, or one that holds a null or a value that isn't finite are left out."""
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("raw")).filter("vec_id is not null and size(raw) > 0")
+    v = F.transform(quoted(vector_col), lambda x: x.cast("double"))
+    rows = vectors.select(quoted(id_col).cast("long").alias("vec_id"), v.alias("raw")).filter("vec_id is not null and size(raw) > 0")
     rows = rows.filter(F.coalesce(F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)))
     return rows.select("vec_id", F.transform("raw", lambda x: F.floor(x * F.lit(float(scale))).cast("double")).alias("v"))
 
@@ -58,29 +61,42 @@ def matrix(ids: bytes, data: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(ids, "<i8"), np.frombuffer(data, "<f8").reshape(-1, dims)
 
 
-def product(a: np.ndarray, b: np.ndarray, room: int = 1) -> np.ndarray:
-    """Exact integer products a @ b.T; those beyond 64 bits (shared by ``room`` summands) count as the nearest that fits."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
-    if most < 2**53:
-        return (a @ b.T).astype(np.int64)
-    x, y = (np.array([int(c) for c in m.ravel()], object).reshape(m.shape) for m in (a, b))
-    edge = (2**63 - 1) // room
-    return np.clip(x @ y.T, -edge, edge).astype(np.int64)
-
-
 def bounds(dims: int, lists: int) -> list[tuple[int, int]]:
     cut = np.linspace(0, dims, min(lists, dims) + 1).astype(int).tolist()
     return list(zip(cut[:-1], cut[1:], strict=True))
 
 
-def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id."""
-    if len(score) > 4 * k:
-        cut = np.partition(score, len(score) - k)[len(score) - k]
-        place = np.flatnonzero(score >= cut)
-    else:
-        place = np.arange(len(score))
-    return place[np.lexsort((ids[place], -score[place]))[:k]]
+class Tile:
+    """A query block next to a vector block: partial scores of all pairs, exact scores of some."""
+
+    def __init__(self, row: dict, lists: int):
+        self.own, self.v = matrix(row["ids"], row["data"], row["dims"])
+        self.asked, self.q = matrix(row["q_ids"], row["q_data"], row["dims"])
+        #: no sum of products is larger
+        self.most = float(np.abs(self.q).max(initial=0) * np.abs(self.v).max(initial=0) * row["dims"])
+        #: what partial scores may be off by: nothing while all sums are whole numbers that fit
+        self.slack = 0.0 if self.most < 2**53 else self.most * 2.0**-40
+        kind = np.float32 if self.most < 2**24 else np.float64
+        q, v = self.q.astype(kind), self.v.astype(kind)
+        self.lists = [q[:, a:b] @ v[:, a:b].T for a, b in bounds(row["dims"], lists)]
+        self.same = self.asked[:, None] == self.own[None, :]
+
+    def exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The scores of queries i with vectors j, in whole numbers; those beyond 64 bits are cut to them."""
+        if self.most < 2**53:
+            return np.einsum("ij,ij->i", self.q[i], self.v[j]).astype(np.int64)
+        edge = 2**63 - 1
+        pairs = zip(self.q[i].tolist(), self.v[j].tolist(), strict=True)
+        return np.array([max(-edge, min(edge, sum(int(x) * int(y) for x, y in zip(a, b, strict=True)))) for a, b in pairs], np.int64)
+
+
+def best_of_each(i: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores of each i, ties to the smaller id."""
+    order = np.lexsort((ids, np.invert(score), i))
+    i = i[order]
+    head = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, np.int64)
+    place = np.arange(len(i)) - np.repeat(head, np.diff(np.append(head, len(i))))
+    return order[place < k]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, lists: int = LISTS, rows: int = ROWS, query_rows: int = QUERIES) -> DataFrame:
@@ -88,58 +104,63 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
 
     Scores are inner products of floor(scale * x); ties go to the smaller vec_id.  Vectors that are
     null or hold a null or non-finite component take no part; vectors of another length than the
-    query aren't compared.  A list's part of a score beyond 64 bits is cut to them.  Rows that repeat an id count as rows, and a query meets no row of its id.
+    query aren't compared.  A score beyond 64 bits is cut to them.  Rows that repeat an id count as rows, and a query meets no row of its id.
     """
     blocks = stored(packed(quantised(vectors, id_col, vector_col, scale), rows), "vectors")
     asked = stored(packed(quantised(queries, id_col, vector_col, scale), query_rows).withColumn("q", F.monotonically_increasing_id()), "queries")
-
-    def tiles(cutoffs: DataFrame | None) -> DataFrame:
+    # cells: the larger side is copied to fewer of them
+    cells = parts(vectors.sparkSession)
+    columns = max(1, round((cells * max(1, asked.count()) / max(1, blocks.count())) ** 0.5))
+    columns = min(columns, cells)
+    lines = max(1, -(-cells // columns))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def tiles(some: DataFrame, q: DataFrame) -> DataFrame:
         """Each vector block next to each query block of its length."""
-        q = asked.select("dims", "q", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-        if cutoffs is not None:
-            q = q.join(cutoffs, "q")
-        return q.join(blocks, "dims")
-
-    def lists_of(ids, data, q_ids, q_data, dims):
-        own, v = matrix(ids, data, dims)
-        q_own, q = matrix(q_ids, q_data, dims)
-        return own, q_own, [product(q[:, a:b], v[:, a:b], lists) for a, b in bounds(dims, lists)]
-
-    def out(found, names, kinds):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found]) if found else [], t) for i, t in enumerate(kinds)], names)
+        v = some.withColumn("line", F.pmod(F.xxhash64("ids"), F.lit(lines)).cast("int")).withColumn("column", every(columns))
+        q = q.withColumnsRenamed({"ids": "q_ids", "data": "q_data"}).withColumn("column", F.pmod(F.xxhash64("q"), F.lit(columns)).cast("int")).withColumn("line", every(lines))
+        return q.join(v, ["dims", "line", "column"])
 
     def first(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own, q_own, parts = lists_of(row["ids"], row["data"], row["q_ids"], row["q_data"], row["dims"])
-                total, found = sum(parts), []
-                for i, query in enumerate(q_own):
-                    others = np.flatnonzero(own != query)
-                    named = np.unique(np.concatenate([others[best(p[i, others], own[others], k)] for p in parts])) if len(others) else others
-                    keep = named[best(total[i, named], own[named], k)]
-                    found.append((np.full(len(keep), row["q"]), np.full(len(keep), i), total[i, keep]))
-                yield out(found, ["q", "i", "score"], [pa.int64(), pa.int32(), pa.int64()])
+                tile = Tile(row, lists)
+                named = []
+                for p in tile.lists:
+                    p[tile.same] = -np.inf
+                    top = np.argpartition(p, max(0, p.shape[1] - k), axis=1)[:, -k:] if p.shape[1] > k else np.tile(np.arange(p.shape[1]), (len(p), 1))
+                    named.append(top)
+                at = np.unique(np.arange(len(tile.asked))[:, None] * len(tile.own) + np.concatenate(named, 1))
+                i, j = at // len(tile.own), at % len(tile.own)
+                other = ~tile.same[i, j]
+                i, j = i[other], j[other]
+                score = tile.exact(i, j)
+                keep = best_of_each(i, score, tile.own[j], k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), row["q"])), pa.array(i[keep].astype(np.int32)), pa.array(score[keep])], ["q", "i", "score"])
 
     def collect(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own, q_own, parts = lists_of(row["ids"], row["data"], row["q_ids"], row["q_data"], row["dims"])
+                tile = Tile(row, lists)
                 cut = np.frombuffer(row["cuts"], "<i8")
-                # no list reaches ceil(cutoff / lists): then the sum is below the cutoff
-                least = -((-cut) // len(parts))
-                most = np.maximum.reduce(parts)
-                total, found = sum(parts), []
-                for i, query in enumerate(q_own):
-                    left = np.flatnonzero((most[i] >= least[i]) & (own != query))
-                    left = left[total[i, left] >= cut[i]]
-                    keep = left[best(total[i, left], own[left], k)]
-                    found.append((np.full(len(keep), query), own[keep], total[i, keep]))
-                yield out(found, ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.int64()])
-
-    near = tiles(None).mapInArrow(first, "q long, i int, score long")
-    kth = near.groupBy("q", "i").agg(F.slice(F.sort_array(F.collect_list("score"), False), 1, k).alias("s"))
+                # the lowest score stands for all below it
+                cut = np.where(cut <= lowest, -np.inf, cut.astype(np.float64))[:, None]
+                # no list reaches cutoff / lists, or their sum stays below it: then the score does too
+                least = cut / len(tile.lists) - tile.slack
+                reached, total = tile.lists[0] >= least, tile.lists[0].astype(np.float64)
+                for p in tile.lists[1:]:
+                    reached |= p >= least
+                    total += p
+                i, j = np.nonzero(reached & (total >= cut - tile.slack) & ~tile.same)
+                score = tile.exact(i, j)
+                keep = best_of_each(i, score, tile.own[j], k)
+                yield pa.RecordBatch.from_arrays([pa.array(tile.asked[i[keep]]), pa.array(tile.own[j[keep]]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
+
     lowest = -(1 << 63) + 1
-    cuts = kth.select("q", "i", F.when(F.size("s") < k, F.lit(lowest)).otherwise(F.element_at("s", -1)).alias("cut"))
+    some = blocks.filter(F.pmod(F.xxhash64("ids", F.lit("first")), F.lit(FIRST)) == 0)
+    near = tiles(some, asked).mapInArrow(first, "q long, i int, score long")
+    nth = F.row_number().over(Window.partitionBy("q", "i").orderBy(F.desc("score")))
+    cuts = near.withColumn("nth", nth).filter(F.col("nth") <= k).filter(F.col("nth") == k).select("q", "i", F.col("score").alias("cut"))
 
     def table(batches):
         for batch in batches:
@@ -149,9 +170,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                     cut[entry["i"]] = entry["cut"]
                 yield pa.RecordBatch.from_arrays([pa.array([row["q"]], pa.int64()), pa.array([cut.tobytes()], pa.binary())], ["q", "cuts"])
 
+    # at most ``query_rows`` entries a row
     gathered = cuts.groupBy("q").agg(F.collect_list(F.struct("i", "cut")).alias("found"))
     cutoffs = stored(asked.select("q", "ids").join(gathered, "q", "left").mapInArrow(table, "q long, cuts binary"), "cutoffs")
-    exact = tiles(cutoffs).mapInArrow(collect, "query_id long, vec_id long, score long")
+    exact = tiles(blocks, asked.join(cutoffs, "q")).mapInArrow(collect, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return exact.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -101,7 +101,8 @@ class WordCoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows one after another, and the n + 1 offsets of the rows."""
         column = column.fill_null("") if column.null_count else column
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
+        # special tokens are found before letters are lowered, so texts that may hold one stay as they are
+        lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column)))
         coded = lists.values.dictionary_encode()
         names = coded.dictionary.to_pylist()
         if len(self.places) + len(names) > MOST_WORDS:

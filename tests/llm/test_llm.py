@@ -94,9 +94,9 @@ def brute_windows(items, size, unit, within):
     return out
 
 
-@pytest.mark.parametrize(("window", "gram"), [(50, 25), (6, 3)])
-def test_substring_dedup(corpus, window, gram):
-    got = rows(substring_dedup.substring_dedup(corpus, window=window, gram=gram).filter("doc_id is not null"), "doc_id", "n_words", "n_removed", "kept_sha256")
+@pytest.mark.parametrize(("window", "bucket"), [(50, 1 << 20), (50, 300), (6, 5000)])
+def test_substring_dedup(corpus, window, bucket):
+    got = rows(substring_dedup.substring_dedup(corpus, window=window, bucket=bucket).filter("doc_id is not null"), "doc_id", "n_words", "n_removed", "kept_sha256")
     want = [(i, n, n - sum(keep), sha(" ".join(w for w, k in zip(WORD.findall(t), keep, strict=True) if k))) for (i, t), (_, n, keep) in zip(KNOWN, brute_windows([(i, WORD.findall(t)) for i, t in KNOWN], window, "word", False), strict=True)]
     assert got == sorted(want, key=repr)
 
