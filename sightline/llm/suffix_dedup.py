@@ -1,19 +1,28 @@
 """Suffix-array dedup of bytes by longest-previous-factor arrays.
 
 A byte goes if a string of ``WINDOW`` bytes that covers it also starts earlier: in a document with
-a smaller doc_id, or earlier in the same one.  Anchors (see ``anchors``) route every string that
-may repeat; all but the first of identical stretches are settled there.  What is left, the first
-copies around the ends of repeated passages, is dealt by anchor into buckets of bounded size, so
-that strings that can be equal meet.  A bucket's suffix array, its LCP array and the previous and
-next smaller positions in suffix order give each suffix's longest previous factor; a string whose
-factor reaches ``WINDOW`` starts earlier.  Anchors with very many different surroundings, such as the
-ends of a passage that a third of all documents hold, would overfill a bucket: their strings are
-compared by hash instead, in runs and then one by one, counted with map-side combining.
+a smaller doc_id, or earlier in the same one.  Every decision comes from a longest-previous-factor
+array: a string goes if the factor at its start, the longest earlier match, reaches ``WINDOW``.  The
+array is read off a suffix array, its LCP array, and the previous and next smaller positions in
+suffix order.
+
+No suffix array holds the corpus.  Strings are dealt into buckets so that equal ones meet:
+
+1. The anchor of a string is the k-gram in it with the least hash, common k-grams last.  Equal strings
+   have equal anchors, and the strings of one anchor are consecutive: a segment of text holds them.
+   Which k-grams are common is estimated on a sample; that decides no result, only where strings meet.
+2. A batch of documents settles the segments whose anchors repeat in it by its own array, and
+   sends on what starts first in the batch.  So a passage that a third of all documents hold goes on
+   once a batch.  Its ends, which differ from document to document, have rare k-grams for anchors.
+3. Anchors are counted over all batches.  One that stands nowhere else has no repeats.
+4. The segments of the others are dealt by anchor into buckets of bounded size, an array each.  Anchors
+   that still have very many segments are settled in parts first, as in 2, until that changes little.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .anchors import Repeats, cut
-from .common import U64, ragged, stored, utf8
+from .common import U64, Lookup, identified, mix, packed_runs, planes, prefix, quoted, ragged, rolled, spans, stored, unplanes, utf8
 
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
-WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
+WINDOW, GRAM, BUCKET = 100, 32, 1 << 21
+#: Segments of an anchor above which they are settled in parts; anchors that are counted in a task, about.
+MOST, COUNTED = 4000, 1 << 21
+#: Sampled documents that hold a common k-gram, and the most common k-grams that are told apart.
+HITS, COMMON = 4, 1 << 20
+HALF = U64(0xFFFFFFFF)
+ENTRIES = "bucket int, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary"
+HELD = "doc_id long, t long, kind byte, bytes long, most long, spans binary"
+SEGMENTS = "bucket long, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary, text binary"
+FOUND, KNOWN, MANY = 0, 1, 2
 
 
 def ranks(keys: np.ndarray) -> np.ndarray:
@@ -101,84 +118,327 @@ def longest_previous_factors(text: np.ndarray, starts: np.ndarray, window: int)
     return out
 
 
-def bucket_repeats(table: pa.Table, window: int) -> pa.Table:
-    """Runs of starts in a bucket's segments that also start in an earlier segment or place."""
-    table = table.sort_by([("doc_id", "ascending"), ("first", "ascending"), ("t", "ascending")])
-    ids, tags, first, n = (table[x].to_numpy() for x in ("doc_id", "t", "first", "n"))
-    data, off = utf8(table["segment"])
-    once = np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (first[1:] != first[:-1])])
-    own = np.flatnonzero(once)
-    starts = ragged(off[own], n[own])
-    again = longest_previous_factors(data, starts, window) >= window
-    segment, at = np.repeat(own, n[own]), ragged(np.zeros(len(own), np.int64), n[own])
-    hit = np.flatnonzero(again)
-    new = np.flatnonzero(np.concatenate([[True], (segment[hit][1:] != segment[hit][:-1]) | (at[hit][1:] != at[hit][:-1] + 1)])) if len(hit) else hit
-    head = hit[new]
-    size = np.diff(np.append(new, len(hit)))
-    return pa.table({"doc_id": pa.array(ids[segment[head]], pa.int64()), "t": pa.array(tags[segment[head]], pa.int32()), "first": pa.array((first[segment[head]] + at[head]).astype(np.int32)), "n": pa.array(size.astype(np.int32))})
-
-
-def repeated_strings(repeats: Repeats, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, t, first, n): starts of strings that start earlier too."""
-    window = repeats.window
-    rows = repeats.classed()
-    ends = rows.filter("not later and classes is not null")
-    # the segments of one k-gram fill a quarter of a bucket at most
-    most = bucket // (8 * window)
-    few, many = ends.filter(F.col("classes") <= most), ends.filter(F.col("classes") > most)
-    size = few.agg(F.sum(F.col("n") + (window - 1))).first()[0] or 0
-    buckets = max(1, -(-size // bucket))
-
-    def segments(batches):
-        for batch in batches:
-            data, off = utf8(batch.column(2))
-            lists = batch.column(3)
-            bounds = lists.offsets.to_numpy().astype(np.int64)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            flat = lists.flatten()
-            first, n, number = (flat.field(x).to_numpy() for x in ("first", "n", "bucket"))
-            start, raw = off[row] + first, data.tobytes()
-            for i in range(0, len(row), 10_000):
-                k = slice(i, i + 10_000)
-                some = [raw[a : a + m] for a, m in zip(start[k].tolist(), (n[k] + (window - 1)).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(number[k]), pa.array(batch.column(0).to_numpy()[row[k]]), pa.array(batch.column(1).to_numpy()[row[k]]), pa.array(first[k]), pa.array(n[k]), pa.array(some, pa.binary())], ["bucket", "doc_id", "t", "first", "n", "segment"])
-
-    dealt = repeats.with_text(few.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int")), "first", "n", "bucket")
-    cold = dealt.mapInArrow(segments, "bucket int, doc_id long, t int, first int, n int, segment binary").groupBy("bucket").applyInArrow(lambda table: bucket_repeats(table, window), "doc_id long, t int, first int, n int")
-    known = rows.filter("later").select("doc_id", "t", "first", "n")
-    return known.unionByName(stored(cold, "cold")).unionByName(repeats.finer(many))
-
-
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET, carry: bool = False) -> DataFrame:
+def repeated_starts(ids: np.ndarray, tags: np.ndarray, first: np.ndarray, n: np.ndarray, text: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments in the order of (doc_id, first, tag), and for each of their starts, one after another,
+    whether its longest previous factor reaches ``window``.  Segment i is text[off[i]:]."""
+    order = np.lexsort((tags, first, ids))
+    i, f, m = ids[order], first[order].astype(np.int64), n[order].astype(np.int64)
+    starts = ragged(off[order], m)
+    if not ((i[1:] == i[:-1]) & (f[1:] < f[:-1] + m[:-1])).any():
+        return order, longest_previous_factors(text, starts, window) >= window
+    # rows that repeat a doc_id: their starts interleave, and those of equal rows are the same
+    own, place = np.repeat(order, m), ragged(f, m)
+    by = np.lexsort((tags[own], place, ids[own]))
+    a, b = by[1:], by[:-1]
+    new = np.concatenate([[True], (ids[own[a]] != ids[own[b]]) | (tags[own[a]] != tags[own[b]]) | (place[a] != place[b])])
+    found = longest_previous_factors(text, starts[by[new]], window) >= window
+    out = np.empty(len(by), bool)
+    out[by] = found[np.cumsum(new) - 1]
+    return order, out
+
+
+def runs(order: np.ndarray, n: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first start in it, starts, flag) of each run of equal flags in a segment."""
+    m = n[order].astype(np.int64)
+    own, at = np.repeat(np.arange(len(m)), m), ragged(np.zeros(len(m), np.int64), m)
+    new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (flags[1:] != flags[:-1])])) if len(own) else own
+    return order[own[new]], at[new], np.diff(np.append(new, len(own))), flags[new]
+
+
+def anchors(data: np.ndarray, off: np.ndarray, window: int, k: int, common: Lookup) -> tuple[np.ndarray, ...]:
+    """(row, first, n, fp) of every anchor: the strings that have it start at first ... first + n - 1 in the row."""
+    count = np.maximum(0, np.diff(off) - window + 1)
+    if not count.any():
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),)
+    n = len(data) - k + 1
+    at = np.arange(n)
+    h = rolled(prefix(data), at, at + k)
+    key = mix(h) >> U64(1)
+    if len(common.keys):
+        key |= (common.find(h) >= 0).astype(U64) << U64(63)
+    # upper half of the hash, then the place: the least key is the leftmost of the least
+    least, span, wide = (key & ~HALF) | at.astype(U64), 1, window - k + 1
+    while span < wide:
+        step = min(span, wide - span)
+        least = np.minimum(least[:-step], least[step:])
+        span += step
+    full = np.flatnonzero(count)
+    start = ragged(off[full], count[full])
+    anchor = (least[start] & HALF).astype(np.int64)
+    row = np.repeat(full, count[full])
+    change = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]))
+    return row[change], start[change] - off[row[change]], np.diff(np.append(change, len(start))), h[anchor[change]]
+
+
+def entries(bucket, ids, tags, row, first, n, fp):
+    """Rows of ``ENTRIES``, one a bucket.  ids and tags: by row; the others: by entry."""
+    order = np.argsort(bucket, kind="stable")
+    number = bucket[order]
+    cut = np.append(np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])), len(number)) if len(number) else np.zeros(1, np.int64)
+    out = []
+    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        some = order[i:j]
+        own, sizes = packed_runs(row[some])
+        out.append((int(number[i]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[some].astype("<u4")), planes(n[some].astype("<u4")), planes(fp[some].astype("<u8"))))
+    kinds = [pa.int32(), *[pa.binary()] * 6]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(7)], [f.split()[0] for f in ENTRIES.split(", ")])
+
+
+def unpacked(rows: list[dict]) -> tuple[np.ndarray, ...]:
+    """(ids, tags, first, n, fp), by entry, of packed rows."""
+    sizes = [np.frombuffer(r["sizes"], "<u4") for r in rows]
+    m = [int(s.sum()) for s in sizes]
+    each = np.concatenate(sizes)
+    ids, tags = (np.repeat(np.frombuffer(b"".join(r[c] for r in rows), "<i8"), each) for c in ("ids", "tags"))
+    first, n = (np.concatenate([unplanes(r[c], k, 4, "<u4") for r, k in zip(rows, m, strict=True)]).astype(np.int64) for c in ("places", "lengths"))
+    fp = np.concatenate([unplanes(r["anchors"], k, 8, "<u8") for r, k in zip(rows, m, strict=True)])
+    return ids, tags, first, n, fp
+
+
+def span_rows(ids, tags, first, n, fp, kind, most, window) -> pa.Table:
+    """Rows of ``HELD``: the spans of each run of entries of one document and kind."""
+    head = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (kind[1:] != kind[:-1])])) if len(ids) else np.zeros(0, np.int64)
+    ends = np.append(head, len(ids)).tolist()
+    spans_ = [planes(first[i:j].astype("<u4")) + planes(n[i:j].astype("<u4")) + planes(fp[i:j].astype("<u8")) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    sums = lambda x, f: f.reduceat(x, head) if len(head) else x[:0]
+    columns = [pa.array(ids[head], pa.int64()), pa.array(tags[head], pa.int64()), pa.array(kind[head].astype(np.int8)), pa.array(sums(n + window - 1, np.add), pa.int64()), pa.array(sums(most, np.maximum), pa.int64()), pa.array(spans_, pa.binary())]
+    return pa.table(columns, names=[f.split()[0] for f in HELD.split(", ")])
+
+
+def read_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(raw) // 16
+    return unplanes(raw[: 4 * n], n, 4, "<u4").astype(np.int64), unplanes(raw[4 * n : 8 * n], n, 4, "<u4").astype(np.int64), unplanes(raw[8 * n :], n, 8, "<u8")
+
+
+class Repeats:
+    """Strings of ``window`` bytes that also start earlier.  table: (doc_id, h, text); rows with a null
+    doc_id take no part."""
+
+    def __init__(self, table: DataFrame, window: int, gram: int, bucket: int, most: int):
+        self.rows = table.filter("doc_id is not null").select("doc_id", F.col("h").alias("t"), "text")
+        self.window, self.gram, self.bucket, self.most = window, gram, bucket, most
+        size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        #: an anchor stands for some 35 of 100 bytes
+        self.buckets = max(1, math.ceil(size / ((window - gram + 2) / 2 * COUNTED)))
+
+    def common_grams(self) -> Lookup:
+        """k-grams that more than about ``most`` / 2 documents hold, by a sample of few documents in ``most``."""
+        k = self.gram
+        rate = min(1.0, 2 * HITS / self.most)
+        drawn = self.rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) < rate * (1 << 30))
+
+        def count(batches):
+            for batch in batches:
+                data, off = utf8(batch.column(0))
+                for i, j in spans(off):
+                    found = [np.unique(rolled(prefix(data[a:b]), at := np.arange(b - a - k + 1), at + k)) for a, b in zip(off[i:j].tolist(), off[i + 1 : j + 1].tolist(), strict=True) if b - a >= k]
+                    keys, n = np.unique(np.concatenate(found or [np.zeros(0, U64)]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["h", "n"])
+
+        often = drawn.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= HITS).orderBy(F.desc("n"), "h").limit(COMMON)
+        return Lookup(np.sort(often.toArrow()["h"].to_numpy()).astype(U64))
+
+    def in_batches(self) -> DataFrame:
+        """``ENTRIES`` of all anchors, without what its own batch settles; that has a bucket below zero."""
+        window, gram, most, buckets, common = self.window, self.gram, self.bucket, self.buckets, self.common_grams()
+
+        def find(batches):
+            for batch in batches:
+                data, off = utf8(batch.column(2))
+                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                got = []
+                for i, j in spans(off):
+                    row, *more = anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], window, gram, common)
+                    got.append((row + i, *more))
+                if not got:
+                    continue
+                row, first, n, fp = (np.concatenate(x) for x in zip(*got, strict=True))
+                # segments of anchors that repeat here, by anchor, in pieces of bounded size
+                by = np.argsort(fp)
+                same = fp[by][1:] == fp[by][:-1]
+                some = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(by) else by
+                rest = np.ones(len(fp), bool)
+                rest[some] = False
+                kept = [np.flatnonzero(rest)]
+                parts_ = [(row[kept[0]], first[kept[0]], n[kept[0]], fp[kept[0]])]
+                gone = []
+                ends = np.cumsum(n[some] + window - 1)
+                last = np.append(np.flatnonzero(fp[some][1:] != fp[some][:-1]), len(some) - 1) if len(some) else np.zeros(0, np.int64)
+                at = 0
+                while at < len(some):
+                    room = (ends[at - 1] if at else 0) + most
+                    stop = last[max(np.searchsorted(last, at), np.searchsorted(ends[last], room, "right") - 1)] + 1
+                    own = some[at:stop]
+                    size = n[own] + window - 1
+                    text = data[ragged(off[row[own]] + first[own], size)]
+                    order, flags = repeated_starts(ids[row[own]], tags[row[own]], first[own], n[own], text, np.cumsum(size) - size, window)
+                    s, a, m, f = runs(order, n[own], flags)
+                    gone.append((row[own][s[f]], first[own][s[f]] + a[f], m[f]))
+                    parts_.append((row[own][s[~f]], first[own][s[~f]] + a[~f], m[~f], fp[own][s[~f]]))
+                    at = stop
+                if sum(len(g[0]) for g in gone):
+                    r, a, m = (np.concatenate(x) for x in zip(*gone, strict=True))
+                    by = np.lexsort((a, r))
+                    yield entries(np.full(len(r), -1 - int(fp[0] & U64(0x7FFFFFFF)), np.int32), ids, tags, r[by], a[by], m[by], np.zeros(len(r), U64))
+                r, a, m, p = (np.concatenate(x) for x in zip(*parts_, strict=True))
+                by = np.lexsort((a, r))
+                yield entries((mix(p[by]) % U64(buckets)).astype(np.int32), ids, tags, r[by], a[by], m[by], p[by])
+
+        return self.rows.mapInArrow(find, ENTRIES)
+
+    def counted(self, found: DataFrame) -> DataFrame:
+        """``HELD`` rows of ``ENTRIES``: found ones, and those of anchors with several segments."""
+        window, most = self.window, self.most
+
+        def count(key, group):
+            ids, tags, first, n, fp = unpacked(group.to_pylist())
+            if key[0].as_py() < 0:
+                return span_rows(ids, tags, first, n, fp, np.full(len(ids), FOUND), np.zeros(len(ids), np.int64), window)
+            _, back, times = np.unique(fp, return_inverse=True, return_counts=True)
+            times = times[back]
+            some = np.flatnonzero(times > 1)
+            return span_rows(ids[some], tags[some], first[some], n[some], fp[some], np.where(times[some] > most, MANY, KNOWN), times[some], window)
+
+        return stored(found.groupBy("bucket").applyInArrow(count, HELD), "held")
+
+    def settled(self, held: DataFrame, parts_: int = 0) -> DataFrame:
+        """``ENTRIES``: the strings of the segments ``held`` that start earlier, below bucket zero; with
+        ``parts_``, an anchor's segments are settled in so many parts, and those that are left follow."""
+        window, buckets = self.window, self.buckets
+        size = held.agg(F.sum("bytes")).first()[0] or 0
+        number = max(1, math.ceil(size / self.bucket))
+        some = held.groupBy("doc_id", "t").agg(F.collect_list("spans").alias("spans"))
+
+        def segments(batches):
+            for batch in batches:
+                data, off = utf8(batch.column(2))
+                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                got = [tuple(np.concatenate(x) for x in zip(*map(read_spans, lists), strict=True)) for lists in batch.column(3).to_pylist()]
+                if not got:
+                    continue
+                row = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
+                first, n, fp = (np.concatenate(x) for x in zip(*got, strict=True))
+                salt = mix(ids[row].view(U64)) % U64(max(1, parts_)) if parts_ else np.zeros(len(row), U64)
+                bucket = (mix(fp + salt * U64(0x9E3779B97F4A7C15)) % U64(number)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                wide = n[by] + window - 1
+                ends = np.append(0, np.cumsum(wide))
+                cut = np.append(np.flatnonzero(np.concatenate([[True], bucket[by][1:] != bucket[by][:-1]])), len(by)).tolist()
+                out = []
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    k = by[i:j]
+                    own, sizes = packed_runs(row[k])
+                    text = data[ragged(off[row[k]] + first[k], wide[i:j])].tobytes()
+                    out.append((int(bucket[k[0]]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[k].astype("<u4")), planes(n[k].astype("<u4")), planes(fp[k].astype("<u8")) if parts_ else b"", text))
+                    if sum(len(x[-1]) for x in out[-64:]) > 1 << 22 or len(out) >= 2000:
+                        yield packed(out)
+                        out = []
+                if out:
+                    yield packed(out)
+
+        def packed(out):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.binary() if k else pa.int64()) for k in range(8)], [f.split()[0] for f in SEGMENTS.split(", ")])
+
+        def settle(key, group):
+            rows = group.to_pylist()
+            if not parts_:
+                rows = [r | {"anchors": bytes(8 * (len(r["places"]) // 4))} for r in rows]
+            ids, tags, first, n, fp = unpacked(rows)
+            text = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
+            size = n + window - 1
+            order, flags = repeated_starts(ids, tags, first, n, text, np.cumsum(size) - size, window)
+            s, a, m, f = runs(order, n, flags)
+            mark = np.where(f, -1 - (key[0].as_py() & 0x7FFFFFFF), (mix(fp[s]) % U64(buckets)).astype(np.int64)).astype(np.int32)
+            some = np.arange(len(s)) if parts_ else np.flatnonzero(f)
+            place = order.argsort()[s][some]
+            by = np.lexsort((first[s][some] + a[some], place))
+            some = some[by]
+            # entries of one document follow each other
+            doc = np.lexsort((tags[s][some], ids[s][some]))
+            some = some[doc]
+            head = np.concatenate([[True], (ids[s][some][1:] != ids[s][some][:-1]) | (tags[s][some][1:] != tags[s][some][:-1])]) if len(some) else np.zeros(0, bool)
+            return pa.Table.from_batches([entries(mark[some], ids[s][some][head], tags[s][some][head], np.cumsum(head) - 1, first[s][some] + a[some], m[some], fp[s][some])])
+
+        texts = self.rows.join(some, ["doc_id", "t"]).select("doc_id", "t", "text", "spans")
+        return texts.mapInArrow(segments, SEGMENTS).groupBy("bucket").applyInArrow(settle, ENTRIES)
+
+    def found(self) -> DataFrame:
+        """(doc_id, t, spans): runs of starts of strings that start earlier too."""
+        held = self.counted(self.in_batches())
+        done = held.filter(F.col("kind") != MANY)
+        many = held.filter(F.col("kind") == MANY)
+        size, most = many.agg(F.sum("bytes"), F.max("most")).first()
+        while size:
+            # a part of such an anchor's segments keeps one of each that are equal
+            held = self.counted(self.settled(many, math.ceil(most / self.most)))
+            many, before = held.filter(F.col("kind") == MANY), size
+            done = done.unionByName(held.filter(F.col("kind") != MANY))
+            size, most = many.agg(F.sum("bytes"), F.max("most")).first()
+            if size and size > before / 2:
+                done, size = done.unionByName(many.withColumn("kind", F.lit(KNOWN).cast("byte"))), 0
+        last = self.settled(done.filter(F.col("kind") == KNOWN))
+
+        def listed(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    ids, tags, first, n, fp = unpacked([row])
+                    for out in span_rows(ids, tags, first, n, fp, np.full(len(ids), FOUND), np.zeros(len(ids), np.int64), self_window).to_batches():
+                        yield out
+
+        self_window = self.window
+        ends = stored(last.mapInArrow(listed, HELD).select("doc_id", "t", "spans"), "settled")
+        return done.filter(F.col("kind") == FOUND).select("doc_id", "t", "spans").unionByName(ends)
+
+
+def intervals(parts_: list[bytes] | None, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal intervals of bytes that the strings of packed spans cover."""
+    if not parts_:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first, n = (np.concatenate(x) for x in zip(*(read_spans(x)[:2] for x in parts_), strict=True))
+    by = np.argsort(first, kind="stable")
+    first, n = first[by], n[by]
+    end = np.maximum.accumulate(first + n + window - 1)
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
+    return first[new], end[np.append(new[1:] - 1, len(end) - 1)]
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET, most: int = MOST, carry: bool = False) -> DataFrame:
     """One row for each input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, removed.
 
     Strings are judged on the input and never cross documents; overlaps count.  Null, empty and
-    shorter texts lose nothing.  kept_sha256 is of the remaining bytes; kept_text is their text, in
-    which a character that is cut in two goes as a whole.  carry: all other columns, as struct ``rest``.
+    shorter texts lose nothing, and so do rows with a null doc_id.  Rows that repeat a doc_id are told
+    apart by the hash of their texts: of strings with one start, the lesser hash is earlier; rows that
+    repeat both are alike.  kept_sha256 is of the remaining bytes; kept_text is their text, in which a
+    character that is cut in two goes as a whole.  carry: all other columns, as struct ``rest``.
     """
-    repeats = Repeats(docs, "byte", window, gram, within=True, id_col=id_col, text_col=text_col)
-
-    def finish(batch, intervals):
-        data, off = utf8(batch.column(1))
-        raw = data.tobytes()
-        kept, removed = [], []
-        for i, (first, end) in enumerate(intervals):
-            at, out = int(off[i]), []
-            for x, y in zip(first.tolist(), end.tolist(), strict=True):
-                out.append(raw[at : int(off[i]) + x])
-                at = int(off[i]) + y
-            kept.append(b"".join([*out, raw[at : int(off[i + 1])]]))
-            removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
-        sizes = np.diff(off)
-        span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-        columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in kept], np.int64)), pa.array([len(x) for x in removed], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), pa.array(removed, span)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[3:]], names[: 7 + carry])
-
+    others = [quoted(c) for c in docs.columns if c not in (id_col, text_col)]
+    table = identified(docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.struct(*others or [F.lit(0).alias("none")]).alias("rest")), "doc_id", "text", "rest")
+    found = Repeats(table, window, gram, bucket, most).found().groupBy("doc_id", "t").agg(F.collect_list("spans").alias("spans"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "rest"]
+
+    def finish(batches):
+        for batch in batches:
+            data, off = utf8(batch.column(1))
+            raw = data.tobytes()
+            kept, removed = [], []
+            for i, parts_ in enumerate(batch.column(2).to_pylist()):
+                at, out = int(off[i]), []
+                first, end = intervals(parts_, window)
+                for x, y in zip(first.tolist(), end.tolist(), strict=True):
+                    out.append(raw[at : int(off[i]) + x])
+                    at = int(off[i]) + y
+                kept.append(b"".join([*out, raw[at : int(off[i + 1])]]))
+                removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
+            sizes = np.diff(off)
+            span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+            columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in kept], np.int64)), pa.array([len(x) for x in removed], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), pa.array(removed, span)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[3:]], names[: 7 + carry])
+
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
-    kinds = [*[T.LongType()] * 4, T.StringType(), T.StringType(), span, repeats.full.schema["rest"].dataType]
+    kinds = [*[T.LongType()] * 4, T.StringType(), T.StringType(), span, table.schema["rest"].dataType]
     fields = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)][: 7 + carry])
-    return cut(repeats.full if carry else repeats.docs, repeated_strings(repeats, bucket), window, finish, fields)
+    both = table.join(found, (table["doc_id"] == found["doc_id"]) & (table["h"] == found["t"]), "left").select(table["doc_id"], "text", "spans", *["rest"] * carry)
+    return both.mapInArrow(finish, fields)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -101,10 +101,10 @@ def test_substring_dedup(corpus, window, bucket):
     assert got == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("bucket", [1 << 20, 2000])
-def test_suffix_dedup(corpus, bucket):
+@pytest.mark.parametrize(("bucket", "most"), [(1 << 20, 4000), (2000, 4000), (2000, 3)])
+def test_suffix_dedup(corpus, bucket, most):
     items = [(i, t.encode()) for i, t in KNOWN if i != 7]
-    got = rows(suffix_dedup.suffix_dedup(corpus.filter("doc_id <> 7"), bucket=bucket), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = rows(suffix_dedup.suffix_dedup(corpus.filter("doc_id <> 7"), bucket=bucket, most=most), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     want = []
     for (i, b), (_, n, keep) in zip(items, brute_windows(items, 100, "byte", True), strict=True):
         want.append((i, n, n - sum(keep), len(re.findall(b"\0+", bytes(keep))), sha(bytes(c for c, k in zip(b, keep, strict=True) if k))))
