@@ -96,6 +96,10 @@ LINE_BREAK_TAGS = (
     "br", "p", "li", "tr", "div", "section", "article", "aside", "dd", "dl", "dt", "figcaption", "figure", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol",
     "table", "tbody", "td", "tfoot", "th", "thead", "ul",
 )
+#: Tags whose text is a heading, tags whose text is not shown, and the meta names that a summary reads.
+HEADING_TAGS, SILENT_TAGS, META_NAMES = ("h1", "h2", "h3"), ("script", "style", "noscript"), ("description", "keywords", "og:title", "og:description")
+#: Tags that name a menu by themselves, the attributes that may name one, the pattern of a menu's name, and its label.
+MENU_TAGS, MENU_ATTRIBUTES, MENU_NAME, MENU_LABEL = ("header", "nav"), ("id", "class", "role"), r"\b(nav|gnb|lnb|menu|header|sitemap)\b", "nav_like"
 EVENT_EXCLUDED = (
     "채용", "채용공고", "공고", "공지", "공지사항", "알림", "합격자", "서류심사", "면접", "모집", "지원", "접수", "일자리", "인턴", "오픈콜", "공모", "대관", "휴관", "휴무", "보도자료", "언론", "FAQ",
     "문의", "교육", "강연", "세미나", "워크숍", "포럼", "토크", "상영", "공연", "콘서트", "컨퍼런스", "대회", "recruit", "job", "application", "press", "notice",

@@ -29,38 +29,45 @@ def kept_labels(rows: DataFrame, label: str = "is_art_venue", keep: tuple = ("ye
     return rows.filter(F.trim(T.col(label)).isin(*keep))
 
 
+def filled(more: dict[str, list[Column]], generic: tuple = EVENT_GENERIC) -> dict[str, Column]:
+    """Event fields with gaps filled from the first candidate that isn't empty; a generic name is replaced too."""
+    new = {c: T.first_filled(c, *found) for c, found in more.items() if c != "exhibition_name"}
+    if "exhibition_name" in more:
+        name = F.col("exhibition_name")
+        new["exhibition_name"] = F.when((T.col(name) == "") | name.isin(*generic), T.first_filled(*more["exhibition_name"], name)).otherwise(name)
+    return new
+
+
 def merge_fields(events: DataFrame, found: DataFrame, key: str, generic: tuple = EVENT_GENERIC) -> DataFrame:
     """``events`` with gaps filled from at most one row of ``found`` a key; a generic name is replaced too."""
     fields = ("start_date", "end_date", "location", "detail_url")
     more = found.select(key, *[F.col(c).alias(f"__{c}") for c in ("exhibition_name", *fields) if c in found.columns])
     out = events.join(more, key, "left")
-    has = lambda c: f"__{c}" in more.columns
-    new = {c: T.first_filled(c, f"__{c}") for c in fields if has(c)}
-    if has("exhibition_name"):
-        poor = (T.col("exhibition_name") == "") | F.col("exhibition_name").isin(*generic)
-        new["exhibition_name"] = F.when(poor, T.first_filled("__exhibition_name", "exhibition_name")).otherwise(F.col("exhibition_name"))
-    return out.withColumns(new).select(*events.columns)
+    return out.withColumns(filled({c: [F.col(f"__{c}")] for c in ("exhibition_name", *fields) if f"__{c}" in more.columns}, generic)).select(*events.columns)
 
 
 def outcomes(pages: DataFrame, events: DataFrame, failures: DataFrame, today: Column, page: str = "list_url", carry: tuple = ()) -> DataFrame:
     """One row for each current event, or one status row for a page without any.
 
-    pages: page, and columns to carry; events: page and the event fields; failures: page and its
-    summary.  A page whose valid events are all over is ``filtered``; else it is ``failed``."""
+    pages: page, and columns to carry; events: page and the event fields, maybe with failure fields of
+    their own; failures: page and its summary.  A page whose valid events are all over is ``filtered``;
+    else it is ``failed``.  Events meet their page by a join, so no row gathers a page's events."""
     fields = ("exhibition_name", "start_date", "end_date", "location", "detail_url")
-    current = D.is_current("start_date", "end_date", today)
-    # one pass over the events: what a page has, gathered by page
-    had = events.filter(is_valid()).groupBy(page).agg(F.count("*").alias("__valid"), F.collect_list(F.when(current, F.struct(*fields))).alias("__events"))
-    out = pages.select(page, *carry).join(failures, page, "left").join(had, page, "left")
-    out = out.withColumn("__event", F.explode_outer("__events")).withColumns({c: F.col(f"__event.{c}") for c in fields})
-    ok = F.col("exhibition_name").isNotNull()
-    gone = F.coalesce("__valid", F.lit(0)) > 0
-    shown = lambda c, over, none: F.when(ok, T.col(c)).otherwise(T.first_filled(c, F.when(gone, over).otherwise(none)))
-    return out.select(
-        *[T.squeeze(c).alias(c) for c in ("exhibition_name", "start_date", "end_date", "location", "detail_url")], F.col(page).alias("source_list_url"), F.when(ok, "ok").when(gone, "filtered").otherwise("failed").alias("status"),
-        F.when(ok, "").otherwise(shown("failure_stage", "filtered", "no-events")).alias("failure_stage"), F.when(ok, "").otherwise(shown("failure_type", "Filtered", "NoEvents")).alias("failure_type"),
-        F.when(ok, "").otherwise(shown("failure_message", "Filtered out by end_date < today", "No events extracted")).alias("failure_message"), *[T.squeeze(c).alias(c) for c in carry],
+    summary = ("failure_stage", "failure_type", "failure_message")
+    valid = events.filter(is_valid()).withColumn("__current", D.is_current("start_date", "end_date", today))
+    # what a page has, with map-side combining: one small row a page
+    had = valid.groupBy(page).agg(F.max("__current").alias("__any"))
+    mine = valid.filter("__current").select(page, *fields, *[(T.col(c) if c in events.columns else F.lit("")).alias(c) for c in summary])
+    rest = [T.squeeze(c).alias(c) for c in carry]
+    ok = pages.select(page, *carry).join(mine, page).select(*[T.squeeze(c).alias(c) for c in fields], F.col(page).alias("source_list_url"), F.lit("ok").alias("status"), *[T.squeeze(c).alias(c) for c in summary], *rest)
+    none = pages.select(page, *carry).join(had, page, "left").filter("__any is null or not __any").join(failures.select(page, *summary), page, "left")
+    gone = F.col("__any").isNotNull()
+    said = {"failure_stage": ("filtered", "no-events"), "failure_type": ("Filtered", "NoEvents"), "failure_message": ("Filtered out by end_date < today", "No events extracted")}
+    status = none.select(
+        *[F.lit("").alias(c) for c in fields], F.col(page).alias("source_list_url"), F.when(gone, "filtered").otherwise("failed").alias("status"),
+        *[T.first_filled(c, F.when(gone, over).otherwise(nothing)).alias(c) for c, (over, nothing) in said.items()], *rest,
     )
+    return ok.unionByName(status)
 
 
 def release(events: DataFrame, carry: tuple = (), fill_end: bool = False, position: str = "position") -> DataFrame:

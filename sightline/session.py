@@ -7,10 +7,11 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -48,6 +49,30 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _local[spark.sparkContext.applicationId]
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, below the application's id, and read again: cuts lineage,
+    survives lost executors.
+
+    The shuffle files of the finished write are of no more use and go at once, where Spark can do that;
+    the table itself goes when the application ends."""
+    spark = df.sparkSession
+    top = f"{shared_dir(spark)}/sightline/{spark.sparkContext.applicationId}"
+    path = f"{top}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(top)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def session(cpus: int | str = "*", name: str = "sightline", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
     settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
