@@ -14,35 +14,21 @@ Conventions that hold for every operator here
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, ship
+from ..session import kept, ship
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step works on: its scratch arrays stay near 30 MB and inside the caches.
 CHUNK = 1 << 18
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder, below the application's id, and read again: cuts lineage,
-    survives lost executors.
-
-    The shuffle files of the finished write are of no more use and go at once, where Spark can do that."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sightline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read again (see ``session.kept``)."""
+    return kept(df, name)
 
 
 def parts(spark: SparkSession) -> int:
@@ -73,6 +59,44 @@ def with_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return identified(docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.struct(*[quoted(c) for c in docs.columns]).alias("row")), "doc_id", "text", "row")
 
 
+#: Bytes of text in a block at most, and at least where there are fewer blocks than shuffle partitions.
+BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
+
+
+def even_keys(n: int) -> np.ndarray:
+    """n numbers that hash partitioning deals to n different partitions: the i-th to partition i."""
+    out, left, at = np.full(n, -1, np.int64), n, 0
+    while left:
+        k = np.arange(at, at + max(1024, 4 * left), dtype=np.int64).astype(np.uint32)
+        at += len(k)
+        place, first = np.unique(murmur(k) % n, return_index=True)
+        new = out[place] < 0
+        out[place[new]] = k[first[new]]
+        left = int((out < 0).sum())
+    return out
+
+
+def murmur(k: np.ndarray, seed: int = 42) -> np.ndarray:
+    """Murmur3 of 32-bit integers, as Spark's hash partitioning has it."""
+    turn = lambda x, r: (x << np.uint32(r)) | (x >> np.uint32(32 - r))
+    h = np.uint32(seed) ^ (turn(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593))
+    h = (turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
+    for shift, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ (h >> np.uint32(shift))) * np.uint32(m)
+    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64)
+
+
+def in_blocks(table: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int, int]:
+    """(``table`` with ``block``, blocks, bytes of text).  table: (doc_id, h, text, ...).
+
+    Blocks hold about ``block`` bytes.  Their numbers are ones that hash partitioning into as many
+    partitions deals to a partition each."""
+    size = table.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // block), min(parts(table.sparkSession), -(-size // min(block, LEAST_BLOCK))))
+    number = F.get(F.split(F.lit(",".join(map(str, even_keys(n)))), ",").cast("array<int>"), F.pmod(F.xxhash64("doc_id", "h"), F.lit(n)).cast("int"))
+    return table.withColumn("block", number), n, size
+
+
 def held_out(column: str, mod: int, rest: int):
     """Whether crc32(id as text) leaves ``rest`` modulo ``mod``; false for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % mod == rest, F.lit(False))
@@ -245,6 +269,28 @@ def unplanes(raw: bytes, n: int, size: int, kind: str) -> np.ndarray:
     return out.reshape(-1).view(kind)
 
 
+class Rows:
+    """The rows of a block's texts, by (doc_id, hash of text); rows that repeat both are one."""
+
+    def __init__(self, ids: list, tags: list):
+        first: dict[tuple, int] = {}
+        self.own = np.array([first.setdefault(k, i) for i, k in enumerate(zip(ids, tags, strict=True))], np.int64)
+        self.first, self.n = first, len(self.own)
+
+    def of(self, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
+        return np.array([self.first[k] for k in zip(ids.tolist(), tags.tolist(), strict=True)], np.int64)
+
+    def slices(self, row: np.ndarray, order: np.ndarray) -> list[slice]:
+        """Where each row's entries stand among row[order], which is sorted."""
+        at = np.searchsorted(row[order], np.arange(self.n + 1))
+        return [slice(int(at[i]), int(at[i + 1])) for i in self.own]
+
+
+def joined(rows: list[dict], name: str, kind: str) -> np.ndarray:
+    """The numbers of a binary column, one row's after another's."""
+    return np.frombuffer(b"".join(r[name] for r in rows), kind)
+
+
 def packed_runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The value and the length of each run of equal values."""
     if not len(values):

@@ -25,11 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import U64, Lookup, held_out, identified, parts, spans, stored, utf8
+from .common import BLOCK, U64, Lookup, held_out, identified, in_blocks, spans, stored, utf8
 
 ORDER = 4
-#: Bytes of text in a block at most, and at least where there are fewer blocks than shuffle partitions.
-BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
 WORD, GRAM = 0, 1
 #: The longest word that is its own key, and the key of a text's end: a space is in no word.
 LONG_WORD, END_KEY = 32, b" "
@@ -61,30 +59,6 @@ def lowered_chunks(column: pa.Array):
         yield i, j, ppm.lowered(data[off[i] : off[j]]), off[i : j + 1] - off[i]
 
 
-def even_keys(n: int) -> np.ndarray:
-    """n numbers that hash partitioning deals to n different partitions: the i-th to partition i."""
-    out, left, at = np.full(n, -1, np.int64), n, 0
-    while left:
-        k = np.arange(at, at + max(1024, 4 * left), dtype=np.int64).astype(np.uint32)
-        at += len(k)
-        place = murmur(k) % n
-        place, first = np.unique(place, return_index=True)
-        new = out[place] < 0
-        out[place[new]] = k[first[new]]
-        left = int((out < 0).sum())
-    return out
-
-
-def murmur(k: np.ndarray, seed: int = 42) -> np.ndarray:
-    """Murmur3 of 32-bit integers, as Spark's hash partitioning has it."""
-    turn = lambda x, r: (x << np.uint32(r)) | (x >> np.uint32(32 - r))
-    h = np.uint32(seed) ^ (turn(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593))
-    h = (turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
-    for shift, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
-        h = (h ^ (h >> np.uint32(shift))) * np.uint32(m)
-    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64)
-
-
 class Tally:
     """Sums by key of a stream, held as sorted arrays that are merged when they have doubled."""
 
@@ -192,14 +166,11 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     counts = stored(corpus_counts(table.select(F.coalesce(train, F.lit(False)).alias("train"), "text"), order), "counts")
     totals = counts.filter(F.col("kind") == WORD).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, kinds = totals["n"] or 0, totals["v"]
-    size = table.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block), min(parts(docs.sparkSession), math.ceil(size / min(block, LEAST_BLOCK))))
+    numbered, blocks, _ = in_blocks(table, block)
     costs = gram_costs(counts.filter(F.col("kind") == GRAM).select("key", "n"), order)
     known = counts.filter(F.col("kind") == WORD).select("kind", "key", "word", F.col("n").cast("double").alias("value"))
     values = known.unionByName(costs.select(F.lit(GRAM).cast("byte").alias("kind"), "key", F.lit(b"").alias("word"), "value"))
-    # blocks have numbers that hash partitioning deals to a partition each
-    number = F.get(F.split(F.lit(",".join(map(str, even_keys(blocks)))), ",").cast("array<int>"), F.pmod(F.xxhash64("doc_id", "h"), F.lit(blocks)).cast("int"))
-    dealt = table.select(number.alias("block"), "doc_id", "text").repartition(blocks, "block")
+    dealt = numbered.select("block", "doc_id", "text").repartition(blocks, "block")
 
     def wanted(batches):
         tallies: dict[int, tuple[Tally, dict]] = {}

@@ -8,7 +8,8 @@ One row a window would shuffle many times the input, so windows travel packed.
 counts its own windows first and sends on those of its least doc_id only, however often it repeats a
 window: a window that a third of all documents hold costs one entry a batch.  Entries are dealt by
 hash into buckets of bounded size, packed in the order of their documents, and each bucket is counted
-in one task.  Removed windows merge into maximal intervals of words.
+in one task.  What it removes goes back packed by block of documents, where texts and removed windows
+meet.  Removed windows merge into maximal intervals of words.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOW31, OTHER, POWERS, U64, identified, packed_runs, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
+from .common import LOW31, OTHER, POWERS, U64, Rows, identified, in_blocks, joined, packed_runs, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
 
 #: Words of a window, and bytes of text whose windows fill a bucket.
 WINDOW, BUCKET = 50, 12 << 20
-ENTRIES = "bucket int, ids binary, tags binary, sizes binary, places binary, hashes binary"
+ENTRIES = "bucket int, blocks binary, ids binary, tags binary, sizes binary, places binary, hashes binary"
+FOUND = "block int, ids binary, tags binary, sizes binary, places binary"
 
 
 def window_hashes(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -59,40 +61,42 @@ def of_later(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return out
 
 
-def entries(bucket: np.ndarray, ids: np.ndarray, tags: np.ndarray, row: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray, width: int = 8):
-    """Rows of ``ENTRIES``, one a bucket; windows come in the order of their rows.  ``width`` bytes of the first hash go along."""
-    order = np.argsort(bucket, kind="stable")
-    number, row, first, one, two = bucket[order], row[order], first[order], one[order], two[order]
-    cut = np.append(np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])), len(number)) if len(number) else np.zeros(1, np.int64)
-    out = []
-    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        own, sizes = packed_runs(row[i:j])
-        out.append((int(number[i]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[i:j].astype("<u4")), planes(one[i:j].astype("<u8"), width) + planes(two[i:j].astype("<u4"))))
-    kinds = [pa.int32(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(6)], [f.split()[0] for f in ENTRIES.split(", ")])
+def grouped(number: np.ndarray):
+    """(number, places) of the entries of each number, in order."""
+    order = np.argsort(number, kind="stable")
+    head, sizes = packed_runs(number[order])
+    ends = np.append(0, np.cumsum(sizes)).tolist()
+    for k, i, j in zip(head.tolist(), ends[:-1], ends[1:], strict=True):
+        yield k, order[i:j]
 
 
-def found_rows(ids: np.ndarray, tags: np.ndarray, row: np.ndarray, first: np.ndarray) -> pa.Table:
-    """(doc_id, t, places): the first words of the windows of each run of equal rows."""
-    own, sizes = packed_runs(row)
-    ends = np.append(0, np.cumsum(sizes)).tolist()
-    first = first.astype("<u4")
-    return pa.table({"doc_id": pa.array(ids[own], pa.int64()), "t": pa.array(tags[own], pa.int64()), "places": pa.array([first[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())})
+def record(rows: list[tuple], fields: str) -> pa.RecordBatch:
+    names = [f.split()[0] for f in fields.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary() if k else pa.int32()) for k in range(len(names))], names)
+
+
+def entries(bucket, docs: tuple, row, first, one, two, width: int = 8) -> pa.RecordBatch:
+    """Rows of ``ENTRIES``, one a bucket.  docs: block, id and tag of each row; windows come in the order of
+    their rows; ``width`` bytes of the first hash go along."""
+    out = []
+    for number, some in grouped(bucket):
+        own, sizes = packed_runs(row[some])
+        out.append((number, *(x[own].astype(t).tobytes() for x, t in zip(docs, ("<i4", "<i8", "<i8"), strict=True)), sizes.astype("<u4").tobytes(), planes(first[some].astype("<u4")), planes(one[some].astype("<u8"), width) + planes(two[some].astype("<u4"))))
+    return record(out, ENTRIES)
 
 
-def repeated_windows(table: DataFrame, window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, t, places): the windows that also start in a document with a smaller doc_id, in parts.
-    table: (doc_id, h, text)."""
-    rows = table.filter("doc_id is not null").select("doc_id", "h", "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
+    """``FOUND`` rows: the windows that also start in a document with a smaller doc_id, by block.
+    table: (block, doc_id, h, text), of ``size`` bytes."""
     # a bucket's number is the first bits of its hashes; if those are five, seven bytes say the rest
     bits = max(0, math.ceil(math.log2(max(1, size / bucket))))
     width = 7 if bits >= 5 else 8
 
     def count(batches):
         for batch in batches:
-            data, off = utf8(batch.column(2))
-            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data, off = utf8(batch.column(3))
+            docs = tuple(batch.column(k).to_numpy() for k in range(3))
+            ids = docs[1]
             got = []
             for i, j in spans(off):
                 row, *more = window_hashes(data[off[i] : off[j]], off[i : j + 1] - off[i], window)
@@ -103,29 +107,32 @@ def repeated_windows(table: DataFrame, window: int = WINDOW, bucket: int = BUCKE
             if len(here):
                 # settled in the batch: under a number of the batch's own below zero
                 mark = -1 - int(one[0] & LOW31)
-                yield entries(np.full(len(here), mark, np.int32), ids, tags, row[here], first[here], np.zeros(len(here), U64), np.zeros(len(here), np.uint32))
+                yield entries(np.full(len(here), mark, np.int32), docs, row[here], first[here], np.zeros(len(here), U64), np.zeros(len(here), np.uint32))
             rest = np.flatnonzero(~later)
-            # the bucket's own bits lead the 61-bit hash
-            number = (one[rest] >> U64(61 - bits)).astype(np.int32)
-            yield entries(number, ids, tags, row[rest], first[rest], one[rest], two[rest], width)
+            yield entries((one[rest] >> U64(61 - bits)).astype(np.int32), docs, row[rest], first[rest], one[rest], two[rest], width)
 
     def settle(key, group):
-        ids, tags, sizes, first, one, two = [], [], [], [], [], []
-        for r in group.to_pylist():
+        rows = group.to_pylist()
+        sizes, first, one, two = [], [], [], []
+        for r in rows:
             sizes.append(np.frombuffer(r["sizes"], "<u4"))
             n = int(sizes[-1].sum())
-            ids.append(np.frombuffer(r["ids"], "<i8"))
-            tags.append(np.frombuffer(r["tags"], "<i8"))
             first.append(unplanes(r["places"], n, 4, "<u4"))
             wide = len(r["hashes"]) // n - 4
             one.append(unplanes(r["hashes"][: wide * n], n, wide, "<u8"))
             two.append(unplanes(r["hashes"][wide * n :], n, 4, "<u4"))
-        ids, tags, sizes, first, one, two = (np.concatenate(x) for x in (ids, tags, sizes, first, one, two))
+        sizes, first, one, two = (np.concatenate(x) for x in (sizes, first, one, two))
+        block, ids, tags = (joined(rows, c, t) for c, t in (("blocks", "<i4"), ("ids", "<i8"), ("tags", "<i8")))
         row = np.repeat(np.arange(len(ids)), sizes)
         some = np.arange(len(row)) if key[0].as_py() < 0 else np.flatnonzero(of_later(ids[row], one, two))
-        return found_rows(ids, tags, row[some], first[some])
+        out = []
+        for number, at in grouped(block[row[some]]):
+            own, sizes = packed_runs(row[some[at]])
+            out.append((number, ids[own].tobytes(), tags[own].tobytes(), sizes.astype("<u4").tobytes(), first[some[at]].astype("<u4").tobytes()))
+        return pa.Table.from_batches([record(out, FOUND)])
 
-    return stored(rows.mapInArrow(count, ENTRIES).groupBy("bucket").applyInArrow(settle, "doc_id long, t long, places binary"), "windows")
+    rows = table.filter("doc_id is not null").select("block", "doc_id", "h", "text")
+    return stored(rows.mapInArrow(count, ENTRIES).groupBy("bucket").applyInArrow(settle, FOUND), "windows")
 
 
 def intervals(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,19 +151,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined by one space.  Repeats inside a document, and in rows of the same doc_id, stay; rows with a
     null doc_id keep all their words.  Columns other than the two named are not read, whatever their names.
     """
-    table = identified(docs, id_col, text_col)
-    gone = repeated_windows(table, window, bucket).groupBy("doc_id", "t").agg(F.collect_list("places").alias("parts"))
-
-    def finish(batches):
-        for batch in batches:
+    table, blocks, size = in_blocks(identified(docs, id_col, text_col))
+    found = repeated_windows(table, size, window, bucket)
+    fields = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<struct<first: long, end: long>>"
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "removed"]
+    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+
+    def finish(texts: pa.Table, gone: pa.Table) -> pa.Table:
+        """A block's texts next to its removed windows."""
+        rows, parts_ = Rows(texts["doc_id"].to_pylist(), texts["h"].to_pylist()), gone.to_pylist()
+        place = joined(parts_, "places", "<u4")
+        row = np.repeat(rows.of(joined(parts_, "ids", "<i8"), joined(parts_, "tags", "<i8")), joined(parts_, "sizes", "<u4"))
+        order = np.lexsort((place, row))
+        place = place[order]
+        cut, out, at = rows.slices(row, order), [], 0
+        for batch in texts.select(["doc_id", "text"]).to_batches():
             data, off = utf8(batch.column(1))
-            starts, ends, row = words(data, off)
+            starts, ends, row_ = words(data, off)
             raw = data.tobytes()
             counts, lost, kept, removed = [], [], [], []
-            for i, parts in enumerate(batch.column(2).to_pylist()):
-                a, b = int(row[i]), int(row[i + 1])
+            for i in range(batch.num_rows):
+                a, b = int(row_[i]), int(row_[i + 1])
                 keep = np.ones(b - a, bool)
-                first, end = intervals(np.frombuffer(b"".join(parts or ()), "<u4"), window)
+                first, end = intervals(place[cut[at + i]], window)
                 for x, y in zip(first.tolist(), end.tolist(), strict=True):
                     keep[x:y] = False
                 index = a + np.flatnonzero(keep)
@@ -164,9 +181,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 lost.append(b - a - len(index))
                 kept.append(b" ".join([raw[x:y] for x, y in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]))
                 removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
+            at += batch.num_rows
             digest = [hashlib.sha256(x).hexdigest() for x in kept]
-            span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(digest, pa.string()), pa.array([x.decode() for x in kept], pa.string()), pa.array(removed, span)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "removed"])
+            out.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(digest, pa.string()), pa.array([x.decode() for x in kept], pa.string()), pa.array(removed, span)], names))
+        return pa.Table.from_batches(out, pa.schema([*((n, pa.int64()) for n in names[:3]), *((n, pa.string()) for n in names[3:5]), (names[5], span)]))
 
-    both = table.join(gone, (table["doc_id"] == gone["doc_id"]) & (table["h"] == gone["t"]), "left").select(table["doc_id"], "text", "parts")
-    return both.mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<struct<first: long, end: long>>")
+    texts = table.select("block", "doc_id", "h", "text").repartition(blocks, "block")
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, fields)

@@ -12,11 +12,14 @@ No suffix array holds the corpus.  Strings are dealt into buckets so that equal
    have equal anchors, and the strings of one anchor are consecutive: a segment of text holds them.
    Which k-grams are common is estimated on a sample; that decides no result, only where strings meet.
 2. A batch of documents settles the segments whose anchors repeat in it by its own array, and
-   sends on what starts first in the batch.  So a passage that a third of all documents hold goes on
+   sends on what starts first in the batch.  In any array, segments of the same bytes stand once: the
+   longest previous factors of a later one reach ``window`` at each start, as the first matches it.  So a passage that a third of all documents hold goes on
    once a batch.  Its ends, which differ from document to document, have rare k-grams for anchors.
 3. Anchors are counted over all batches.  One that stands nowhere else has no repeats.
 4. The segments of the others are dealt by anchor into buckets of bounded size, an array each.  Anchors
    that still have very many segments are settled in parts first, as in 2, until that changes little.
+
+Entries travel packed, by bucket or by block of documents, and texts meet them block by block.
 """
 
 from __future__ import annotations
@@ -30,19 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Lookup, identified, mix, packed_runs, planes, prefix, quoted, ragged, rolled, spans, stored, unplanes, utf8
+from .common import U64, Lookup, Rows, identified, in_blocks, joined, mix, packed_runs, planes, quoted, ragged, spans, stored, unplanes, utf8
 
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
-WINDOW, GRAM, BUCKET = 100, 32, 1 << 21
+WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
 #: Segments of an anchor above which they are settled in parts; anchors that are counted in a task, about.
-MOST, COUNTED = 4000, 1 << 21
+MOST, COUNTED = 2000, 1 << 20
 #: Sampled documents that hold a common k-gram, and the most common k-grams that are told apart.
 HITS, COMMON = 4, 1 << 20
 HALF = U64(0xFFFFFFFF)
-ENTRIES = "bucket int, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary"
-HELD = "doc_id long, t long, kind byte, bytes long, most long, spans binary"
-SEGMENTS = "bucket long, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary, text binary"
+#: Entries are spans of starts: place, length, anchor.  docs: block, id and tag of each run of entries.
+ENTRIES = "bucket int, blocks binary, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary"
+HELD = "block int, kind int, bytes long, most long, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary"
+SEGMENTS = "bucket int, blocks binary, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary, text binary"
 FOUND, KNOWN, MANY = 0, 1, 2
+TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
 def ranks(keys: np.ndarray) -> np.ndarray:
@@ -120,14 +125,23 @@ def longest_previous_factors(text: np.ndarray, starts: np.ndarray, window: int)
 
 def repeated_starts(ids: np.ndarray, tags: np.ndarray, first: np.ndarray, n: np.ndarray, text: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Segments in the order of (doc_id, first, tag), and for each of their starts, one after another,
-    whether its longest previous factor reaches ``window``.  Segment i is text[off[i]:]."""
+    whether its longest previous factor reaches ``window``.  Segment i is text[off[i] : off[i + 1]]."""
     order = np.lexsort((tags, first, ids))
-    i, f, m = ids[order], first[order].astype(np.int64), n[order].astype(np.int64)
-    starts = ragged(off[order], m)
+    i, f, m = ids[order], first[order], n[order]
     if not ((i[1:] == i[:-1]) & (f[1:] < f[:-1] + m[:-1])).any():
-        return order, longest_previous_factors(text, starts, window) >= window
+        # segments of the same bytes stand in the array once, as the first of them
+        whole = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(text)])
+        same = whole.dictionary_encode().indices.to_numpy()[order]
+        _, lead = np.unique(same, return_index=True)
+        lead.sort()
+        size = np.diff(off)[order[lead]]
+        part = text[ragged(off[order[lead]], size)]
+        factors = longest_previous_factors(part, ragged(np.cumsum(size) - size, m[lead]), window)
+        out = np.ones(int(m.sum()), bool)
+        out[ragged((np.cumsum(m) - m)[lead], m[lead])] = factors >= window
+        return order, out
     # rows that repeat a doc_id: their starts interleave, and those of equal rows are the same
-    own, place = np.repeat(order, m), ragged(f, m)
+    starts, own, place = ragged(off[order], m), np.repeat(order, m), ragged(f, m)
     by = np.lexsort((tags[own], place, ids[own]))
     a, b = by[1:], by[:-1]
     new = np.concatenate([[True], (ids[own[a]] != ids[own[b]]) | (tags[own[a]] != tags[own[b]]) | (place[a] != place[b])])
@@ -145,19 +159,34 @@ def runs(order: np.ndarray, n: np.ndarray, flags: np.ndarray) -> tuple[np.ndarra
     return order[own[new]], at[new], np.diff(np.append(new, len(own))), flags[new]
 
 
+def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """A hash of the k bytes at each place, from the words of eight bytes in them; it decides where strings
+    meet and no result."""
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    word = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+    at = [*range(0, k - 7, 8)] + [k - 8] * (k % 8 > 0 and k > 8)
+    h = np.zeros(n, U64)
+    for i, j in enumerate(at if k >= 8 else [0]):
+        x = word[j : j + n] if k >= 8 else word[:n] & U64((1 << (8 * k)) - 1)
+        h = (h ^ x) * U64(0x9E3779B97F4A7C15 + 2 * i)
+        h ^= h >> U64(29)
+    return mix(h)
+
+
 def anchors(data: np.ndarray, off: np.ndarray, window: int, k: int, common: Lookup) -> tuple[np.ndarray, ...]:
     """(row, first, n, fp) of every anchor: the strings that have it start at first ... first + n - 1 in the row."""
     count = np.maximum(0, np.diff(off) - window + 1)
     if not count.any():
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),)
-    n = len(data) - k + 1
-    at = np.arange(n)
-    h = rolled(prefix(data), at, at + k)
-    key = mix(h) >> U64(1)
+    h = gram_hashes(data, k)
+    key = h >> U64(1)
     if len(common.keys):
         key |= (common.find(h) >= 0).astype(U64) << U64(63)
     # upper half of the hash, then the place: the least key is the leftmost of the least
-    least, span, wide = (key & ~HALF) | at.astype(U64), 1, window - k + 1
+    least, span, wide = (key & ~HALF) | np.arange(len(h), dtype=np.int64).astype(U64), 1, window - k + 1
     while span < wide:
         step = min(span, wide - span)
         least = np.minimum(least[:-step], least[step:])
@@ -170,54 +199,55 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, k: int, common: Look
     return row[change], start[change] - off[row[change]], np.diff(np.append(change, len(start))), h[anchor[change]]
 
 
-def entries(bucket, ids, tags, row, first, n, fp):
-    """Rows of ``ENTRIES``, one a bucket.  ids and tags: by row; the others: by entry."""
-    order = np.argsort(bucket, kind="stable")
-    number = bucket[order]
-    cut = np.append(np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])), len(number)) if len(number) else np.zeros(1, np.int64)
-    out = []
-    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        some = order[i:j]
-        own, sizes = packed_runs(row[some])
-        out.append((int(number[i]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[some].astype("<u4")), planes(n[some].astype("<u4")), planes(fp[some].astype("<u8"))))
-    kinds = [pa.int32(), *[pa.binary()] * 6]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(7)], [f.split()[0] for f in ENTRIES.split(", ")])
+def grouped(number: np.ndarray):
+    """(number, places) of the entries of each number, in order."""
+    order = np.argsort(number, kind="stable")
+    head, sizes = packed_runs(number[order])
+    ends = np.append(0, np.cumsum(sizes)).tolist()
+    for k, i, j in zip(head.tolist(), ends[:-1], ends[1:], strict=True):
+        yield k, order[i:j]
+
+
+def record(rows: list[tuple], fields: str) -> pa.RecordBatch:
+    names, kinds = zip(*(f.split() for f in fields.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], TYPES[kinds[k]]) for k in range(len(names))], list(names))
+
 
+def pack(docs: tuple, row, first, n, fp) -> tuple:
+    """The packed form of entries.  docs: (block,) id, tag of each row; entries of a row follow each other."""
+    own, sizes = packed_runs(row)
+    kinds = ("<i4", "<i8", "<i8")[3 - len(docs) :]
+    return (*(x[own].astype(t).tobytes() for x, t in zip(docs, kinds, strict=True)), sizes.astype("<u4").tobytes(), planes(first.astype("<u4")), planes(n.astype("<u4")), planes(fp.astype("<u8")) if fp is not None else b"")
 
-def unpacked(rows: list[dict]) -> tuple[np.ndarray, ...]:
-    """(ids, tags, first, n, fp), by entry, of packed rows."""
-    sizes = [np.frombuffer(r["sizes"], "<u4") for r in rows]
-    m = [int(s.sum()) for s in sizes]
-    each = np.concatenate(sizes)
-    ids, tags = (np.repeat(np.frombuffer(b"".join(r[c] for r in rows), "<i8"), each) for c in ("ids", "tags"))
-    first, n = (np.concatenate([unplanes(r[c], k, 4, "<u4") for r, k in zip(rows, m, strict=True)]).astype(np.int64) for c in ("places", "lengths"))
-    fp = np.concatenate([unplanes(r["anchors"], k, 8, "<u8") for r, k in zip(rows, m, strict=True)])
-    return ids, tags, first, n, fp
 
+def entries(bucket, docs: tuple, row, first, n, fp) -> pa.RecordBatch:
+    """Rows of ``ENTRIES``, one a bucket."""
+    return record([(k, *pack(docs, row[i], first[i], n[i], fp[i])) for k, i in grouped(bucket)], ENTRIES)
 
-def span_rows(ids, tags, first, n, fp, kind, most, window) -> pa.Table:
-    """Rows of ``HELD``: the spans of each run of entries of one document and kind."""
-    head = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (kind[1:] != kind[:-1])])) if len(ids) else np.zeros(0, np.int64)
-    ends = np.append(head, len(ids)).tolist()
-    spans_ = [planes(first[i:j].astype("<u4")) + planes(n[i:j].astype("<u4")) + planes(fp[i:j].astype("<u8")) for i, j in zip(ends[:-1], ends[1:], strict=True)]
-    sums = lambda x, f: f.reduceat(x, head) if len(head) else x[:0]
-    columns = [pa.array(ids[head], pa.int64()), pa.array(tags[head], pa.int64()), pa.array(kind[head].astype(np.int8)), pa.array(sums(n + window - 1, np.add), pa.int64()), pa.array(sums(most, np.maximum), pa.int64()), pa.array(spans_, pa.binary())]
-    return pa.table(columns, names=[f.split()[0] for f in HELD.split(", ")])
 
+class Unpacked:
+    """The entries of packed rows: (block,) id and tag of each run, and by entry its run, first, n, fp."""
 
-def read_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(raw) // 16
-    return unplanes(raw[: 4 * n], n, 4, "<u4").astype(np.int64), unplanes(raw[4 * n : 8 * n], n, 4, "<u4").astype(np.int64), unplanes(raw[8 * n :], n, 8, "<u8")
+    def __init__(self, rows: list[dict]):
+        sizes = [np.frombuffer(r["sizes"], "<u4") for r in rows]
+        m = [int(x.sum()) for x in sizes]
+        self.ids, self.tags = joined(rows, "ids", "<i8"), joined(rows, "tags", "<i8")
+        self.blocks = joined(rows, "blocks", "<i4") if rows and "blocks" in rows[0] else np.zeros(len(self.ids), np.int32)
+        self.row = np.repeat(np.arange(len(self.ids)), np.concatenate([np.zeros(0, "<u4"), *sizes]))
+        whole = lambda c, size, kind: np.concatenate([np.zeros(0, kind), *(unplanes(r[c], k, size, kind) for r, k in zip(rows, m, strict=True) if r[c])])
+        self.first, self.n = whole("places", 4, "<u4").astype(np.int64), whole("lengths", 4, "<u4").astype(np.int64)
+        self.fp = whole("anchors", 8, "<u8")
+        if len(self.fp) != len(self.n):
+            self.fp = np.zeros(len(self.n), U64)
 
 
 class Repeats:
-    """Strings of ``window`` bytes that also start earlier.  table: (doc_id, h, text); rows with a null
-    doc_id take no part."""
+    """Strings of ``window`` bytes that also start earlier.  table: (block, doc_id, h, text) in ``blocks``
+    blocks of ``size`` bytes in all; rows with a null doc_id take no part."""
 
-    def __init__(self, table: DataFrame, window: int, gram: int, bucket: int, most: int):
-        self.rows = table.filter("doc_id is not null").select("doc_id", F.col("h").alias("t"), "text")
-        self.window, self.gram, self.bucket, self.most = window, gram, bucket, most
-        size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    def __init__(self, table: DataFrame, blocks: int, size: int, window: int, gram: int, bucket: int, most: int):
+        self.rows = table.filter("doc_id is not null").select("block", "doc_id", F.col("h").alias("t"), "text")
+        self.blocks, self.window, self.gram, self.bucket, self.most = blocks, window, gram, bucket, most
         #: an anchor stands for some 35 of 100 bytes
         self.buckets = max(1, math.ceil(size / ((window - gram + 2) / 2 * COUNTED)))
 
@@ -231,12 +261,12 @@ class Repeats:
             for batch in batches:
                 data, off = utf8(batch.column(0))
                 for i, j in spans(off):
-                    found = [np.unique(rolled(prefix(data[a:b]), at := np.arange(b - a - k + 1), at + k)) for a, b in zip(off[i:j].tolist(), off[i + 1 : j + 1].tolist(), strict=True) if b - a >= k]
-                    keys, n = np.unique(np.concatenate(found or [np.zeros(0, U64)]), return_counts=True)
+                    found = [np.unique(gram_hashes(data[a:b], k)) for a, b in zip(off[i:j].tolist(), off[i + 1 : j + 1].tolist(), strict=True)]
+                    keys, n = np.unique(np.concatenate(found), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["h", "n"])
 
         often = drawn.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= HITS).orderBy(F.desc("n"), "h").limit(COMMON)
-        return Lookup(np.sort(often.toArrow()["h"].to_numpy()).astype(U64))
+        return Lookup(np.sort(often.toArrow()["h"].to_numpy().view(U64)))
 
     def in_batches(self) -> DataFrame:
         """``ENTRIES`` of all anchors, without what its own batch settles; that has a bucket below zero."""
@@ -244,8 +274,9 @@ class Repeats:
 
         def find(batches):
             for batch in batches:
-                data, off = utf8(batch.column(2))
-                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                data, off = utf8(batch.column(3))
+                docs = tuple(batch.column(k).to_numpy() for k in range(3))
+                _, ids, tags = docs
                 got = []
                 for i, j in spans(off):
                     row, *more = anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], window, gram, common)
@@ -259,45 +290,49 @@ class Repeats:
                 some = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(by) else by
                 rest = np.ones(len(fp), bool)
                 rest[some] = False
-                kept = [np.flatnonzero(rest)]
-                parts_ = [(row[kept[0]], first[kept[0]], n[kept[0]], fp[kept[0]])]
-                gone = []
+                left, gone = [(row[rest], first[rest], n[rest], fp[rest])], []
                 ends = np.cumsum(n[some] + window - 1)
                 last = np.append(np.flatnonzero(fp[some][1:] != fp[some][:-1]), len(some) - 1) if len(some) else np.zeros(0, np.int64)
                 at = 0
                 while at < len(some):
                     room = (ends[at - 1] if at else 0) + most
-                    stop = last[max(np.searchsorted(last, at), np.searchsorted(ends[last], room, "right") - 1)] + 1
+                    stop = int(last[max(np.searchsorted(last, at), np.searchsorted(ends[last], room, "right") - 1)]) + 1
                     own = some[at:stop]
-                    size = n[own] + window - 1
-                    text = data[ragged(off[row[own]] + first[own], size)]
-                    order, flags = repeated_starts(ids[row[own]], tags[row[own]], first[own], n[own], text, np.cumsum(size) - size, window)
-                    s, a, m, f = runs(order, n[own], flags)
-                    gone.append((row[own][s[f]], first[own][s[f]] + a[f], m[f]))
-                    parts_.append((row[own][s[~f]], first[own][s[~f]] + a[~f], m[~f], fp[own][s[~f]]))
+                    r, f, m, p = row[own], first[own], n[own], fp[own]
+                    size = m + window - 1
+                    order, flags = repeated_starts(ids[r], tags[r], f, m, data[ragged(off[r] + f, size)], np.append(0, np.cumsum(size)), window)
+                    s, a, m, hit = runs(order, m, flags)
+                    gone.append((r[s[hit]], f[s[hit]] + a[hit], m[hit]))
+                    left.append((r[s[~hit]], f[s[~hit]] + a[~hit], m[~hit], p[s[~hit]]))
                     at = stop
                 if sum(len(g[0]) for g in gone):
-                    r, a, m = (np.concatenate(x) for x in zip(*gone, strict=True))
-                    by = np.lexsort((a, r))
-                    yield entries(np.full(len(r), -1 - int(fp[0] & U64(0x7FFFFFFF)), np.int32), ids, tags, r[by], a[by], m[by], np.zeros(len(r), U64))
-                r, a, m, p = (np.concatenate(x) for x in zip(*parts_, strict=True))
-                by = np.lexsort((a, r))
-                yield entries((mix(p[by]) % U64(buckets)).astype(np.int32), ids, tags, r[by], a[by], m[by], p[by])
+                    r, f, m = (np.concatenate(x) for x in zip(*gone, strict=True))
+                    by = np.lexsort((f, r))
+                    yield entries(np.full(len(r), -1 - int(fp[0] & U64(0x7FFFFFFF)), np.int32), docs, r[by], f[by], m[by], np.zeros(len(r), U64))
+                r, f, m, p = (np.concatenate(x) for x in zip(*left, strict=True))
+                by = np.lexsort((f, r))
+                yield entries((mix(p[by]) % U64(buckets)).astype(np.int32), docs, r[by], f[by], m[by], p[by])
 
         return self.rows.mapInArrow(find, ENTRIES)
 
     def counted(self, found: DataFrame) -> DataFrame:
-        """``HELD`` rows of ``ENTRIES``: found ones, and those of anchors with several segments."""
+        """``HELD`` rows of ``ENTRIES``, packed by block: found ones, and those of anchors with several segments."""
         window, most = self.window, self.most
 
         def count(key, group):
-            ids, tags, first, n, fp = unpacked(group.to_pylist())
+            e = Unpacked(group.to_pylist())
             if key[0].as_py() < 0:
-                return span_rows(ids, tags, first, n, fp, np.full(len(ids), FOUND), np.zeros(len(ids), np.int64), window)
-            _, back, times = np.unique(fp, return_inverse=True, return_counts=True)
-            times = times[back]
-            some = np.flatnonzero(times > 1)
-            return span_rows(ids[some], tags[some], first[some], n[some], fp[some], np.where(times[some] > most, MANY, KNOWN), times[some], window)
+                some, kind, times = np.arange(len(e.n)), np.full(len(e.n), FOUND), np.zeros(len(e.n), np.int64)
+            else:
+                _, back, times = np.unique(e.fp, return_inverse=True, return_counts=True)
+                times = times[back]
+                some = np.flatnonzero(times > 1)
+                kind = np.where(times > most, MANY, KNOWN)
+            out = []
+            for number, i in grouped(e.blocks[e.row[some]].astype(np.int64) * 4 + kind[some]):
+                i = some[i]
+                out.append((number // 4, number % 4, int((e.n[i] + window - 1).sum()), int(times[i].max()), *pack((e.ids, e.tags), e.row[i], e.first[i], e.n[i], e.fp[i] if number % 4 else None)))
+            return pa.Table.from_batches([record(out, HELD)])
 
         return stored(found.groupBy("bucket").applyInArrow(count, HELD), "held")
 
@@ -307,66 +342,40 @@ class Repeats:
         window, buckets = self.window, self.buckets
         size = held.agg(F.sum("bytes")).first()[0] or 0
         number = max(1, math.ceil(size / self.bucket))
-        some = held.groupBy("doc_id", "t").agg(F.collect_list("spans").alias("spans"))
 
-        def segments(batches):
-            for batch in batches:
-                data, off = utf8(batch.column(2))
-                ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                got = [tuple(np.concatenate(x) for x in zip(*map(read_spans, lists), strict=True)) for lists in batch.column(3).to_pylist()]
-                if not got:
-                    continue
-                row = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
-                first, n, fp = (np.concatenate(x) for x in zip(*got, strict=True))
-                salt = mix(ids[row].view(U64)) % U64(max(1, parts_)) if parts_ else np.zeros(len(row), U64)
-                bucket = (mix(fp + salt * U64(0x9E3779B97F4A7C15)) % U64(number)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
-                wide = n[by] + window - 1
-                ends = np.append(0, np.cumsum(wide))
-                cut = np.append(np.flatnonzero(np.concatenate([[True], bucket[by][1:] != bucket[by][:-1]])), len(by)).tolist()
-                out = []
-                for i, j in zip(cut[:-1], cut[1:], strict=True):
-                    k = by[i:j]
-                    own, sizes = packed_runs(row[k])
-                    text = data[ragged(off[row[k]] + first[k], wide[i:j])].tobytes()
-                    out.append((int(bucket[k[0]]), ids[own].astype("<i8").tobytes(), tags[own].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), planes(first[k].astype("<u4")), planes(n[k].astype("<u4")), planes(fp[k].astype("<u8")) if parts_ else b"", text))
-                    if sum(len(x[-1]) for x in out[-64:]) > 1 << 22 or len(out) >= 2000:
-                        yield packed(out)
-                        out = []
-                if out:
-                    yield packed(out)
-
-        def packed(out):
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.binary() if k else pa.int64()) for k in range(8)], [f.split()[0] for f in SEGMENTS.split(", ")])
+        def segments(texts: pa.Table, spans_: pa.Table) -> pa.Table:
+            """A block's texts next to its entries: their segments, by bucket."""
+            e, rows = Unpacked(spans_.to_pylist()), Rows(texts["doc_id"].to_pylist(), texts["t"].to_pylist())
+            data, off = utf8(texts["text"])
+            start = off[rows.of(e.ids, e.tags)][e.row] + e.first
+            salt = mix(e.ids.view(U64))[e.row] % U64(parts_) if parts_ else np.zeros(len(e.n), U64)
+            bucket = (mix(e.fp + salt * U64(0x9E3779B97F4A7C15)) % U64(number)).astype(np.int32)
+            block = np.full(len(e.ids), texts["block"][0].as_py() if len(texts) else 0, np.int32)
+            out = []
+            for k, i in grouped(bucket):
+                out.append((k, *pack((block, e.ids, e.tags), e.row[i], e.first[i], e.n[i], e.fp[i] if parts_ else None), data[ragged(start[i], e.n[i] + window - 1)].tobytes()))
+            return pa.Table.from_batches([record(out, SEGMENTS)])
 
         def settle(key, group):
             rows = group.to_pylist()
-            if not parts_:
-                rows = [r | {"anchors": bytes(8 * (len(r["places"]) // 4))} for r in rows]
-            ids, tags, first, n, fp = unpacked(rows)
-            text = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
-            size = n + window - 1
-            order, flags = repeated_starts(ids, tags, first, n, text, np.cumsum(size) - size, window)
-            s, a, m, f = runs(order, n, flags)
-            mark = np.where(f, -1 - (key[0].as_py() & 0x7FFFFFFF), (mix(fp[s]) % U64(buckets)).astype(np.int64)).astype(np.int32)
-            some = np.arange(len(s)) if parts_ else np.flatnonzero(f)
-            place = order.argsort()[s][some]
-            by = np.lexsort((first[s][some] + a[some], place))
-            some = some[by]
-            # entries of one document follow each other
-            doc = np.lexsort((tags[s][some], ids[s][some]))
-            some = some[doc]
-            head = np.concatenate([[True], (ids[s][some][1:] != ids[s][some][:-1]) | (tags[s][some][1:] != tags[s][some][:-1])]) if len(some) else np.zeros(0, bool)
-            return pa.Table.from_batches([entries(mark[some], ids[s][some][head], tags[s][some][head], np.cumsum(head) - 1, first[s][some] + a[some], m[some], fp[s][some])])
-
-        texts = self.rows.join(some, ["doc_id", "t"]).select("doc_id", "t", "text", "spans")
-        return texts.mapInArrow(segments, SEGMENTS).groupBy("bucket").applyInArrow(settle, ENTRIES)
+            e = Unpacked(rows)
+            text = joined(rows, "text", np.uint8)
+            ids, tags = e.ids[e.row], e.tags[e.row]
+            order, flags = repeated_starts(ids, tags, e.first, e.n, text, np.append(0, np.cumsum(e.n + window - 1)), window)
+            s, a, m, hit = runs(order, e.n, flags)
+            mark = np.where(hit, -1 - key[0].as_py(), (mix(e.fp[s]) % U64(buckets)).astype(np.int64)).astype(np.int32)
+            some = np.arange(len(s)) if parts_ else np.flatnonzero(hit)
+            some = some[np.lexsort((e.first[s][some] + a[some], e.row[s][some]))]
+            s = s[some]
+            return pa.Table.from_batches([entries(mark[some], (e.blocks, e.ids, e.tags), e.row[s], e.first[s] + a[some], m[some], e.fp[s])])
+
+        texts = self.rows.repartition(self.blocks, "block")
+        return texts.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(segments, SEGMENTS).groupBy("bucket").applyInArrow(settle, ENTRIES)
 
     def found(self) -> DataFrame:
-        """(doc_id, t, spans): runs of starts of strings that start earlier too."""
+        """``HELD`` rows of the strings that start earlier too, in runs."""
         held = self.counted(self.in_batches())
-        done = held.filter(F.col("kind") != MANY)
-        many = held.filter(F.col("kind") == MANY)
+        done, many = held.filter(F.col("kind") != MANY), held.filter(F.col("kind") == MANY)
         size, most = many.agg(F.sum("bytes"), F.max("most")).first()
         while size:
             # a part of such an anchor's segments keeps one of each that are equal
@@ -375,28 +384,15 @@ class Repeats:
             done = done.unionByName(held.filter(F.col("kind") != MANY))
             size, most = many.agg(F.sum("bytes"), F.max("most")).first()
             if size and size > before / 2:
-                done, size = done.unionByName(many.withColumn("kind", F.lit(KNOWN).cast("byte"))), 0
-        last = self.settled(done.filter(F.col("kind") == KNOWN))
-
-        def listed(batches):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    ids, tags, first, n, fp = unpacked([row])
-                    for out in span_rows(ids, tags, first, n, fp, np.full(len(ids), FOUND), np.zeros(len(ids), np.int64), self_window).to_batches():
-                        yield out
-
-        self_window = self.window
-        ends = stored(last.mapInArrow(listed, HELD).select("doc_id", "t", "spans"), "settled")
-        return done.filter(F.col("kind") == FOUND).select("doc_id", "t", "spans").unionByName(ends)
+                done, size = done.unionByName(many.withColumn("kind", F.lit(KNOWN))), 0
+        ends = self.counted(self.settled(done.filter(F.col("kind") == KNOWN)))
+        return done.filter(F.col("kind") == FOUND).unionByName(ends)
 
 
-def intervals(parts_: list[bytes] | None, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal intervals of bytes that the strings of packed spans cover."""
-    if not parts_:
+def intervals(first: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal intervals of bytes that the strings of spans, sorted by their first start, cover."""
+    if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first, n = (np.concatenate(x) for x in zip(*(read_spans(x)[:2] for x in parts_), strict=True))
-    by = np.argsort(first, kind="stable")
-    first, n = first[by], n[by]
     end = np.maximum.accumulate(first + n + window - 1)
     new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
     return first[new], end[np.append(new[1:] - 1, len(end) - 1)]
@@ -412,33 +408,43 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     character that is cut in two goes as a whole.  carry: all other columns, as struct ``rest``.
     """
     others = [quoted(c) for c in docs.columns if c not in (id_col, text_col)]
-    table = identified(docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.struct(*others or [F.lit(0).alias("none")]).alias("rest")), "doc_id", "text", "rest")
-    found = Repeats(table, window, gram, bucket, most).found().groupBy("doc_id", "t").agg(F.collect_list("spans").alias("spans"))
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "rest"]
-
-    def finish(batches):
-        for batch in batches:
+    whole = identified(docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.struct(*others or [F.lit(0).alias("none")]).alias("rest")), "doc_id", "text", "rest")
+    table, blocks, size = in_blocks(whole)
+    found = Repeats(table, blocks, size, window, gram, bucket, most).found()
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "rest"][: 7 + carry]
+
+    def finish(texts: pa.Table, spans_: pa.Table) -> pa.Table:
+        """A block's texts next to the strings that go."""
+        rows, e = Rows(texts["doc_id"].to_pylist(), texts["h"].to_pylist()), Unpacked(spans_.to_pylist())
+        row = rows.of(e.ids, e.tags)[e.row]
+        order = np.lexsort((e.first, row))
+        cut, out, at = rows.slices(row, order), [], 0
+        first_, n_ = e.first[order], e.n[order]
+        span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+        for batch in texts.select(["doc_id", "text", *["rest"] * carry]).to_batches():
             data, off = utf8(batch.column(1))
             raw = data.tobytes()
             kept, removed = [], []
-            for i, parts_ in enumerate(batch.column(2).to_pylist()):
-                at, out = int(off[i]), []
-                first, end = intervals(parts_, window)
+            for i in range(batch.num_rows):
+                begin, pieces = int(off[i]), []
+                first, end = intervals(first_[cut[at + i]], n_[cut[at + i]], window)
                 for x, y in zip(first.tolist(), end.tolist(), strict=True):
-                    out.append(raw[at : int(off[i]) + x])
-                    at = int(off[i]) + y
-                kept.append(b"".join([*out, raw[at : int(off[i + 1])]]))
+                    pieces.append(raw[begin : int(off[i]) + x])
+                    begin = int(off[i]) + y
+                kept.append(b"".join([*pieces, raw[begin : int(off[i + 1])]]))
                 removed.append([{"first": x, "end": y} for x, y in zip(first.tolist(), end.tolist(), strict=True)])
+            at += batch.num_rows
             sizes = np.diff(off)
-            span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
             columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in kept], np.int64)), pa.array([len(x) for x in removed], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), pa.array(removed, span)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[3:]], names[: 7 + carry])
-
-    span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
-    kinds = [*[T.LongType()] * 4, T.StringType(), T.StringType(), span, table.schema["rest"].dataType]
-    fields = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)][: 7 + carry])
-    both = table.join(found, (table["doc_id"] == found["doc_id"]) & (table["h"] == found["t"]), "left").select(table["doc_id"], "text", "spans", *["rest"] * carry)
-    return both.mapInArrow(finish, fields)
+            out.append(pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], names))
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), span, *([texts.schema.field("rest").type] if carry else [])]
+        return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds, strict=True)))) if out else pa.schema(list(zip(names, kinds, strict=True))).empty_table()
+
+    span_ = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
+    kinds = [*[T.LongType()] * 4, T.StringType(), T.StringType(), span_, whole.schema["rest"].dataType]
+    fields = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds[: 7 + carry], strict=True)])
+    texts = table.select("block", "doc_id", "h", "text", *["rest"] * carry).repartition(blocks, "block")
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, fields)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
