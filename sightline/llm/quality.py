@@ -73,6 +73,7 @@ def passages(data: np.ndarray, off: np.ndarray, size: int = PASSAGE) -> tuple[np
     slot = np.bincount(place * WORDS + (mix(hashes) % U64(WORDS)).astype(np.int64), minlength=len(out) * WORDS).reshape(len(out), -1)
     out[:, -STATS - WORDS : -STATS] = np.sqrt(slot / some[:, None])
     out[:, -STATS:] = np.stack([kinds / some, again / some, mean / 10, spread / 10, np.log1p(k) / 4, np.log1p(size_of[:, 0]) / 8], 1)
+    out[k == 0] = 0
     return out, to
 
 

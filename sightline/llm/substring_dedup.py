@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOW31, OTHER, POWERS, U64, Rows, identified, in_blocks, joined, packed_runs, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
+from .common import LOW31, OTHER, POWERS, U64, Rows, identified, in_blocks, joined, packed_runs, parts, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
 
-#: Words of a window, and bytes of text whose windows fill a bucket.
-WINDOW, BUCKET = 50, 12 << 20
+#: Words of a window, and bytes of text whose windows fill a bucket, or do where there are fewer buckets than
+#: shuffle partitions.
+WINDOW, BUCKET, LEAST_BUCKET = 50, 12 << 20, 1 << 18
 ENTRIES = "bucket int, blocks binary, ids binary, tags binary, sizes binary, places binary, hashes binary"
 FOUND = "block int, ids binary, tags binary, sizes binary, places binary"
 
@@ -89,7 +90,7 @@ def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket:
     """``FOUND`` rows: the windows that also start in a document with a smaller doc_id, by block.
     table: (block, doc_id, h, text), of ``size`` bytes."""
     # a bucket's number is the first bits of its hashes; if those are five, seven bytes say the rest
-    bits = max(0, math.ceil(math.log2(max(1, size / bucket))))
+    bits = math.ceil(math.log2(max(1, size / bucket, min(parts(table.sparkSession), size / LEAST_BUCKET))))
     width = 7 if bits >= 5 else 8
 
     def count(batches):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Lookup, Rows, identified, in_blocks, joined, mix, packed_runs, planes, quoted, ragged, spans, stored, unplanes, utf8
+from .common import U64, Lookup, Rows, identified, in_blocks, joined, mix, packed_runs, parts, planes, quoted, ragged, spans, stored, unplanes, utf8
 
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
 WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
@@ -249,7 +249,7 @@ class Repeats:
         self.rows = table.filter("doc_id is not null").select("block", "doc_id", F.col("h").alias("t"), "text")
         self.blocks, self.window, self.gram, self.bucket, self.most = blocks, window, gram, bucket, most
         #: an anchor stands for some 35 of 100 bytes
-        self.buckets = max(1, math.ceil(size / ((window - gram + 2) / 2 * COUNTED)))
+        self.buckets = max(1, math.ceil(size / ((window - gram + 2) / 2 * COUNTED)), min(parts(table.sparkSession), size >> 18))
 
     def common_grams(self) -> Lookup:
         """k-grams that more than about ``most`` / 2 documents hold, by a sample of few documents in ``most``."""
