@@ -8,8 +8,8 @@ with repeated shingles has a second signature, over the set of its shingles (all
 those agree with a probability of the plain Jaccard.
 
 Signatures are cut into bands.  A bucket, the documents that share a band, links each member to
-two leaders, its least document and one drawn by the band, so a bucket of n documents costs 2n
-pairs.  A bucket whose members are then all in one component is settled.  The members of all other
+three leaders, its least document, its shortest and one drawn by the band, so a bucket of n documents
+costs 3n pairs.  (Where one shingle that repeats makes texts similar, the shortest is nearest to all.)  A bucket whose members are then all in one component is settled.  The members of all other
 buckets go through an exact search by prefix filtering: shingles have one global order, rare ones
 first, and two documents that are similar enough share a shingle among those that come before the
 last part of each, however many documents their buckets hold.  Pairs are verified exactly on the
@@ -19,10 +19,12 @@ shingles of the whole texts.  Groups are the connected components of the verifie
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, with_rows, words
@@ -33,6 +35,8 @@ SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 32, 4
 #: Expected documents that tell which shingles are frequent, and the most of those that are told apart.
 #: Both only decide the order of shingles; any order gives the same links.
 ORDER_DOCS, ORDER_SHINGLES = 20_000, 1 << 20
+#: Words of 64 bits that tell of a set how far it is from another one at least.
+PARITY = 16
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int):
@@ -134,6 +138,13 @@ def leading(value: np.ndarray, weight: np.ndarray, frequency: np.ndarray, simila
     return order[((n - np.arange(n)) >= (similar - 1e-9) * n) | (w[::-1].cumsum()[::-1] >= (similar - 1e-9) * w.sum())]
 
 
+def parity(value: np.ndarray) -> np.ndarray:
+    """``PARITY`` whole numbers of 64 bits, a bit for each slot: whether an odd number of shingles falls there.
+    Two sets that differ in n shingles differ in n bits at most."""
+    odd = np.bincount((mix(value) % U64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
     """(a, b): every pair of different labels that may be ``similar``.  lists: (doc_id, label, list)."""
     rate = min(1.0, ORDER_DOCS / max(1, lists.count()))
@@ -150,40 +161,56 @@ def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
     # the sentinel is no shingle: every search ends at a place
     known, number = np.append(known[by], 1 << 62), np.append(number[by], 0)
 
+    bits = [f"p{i}" for i in range(PARITY)]
+    columns = ["doc_id", "label", "rest", "share", "n", "total", *bits]
+
     def prefixes(batches):
         for batch in batches:
-            rows, values, rests, sizes, flat = [], [], [], [], []
+            rows, values, rests, shares, sizes, sums, odd = [], [], [], [], [], [], []
             for k, x in enumerate(batch.column(2)):
                 value, weight = read(x.as_py())
                 at = np.searchsorted(known, value.astype(np.int64))
-                lead = value[leading(value, weight, np.where(known[at] == value.astype(np.int64), number[at], 0), similar)]
-                rows.append(np.full(len(lead), k))
-                values.append(lead.astype(np.int64))
-                rests.append(len(value) - np.arange(len(lead)))
-                sizes.append(np.full(len(lead), len(value)))
-                flat.append(np.full(len(lead), weight.max(initial=1) == 1))
+                place = leading(value, weight, np.where(known[at] == value.astype(np.int64), number[at], 0), similar)
+                total = weight.sum(dtype=np.int64)
+                rows.append(np.full(len(place), k))
+                values.append(value[place].astype(np.int64))
+                # what stands from a shingle on: how many, and their share of all counts
+                rests.append(len(value) - np.arange(len(place)))
+                shares.append(1 - (np.cumsum(weight[place]) - weight[place]) / max(1, total))
+                sizes.append(np.full(len(place), len(value)))
+                sums.append(np.full(len(place), total))
+                odd.append(np.broadcast_to(parity(value), (len(place), PARITY)))
             if rows:
                 row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(rests)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(flat))], ["shingle", "doc_id", "label", "rest", "n", "flat"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), batch.column(0).take(row), batch.column(1).take(row), *(pa.array(np.concatenate(x)) for x in (rests, shares, sizes, sums)), *map(pa.array, np.ascontiguousarray(np.concatenate(odd).T))], ["shingle", *columns])
 
-    held = stored(lists.select("doc_id", "label", "list").mapInArrow(prefixes, "shingle long, doc_id long, label long, rest long, n long, flat boolean"), "prefixes")
+    held = stored(lists.select("doc_id", "label", "list").mapInArrow(prefixes, f"shingle long, doc_id long, label long, rest long, share double, n long, total long, {', '.join(f'{p} long' for p in bits)}"), "prefixes")
     shared = held.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("shingle")
-    held = stored(held.join(shared, "shingle", "left_semi"), "shared")
-    x, y = (held.select("shingle", *(F.col(c).alias(c + side) for c in ("doc_id", "label", "rest", "n", "flat"))) for side in "xy")
-    # without repeats both similarities are the same, and all a pair has in common stands from its first
-    # common shingle on: the row of that shingle passes if the pair is similar
-    alike = F.expr("not (flatx and flaty)") | (F.least("restx", "resty") * (1 + similar) >= (similar - 1e-9) * (F.col("nx") + F.col("ny")))
-    met = x.join(y, "shingle").filter("doc_idx < doc_idy and labelx <> labely").filter(alike)
+    # the shared shingle before, in the list's order: lists that have the same one met there
+    before = F.lag("shingle").over(Window.partitionBy("doc_id").orderBy(F.desc("rest")))
+    held = stored(held.join(shared, "shingle", "left_semi").withColumn("before", before), "shared")
+    x, y = (held.select("shingle", *(F.col(c).alias(c + side) for c in (*columns, "before"))) for side in "xy")
+    # All that a pair has in common stands from its first common shingle on: that one's row passes if the
+    # pair is similar.  Sets are similar if enough stands there and few enough shingles differ, and no
+    # fewer do than parity bits; counts are, if enough of their shares stands there, and the shares that
+    # differ, one count of the larger total for each differing shingle at least, are small enough
+    both, s = F.col("nx") + F.col("ny"), similar - 1e-9
+    apart = reduce(add, [F.bit_count(F.col(f"{p}x").bitwiseXOR(F.col(f"{p}y"))) for p in bits])
+    sets = (F.least("restx", "resty") * (1 + s) >= s * both) & (apart * (1 + s) <= (1 - s) * both)
+    counts = (F.least("sharex", "sharey") >= s) & (apart <= 2 * (1 - s) * F.greatest("totalx", "totaly"))
+    # without repeats both similarities are the same
+    alike = sets | (((F.col("totalx") > F.col("nx")) | (F.col("totaly") > F.col("ny"))) & counts)
+    met = x.join(y, "shingle").filter("doc_idx < doc_idy and labelx <> labely and not coalesce(beforex = beforey, false)").filter(alike)
     return met.select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b")).distinct()
 
 
 def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> DataFrame:
-    """(a, b): verified links between documents of different word sequences.  reps: (doc_id, bands)."""
-    held = reps.select("doc_id", F.explode("bands").alias("band"))
+    """(a, b): verified links between documents of different word sequences.  reps: (doc_id, length, bands)."""
+    held = reps.select("doc_id", "length", F.explode("bands").alias("band"))
     drawn = F.min_by("doc_id", F.xxhash64("doc_id", "band"))
-    buckets = held.groupBy("band").agg(F.min("doc_id").alias("one"), drawn.alias("two"), F.max("doc_id").alias("last"), F.count("*").alias("n")).filter("one < last").select("band", "one", "two", "n")
+    buckets = held.groupBy("band").agg(F.min("doc_id").alias("one"), drawn.alias("two"), F.min_by("doc_id", "length").alias("three"), F.max("doc_id").alias("last"), F.count("*").alias("n")).filter("one < last").select("band", "one", "two", "three", "n")
     met = stored(held.join(stored(buckets, "buckets"), "band"), "met")
-    pairs = met.select("doc_id", F.explode(F.array("one", "two")).alias("leader")).filter("doc_id <> leader")
+    pairs = met.select("doc_id", F.explode(F.array_distinct(F.array("one", "two", "three"))).alias("leader")).filter("doc_id <> leader")
     pairs = stored(pairs.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct(), "pairs")
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
 
@@ -243,15 +270,15 @@ def near_groups(docs: DataFrame, id_col: str, text_col: str, size: int, similar:
                 # a band that both signatures agree in is listed once
                 new = np.append(True, (owner[1:] != owner[:-1]) | (both[1:] != both[:-1])) if len(owner) else np.zeros(0, bool)
                 to = np.searchsorted(owner[new], np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(same_words(part, at), pa.binary()), pa.ListArray.from_arrays(to, pa.array(both[new].view(np.int64)))], ["doc_id", "h", "words", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(same_words(part, at), pa.binary()), pa.array(np.bincount(row, weight, j - i).astype(np.int64)), pa.ListArray.from_arrays(to, pa.array(both[new].view(np.int64)))], ["doc_id", "h", "words", "length", "bands"])
 
-    signed = stored(table.mapInArrow(sign, "doc_id long, h long, words binary, bands array<long>"), "signed")
+    signed = stored(table.mapInArrow(sign, "doc_id long, h long, words binary, length long, bands array<long>"), "signed")
     first = signed.filter("doc_id is not null").groupBy("words").agg(F.min(F.struct("doc_id", "h")).alias("rep")).select("words", "rep.*")
     # classes meet under the doc_id of their first row; where rows repeat an id, under a hash of their own
     shared = first.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", F.lit(True).alias("shared"))
     node = F.when(F.col("shared"), F.xxhash64("words", F.lit("class"))).otherwise(F.col("doc_id"))
     classes = stored(first.join(shared, "doc_id", "left").select("words", F.col("doc_id").alias("rep"), F.col("h").alias("rep_h"), node.alias("node")), "classes")
-    reps = signed.join(classes.select("words", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"), "node"), ["words", "doc_id", "h"]).select(F.col("node").alias("doc_id"), "bands")
+    reps = signed.join(classes.select("words", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"), "node"), ["words", "doc_id", "h"]).select(F.col("node").alias("doc_id"), "length", "bands")
     texts = table.join(classes.select(F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"), "node"), ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text")
     labels = stored(components(near_links(texts, reps, size, similar)), "groups")
     linked = stored(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "linked")
