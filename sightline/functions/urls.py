@@ -130,9 +130,11 @@ def url_type(c: Column | str, hosts: dict | None = None, shortlinks: tuple = SHO
 
 
 def query_keys(url: Column) -> Column:
-    """The names of the query's parameters, in lower case."""
-    pairs = F.filter(F.split(F.lower(query(url)), "&"), lambda p: p != "")
-    return F.transform(pairs, lambda p: F.regexp_extract(p, "^([^=]*)", 1))
+    """The names of the query's parameters, decoded, in lower case."""
+    pairs = F.filter(F.split(query(url), "&"), lambda p: p != "")
+    names = F.transform(pairs, lambda p: F.regexp_extract(p, "^([^=]*)", 1))
+    # an escape that is none stays as it is
+    return F.transform(names, lambda n: F.lower(F.coalesce(F.try_url_decode(n), F.replace(n, F.lit("+"), F.lit(" ")))))
 
 
 def is_detail(c: Column | str, keys: tuple = DETAIL_KEYS, decoded_url: Column | None = None) -> Column:

@@ -38,29 +38,33 @@ def unseen(rows: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _gather(parts: Column, separator: str, whole: bool) -> Column:
-    """Folds strings in order: a part is added unless it is a member (whole) or a substring of what is there."""
+    """Folds strings in order: a part is added unless it is a member (whole) or a substring of what is there.
+    What is joined has no bars or spaces at its ends."""
 
     def step(acc: Column, x: Column) -> Column:
         there = F.array_contains(F.split(acc, r"\|"), x) if whole else F.contains(acc, x)
-        return F.when((x == "") | ((acc != "") & there), acc).when(acc == "", x).otherwise(F.concat(acc, F.lit(separator), x))
+        both = F.concat(acc, F.lit(separator), x)
+        return F.when((x == "") | ((acc != "") & there), acc).when((acc == "") & F.lit(whole), x).otherwise(both if whole else F.regexp_replace(T.squeeze(both), r"^[ |]+|[ |]+$", ""))
 
-    return F.aggregate(parts, F.lit(""), step)
+    return F.aggregate(F.slice(parts, 2, 1 << 30), F.coalesce(F.get(parts, F.lit(0)), F.lit("")), step)
 
 
 def merge_candidates(candidates: DataFrame, keys: list[str], position: str = "position") -> DataFrame:
     """One row for each key (such as host and candidate key): the first URL; the distinct sources joined by
     a bar; anchor texts and contexts joined unless what is there holds them.
 
-    The substring rule depends on the order, so equal (source, text, context) are first reduced to
-    their first position, with map-side combining; what one key gathers is its distinct evidence."""
-    once = candidates.groupBy(*keys, "source", "anchor_text", "source_context").agg(F.min(position).alias(position), F.min_by("url", F.col(position)).alias("url"))
-    rows = F.sort_array(F.collect_list(F.struct(position, "url", "source", "anchor_text", "source_context")))
-    got = once.groupBy(*keys).agg(rows.alias("__rows"))
-    field = lambda f: F.transform("__rows", lambda r: T.col(r[f]))
-    return got.select(
-        *keys, F.col("__rows")[0][position].alias(position), F.col("__rows")[0]["url"].alias("url"), _gather(field("source"), "|", True).alias("source"),
-        _gather(F.transform(field("anchor_text"), T.squeeze), " | ", False).alias("anchor_text"), _gather(F.transform(field("source_context"), T.squeeze), " | ", False).alias("source_context"),
-    )
+    The substring rule depends on the order, so each field's distinct values are reduced to their first
+    positions, with map-side combining; what one key gathers of a field is its distinct values."""
+    clean = candidates.withColumns({"source": T.col("source"), "anchor_text": T.squeeze("anchor_text"), "source_context": T.squeeze("source_context")})
+    first = clean.groupBy(*keys).agg(F.min(F.struct(position, "url")).alias("__first")).select(*keys, F.col(f"__first.{position}").alias(position), F.col("__first.url").alias("url"))
+    fields = ("source", "anchor_text", "source_context")
+    # one row for each field of a candidate: its value under the field's number
+    each = clean.select(*keys, position, F.posexplode(F.array(*fields)).alias("__field", "__value"))
+    once = each.groupBy(*keys, "__field", "__value").agg(F.min(position).alias("__at"))
+    got = once.groupBy(*keys).agg(*[F.sort_array(F.collect_list(F.when(F.col("__field") == i, F.struct("__at", "__value")))).alias(f) for i, f in enumerate(fields)])
+    values = lambda f: F.transform(f, lambda r: r["__value"])
+    joined = got.select(*keys, *[_gather(values(f), "|" if f == "source" else " | ", f == "source").alias(f) for f in fields])
+    return first.join(joined, keys)
 
 
 def summarize_failures(failures: DataFrame, key: str, position: str = "position", most: int = 800) -> DataFrame:

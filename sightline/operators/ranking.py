@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import safe_int
+from ..session import kept
 
 
 def top_n(df: DataFrame, key: str | list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -39,3 +40,20 @@ def argmax(df: DataFrame, key: str | list[str], value: Column, score: Column, po
 def sort_by_ints(df: DataFrame, columns: list[str], position: str) -> DataFrame:
     """Global order by columns read as integers (0 where they are none), stable by position."""
     return df.orderBy(*[safe_int(c) for c in columns], position)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``name``: each row's number, from 1, in the order.
+
+    Rows are sorted by range partitions and written, each with its number in its partition; how many
+    rows come before a partition is told by one small row a partition.  No task holds all rows."""
+    inner = (1 << 33) - 1
+    rows = kept(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumns({"__part": F.shiftright("__id", 33), "__inner": F.col("__id").bitwiseAND(F.lit(inner))})
+    sizes = sorted((r["__part"], r["count"]) for r in rows.groupBy("__part").count().collect())
+    before, total = [], 0
+    for part, n in sizes:
+        before.append((part, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(before, "__part long, __before long")
+    return rows.join(F.broadcast(starts), "__part").withColumn(name, F.col("__before") + F.col("__inner") + 1).drop("__id", "__part", "__inner", "__before")

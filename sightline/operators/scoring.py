@@ -95,17 +95,26 @@ def search_hit(title: Column, region_sub: Column, hit_title: Column, hit_text: C
 
 
 def best_search_hit(hits: DataFrame, venue: str = "venue_index", least: int = 20) -> DataFrame:
-    """One record a venue: the first of its best hits and the status found, no_confident_match or no_results.
+    """One record a venue: the first of its best hits and the status found, no_confident_match, no_results,
+    or what the search itself ended with (missing_credentials, http_error_N, error).
 
-    hits: venue, pos (null: the search gave nothing), link, score, reason, url_type, query."""
+    hits: venue, pos (null: the search gave nothing), link, score, reason, url_type, query, and maybe
+    status and message."""
     usable = F.col("link") != ""
-    best = hits.groupBy(venue).agg(F.count("pos").alias("items"), F.first("query").alias("query"), F.max_by(F.when(usable, F.struct("link", "score", "reason", "url_type")), F.when(usable, F.struct("score", (-F.col("pos")).alias("p")))).alias("b"))
-    found = (F.col("items") > 0) & (F.coalesce(F.col("b.score"), F.lit(-1)) >= least)
-    status = F.when(F.col("items") == 0, "no_results").when(found, "found").otherwise("no_confident_match")
+    told = "status" in hits.columns
+    failed = (T.col("status") != "ok") & (T.col("status") != "") if told else F.lit(False)
+    best = hits.groupBy(venue).agg(
+        F.count("pos").alias("items"), F.min("query").alias("query"), F.max_by(F.when(usable, F.struct("link", "score", "reason", "url_type")), F.when(usable, F.struct("score", (-F.col("pos")).alias("p")))).alias("b"),
+        F.max(F.when(failed, F.struct("status", T.col("message").alias("message")))).alias("f") if told else F.lit(None).cast("struct<status: string, message: string>").alias("f"),
+    )
+    none = F.col("items") == 0
+    lost = none & F.col("f").isNotNull()
+    found = ~none & (F.coalesce(F.col("b.score"), F.lit(-1)) >= least)
+    status = F.when(lost, F.col("f.status")).when(none, "no_results").when(found, "found").otherwise("no_confident_match")
+    why = F.when(lost, T.col("f.message")).when(none, "No search results.").when(found, T.first_filled(F.col("b.reason"), F.lit("best_search_result"))).otherwise(T.col("b.reason"))
     return best.select(
         venue, F.when(found, F.col("b.link")).otherwise("").alias("api_found_url"), status.alias("api_search_status"), F.when(found, F.col("b.url_type")).otherwise("").alias("api_url_type"),
-        F.when(F.col("items") == 0, 0).otherwise(F.greatest(F.lit(0), F.coalesce("b.score", F.lit(0)))).alias("api_match_score"),
-        F.when(F.col("items") == 0, "No search results.").otherwise(F.when(found, T.first_filled(F.col("b.reason"), F.lit("best_search_result"))).otherwise(T.col("b.reason"))).alias("api_search_reason"), F.col("query").alias("api_search_query"),
+        F.when(none, 0).otherwise(F.greatest(F.lit(0), F.coalesce("b.score", F.lit(0)))).alias("api_match_score"), why.alias("api_search_reason"), F.col("query").alias("api_search_query"),
     )
 
 

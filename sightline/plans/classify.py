@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..functions import urls as U
 from ..functions.vocabulary import VenueRules
 from ..operators.scoring import best_search_hit, classify_venue, search_hit, url_check
+from ..sources.search import official_site_query
 
 
 def classified(places: DataFrame, rules: VenueRules | None = None) -> DataFrame:
@@ -17,12 +18,23 @@ def classified(places: DataFrame, rules: VenueRules | None = None) -> DataFrame:
 
 
 def search_records(venues: DataFrame, results: DataFrame, venue: str = "venue_index") -> DataFrame:
-    """The best search hit of each venue.  results: venue, query, pos, title, link, description."""
+    """The best search hit of each venue.  results: venue, query, pos, title, link, description, and maybe
+    status and message."""
     hits = results.withColumnsRenamed({"title": "hit_title", "description": "hit_text"}).join(venues.select(venue, "title", "region_sub"), venue)
     scored = hits.withColumns(search_hit(F.col("title"), F.col("region_sub"), T.strip_tags_spaced("hit_title"), T.strip_tags_spaced("hit_text"), F.col("link"))).withColumn("link", T.unescape("link"))
     return best_search_hit(scored, venue)
 
 
+def search_queries(venues: DataFrame, venue: str = "venue_index", suffix: str = "공식") -> DataFrame:
+    """(venue, query): what is asked for each venue's own site."""
+    return venues.select(venue, official_site_query(F.col("title"), T.first_filled(T.squeeze("road_address"), T.squeeze("full_address")), suffix).alias("query"))
+
+
+def searched(venues: DataFrame, found: DataFrame, venue: str = "venue_index") -> DataFrame:
+    """The records of venues whose queries' results are in ``found``: query, pos, title, link, description, status, message."""
+    return search_records(venues, search_queries(venues, venue).join(found, "query"), venue)
+
+
 def with_urls(venues: DataFrame, records: DataFrame | None = None, snapshots: DataFrame | None = None, venue: str = "venue_index", only_candidates: bool = True) -> DataFrame:
     """``venues`` with the chosen URL, where it came from, and its check against the snapshots."""
     empty = {"api_found_url": "", "api_search_status": "not_requested", "api_url_type": "", "api_match_score": 0, "api_search_reason": "", "api_search_query": ""}

@@ -11,12 +11,23 @@ from ..operators.dedup import dedupe_places, unseen
 from ..schemas import PLACES
 
 
-def query_plan(regions: DataFrame, keywords: DataFrame) -> DataFrame:
+#: The longest keyword list that is broadcast, and the keywords of a group beyond it.
+BROADCAST, GROUP = 100_000, 10_000
+
+
+def query_plan(regions: DataFrame, keywords: DataFrame, broadcast: int = BROADCAST, group: int = GROUP) -> DataFrame:
     """(query_index, query): every region with every keyword, region-major, from 1.
 
-    Both are lists of (position, value) that people write; the keyword list is the broadcast side."""
+    Both are lists of (position, value) that people write.  A keyword list of checked length is the
+    broadcast side; a longer one is met in groups, by an equi-join on the group's number."""
     k = keywords.count()
-    pairs = regions.select(F.col("position").alias("r"), F.col("value").alias("region")).crossJoin(F.broadcast(keywords.select(F.col("position").alias("k"), F.col("value").alias("keyword"))))
+    left = regions.select(F.col("position").alias("r"), F.col("value").alias("region"))
+    right = keywords.select(F.col("position").alias("k"), F.col("value").alias("keyword"))
+    if k <= broadcast:
+        pairs = left.crossJoin(F.broadcast(right))
+    else:
+        n = -(-k // group)
+        pairs = left.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(right.withColumn("g", F.pmod("k", F.lit(n)).cast("int")), "g")
     return pairs.select(((F.col("r") - 1) * k + F.col("k")).cast("long").alias("query_index"), F.concat_ws(" ", "region", "keyword").alias("query"))
 
 

@@ -15,6 +15,8 @@ from ..operators.html import parsed, robots_sitemaps, sitemap_locs
 from ..operators.ranking import probe_targets, top_n
 from ..operators.scoring import scored_candidates
 from ..schemas import CANDIDATES
+from ..session import kept
+from ..sources.search import site_query
 
 
 @dataclass(frozen=True)
@@ -92,7 +94,7 @@ def from_sitemaps(home: DataFrame, snapshots: DataFrame, o: Options) -> DataFram
 
 def from_common_paths(home: DataFrame, paths: tuple = V.LIKELY_PATHS) -> DataFrame:
     rows = home.filter("homepage_url <> ''").select("venue_index", root(F.col("final_homepage")).alias("root"), F.posexplode(T.strings(paths)).alias("i", "path"))
-    return rows.select("venue_index", F.lit(2).alias("source_ord"), F.col("i").cast("long").alias("position"), U.join_path(F.col("root"), F.col("path")).alias("url"), F.lit("common_path").alias("source"), F.trim(F.lit("/"), "path").alias("anchor_text"), F.lit("").alias("source_context"))
+    return rows.select("venue_index", F.lit(2).alias("source_ord"), F.col("i").cast("long").alias("position"), U.join_path(F.col("root"), F.col("path")).alias("url"), F.lit("common_path").alias("source"), F.regexp_replace("path", "^/+|/+$", "").alias("anchor_text"), F.lit("").alias("source_context"))
 
 
 def from_site_search(home: DataFrame, results: DataFrame, o: Options) -> DataFrame:
@@ -103,6 +105,11 @@ def from_site_search(home: DataFrame, results: DataFrame, o: Options) -> DataFra
     return with_inferred(rows.withColumns({"source_ord": F.lit(3), "position": (F.col("pos") * 10).cast("long"), "source": F.lit("naver_site_search")}))
 
 
+def site_queries(home: DataFrame) -> DataFrame:
+    """(venue_index, query): what is searched for on each venue's own site."""
+    return home.filter("homepage_url <> ''").select("venue_index", site_query(U.host_key("final_homepage"), F.col("title")).alias("query"))
+
+
 def candidates(home: DataFrame, snapshots: DataFrame, search: DataFrame | None, o: Options) -> DataFrame:
     """One row for each candidate of a venue, evidence merged within a source, then over the sources."""
     rows = from_homepage(home, o).unionByName(from_self(home, o))
@@ -118,9 +125,9 @@ def candidates(home: DataFrame, snapshots: DataFrame, search: DataFrame | None,
     return merge_candidates(inner, ["venue_index", "key"])
 
 
-def ranked(found: DataFrame, snapshots: DataFrame, o: Options) -> DataFrame:
-    """The best candidates of each venue: the ``probe_pages`` best by first score have their page read."""
-    first = scored_candidates(found, o.rules, with_pages=False).select("venue_index", "position", "url", "source", "anchor_text", "source_context", F.col("initial_score").alias("first_score"))
+def scored(found: DataFrame, snapshots: DataFrame, o: Options) -> DataFrame:
+    """All candidates with their scores: the ``probe_pages`` best of each venue by first score have their page read."""
+    first = scored_candidates(kept(found, "candidates"), o.rules, with_pages=False).select("venue_index", "position", "url", "source", "anchor_text", "source_context", F.col("initial_score").alias("first_score"))
     probed = probe_targets(first, "venue_index", "first_score", "position", o.probe_pages)
     pages = snapshots.select(F.col("url").alias("__url"), F.col("status").alias("fetch_status"), "http_status", "error", F.contains(F.lower(T.col("content_type")), F.lit("html")).alias("is_html"), F.substring("text", 1, 500_000).alias("__text"))
     # only probed candidates meet the snapshots: the others never carry a page through the join
@@ -130,8 +137,12 @@ def ranked(found: DataFrame, snapshots: DataFrame, o: Options) -> DataFrame:
     target = target.withColumns({"fetch_status": F.coalesce("fetch_status", F.lit("error")), "http_status": T.col("http_status"), "error": T.col("error"), "page_title": T.col("p.title"), "heading_text": T.col("p.headings"), "page_meta": T.col("p.meta")})
     columns = ("venue_index", "position", "url", "source", "anchor_text", "source_context", "first_score", "page_read", "fetch_status", "http_status", "error", "page_title", "heading_text", "page_meta")
     rest = probed.filter("not probe").withColumns({"page_read": F.lit(False), **{c: F.lit("") for c in columns[8:]}})
-    both = scored_candidates(target.select(*columns).unionByName(rest.select(*columns)), o.rules)
-    top = top_n(both, "venue_index", [F.desc("confidence"), F.desc("first_score"), F.asc("position")], o.top_n)
+    return scored_candidates(kept(target.select(*columns).unionByName(rest.select(*columns)), "probed"), o.rules)
+
+
+def ranked(found: DataFrame, snapshots: DataFrame, o: Options) -> DataFrame:
+    """The best candidates of each venue, by their confidence once the best pages are read."""
+    top = top_n(scored(found, snapshots, o), "venue_index", [F.desc("confidence"), F.desc("first_score"), F.asc("position")], o.top_n)
     best = F.max("confidence").over(Window.partitionBy("venue_index"))
     return top.withColumn("__best", best).filter((F.col("confidence") >= 30) | (F.col("__best") < 30)).drop("__best")
 
@@ -139,7 +150,8 @@ def ranked(found: DataFrame, snapshots: DataFrame, o: Options) -> DataFrame:
 def discover(venues: DataFrame, snapshots: DataFrame, search: DataFrame | None = None, options: Options | None = None) -> DataFrame:
     """Candidate rows of every venue (venue_index, title, URLs), ranked; a venue without any has one row that says why."""
     o = options or Options()
-    home = homepages(venues, snapshots)
+    # five branches read the parsed homepages: they are parsed once
+    home = kept(homepages(venues, snapshots), "homepages")
     best = ranked(candidates(home, snapshots, search, o), snapshots, o)
     info = home.select("venue_index", T.squeeze("title").alias("venue_title"), *[(T.squeeze(c) if c in venues.columns else F.lit("")).alias(c) for c in ("is_art_venue", "venue_type")], F.when(F.col("homepage_url") == "", "").otherwise(F.col("final_homepage")).alias("homepage_url"), "homepage_status")
     out = info.join(best.drop("key"), "venue_index", "left")

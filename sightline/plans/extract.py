@@ -57,9 +57,9 @@ def lacking(pages: DataFrame, events: DataFrame, mode: str) -> DataFrame:
     return pages.join(events.select("list_url").distinct(), "list_url", "left_anti")
 
 
-def failure(rows: DataFrame, stage: str, kind: Column | str, message: Column | str, url: str = "list_url", position: Column | None = None) -> DataFrame:
+def failure(rows: DataFrame, stage: Column | str, kind: Column | str, message: Column | str, url: str = "list_url", position: Column | None = None) -> DataFrame:
     """Failure records of the rows' pages, or of one event each."""
-    said = {"position": F.lit(None).cast("long") if position is None else position, "url": F.col(url), "stage": F.lit(stage), "error_type": T.first_filled(kind, F.lit("Error")), "error_message": T.cut(message, 300)}
+    said = {"position": F.lit(None).cast("long") if position is None else position, "url": F.col(url), "stage": F.lit(stage) if isinstance(stage, str) else stage, "error_type": T.first_filled(kind, F.lit("Error")), "error_message": T.cut(message, 300)}
     return rows.select("list_url", *[c.cast("long" if n == "position" else "string").alias(n) for n, c in said.items()])
 
 
@@ -138,13 +138,15 @@ def enriched(events: DataFrame, pages: DataFrame, snapshots: DataFrame, rendered
 
 def social_events(list_pages: DataFrame, posts: DataFrame, o: Options) -> tuple[DataFrame, DataFrame]:
     """(events, failures) of list pages that are social profiles.  posts: list_url, position, post_url, caption,
-    ocr_text and maybe error."""
+    ocr_text, and maybe error and the stage that failed."""
     own = posts.join(list_pages.select("list_url").distinct(), "list_url", "left_semi")
     error = _error(own)
     told = own.filter(error == "").withColumn("e", F.struct("list_url", "position"))
     rows = H.social_event(told, o.rules, keep=("e",))
     events = rows.select("e.list_url", F.col("e.list_url").alias("final_url"), F.col("e.position").cast("long").alias("position"), F.col("event_name").alias("exhibition_name"), "start_date", "end_date", F.lit("").alias("location"), F.col("e.list_url").alias("detail_url"))
-    return events, failure(own.filter(error != "").withColumn("said", error), "instagram-post", _kind(F.col("said")), "said", "post_url")
+    stage = T.first_filled("stage", F.lit("instagram-post")) if "stage" in own.columns else F.lit("instagram-post")
+    lost = own.filter(error != "").withColumns({"said": error, "at": stage})
+    return events, failure(lost, F.col("at"), _kind(F.col("said")), "said", "post_url")
 
 
 def over_time(pages: DataFrame, events: DataFrame, snapshots: DataFrame, rendered: DataFrame | None, o: Options) -> DataFrame:

@@ -97,7 +97,7 @@ def key_sql(u: str) -> str:
 
 def detail_sql(u: str) -> str:
     keys = ", ".join(map(lit, V.DETAIL_KEYS))
-    names = f"list_transform(list_filter(string_split(lower(regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1)), '&'), lambda p: p <> ''), lambda p: regexp_extract(p, '^([^=]*)', 1))"
+    names = f"list_transform(list_filter(string_split(regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> ''), lambda p: lower(url_decode(replace(regexp_extract(p, '^([^=]*)', 1), '+', ' '))))"
     return f"(list_has_any({names}, [{keys}]) OR regexp_matches(lower({u}), '/(detail|view|read)'))"
 
 
@@ -128,6 +128,12 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 LINKS_SQL = f"""
     SELECT page_id, url AS base, unnest(range(len(hrefs))) AS at, {entity_sql("unnest(hrefs)")} AS href, {squeeze_sql(entity_sql("unnest(texts)"))} AS text
     FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM pages)"""
+_listed_tags = lambda tags: "(" + ", ".join(map(lit, tags)) + ")"
+#: Every tag and text of every page: page_id, i, tok, k (< start, > end, . text), tag; script and style texts are left out.
+TOKENS_SQL = r"""
+    WITH c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?i)<!doctype[^>]*>', '', 'g'), '(?is)(<(?:script|style)[^>]*>).*?(</(?:script|style)>)', '\1\2', 'g') AS h FROM pages),
+    t0 AS (SELECT page_id, unnest(l) AS tok, unnest(range(len(l))) AS i FROM (SELECT page_id, regexp_extract_all(h, '<[^>]*>|[^<]+') AS l FROM c)),
+    t AS (SELECT *, CASE WHEN starts_with(tok, '</') THEN '>' WHEN starts_with(tok, '<') THEN '<' ELSE '.' END AS k, CASE WHEN starts_with(tok, '<') THEN lower(regexp_extract(tok, '^</?([A-Za-z0-9]+)', 1)) ELSE '' END AS tag FROM t0)"""
 FULL_SQL = "regexp_extract(base, '^([^:]+://[^/?#]*)', 1) || href"
 
 
@@ -204,7 +210,7 @@ def url_type_classify(spark, sf):
     return table(spark, sf, "pages").select("page_id", U.url_type(F.expr(_typed), HOSTS).alias("url_type"))
 
 
-_detail = "CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || '/view?id=' || page_id WHEN 1 THEN url || '?wr_ID=3&x=%20' WHEN 2 THEN regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || '/Reader/' || page_id ELSE url END"
+_detail = "CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || '/view?id=' || page_id WHEN 1 THEN regexp_replace(url, '[?#].*$', '') || '?x=%20&wr%5FID=3' WHEN 2 THEN regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || '/Reader/' || page_id ELSE url END"
 
 
 @query(f"WITH d AS (SELECT page_id, {_detail} AS u FROM pages) SELECT page_id, {detail_sql('u')} AS is_detail FROM d")
@@ -260,18 +266,37 @@ def page_title_headings(spark, sf):
     return spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("title", "headings")).alias("p")).select("page_id", "p.title", "p.headings")
 
 
-@query()
+@query(f"""{TOKENS_SQL}, p AS (SELECT page_id, i, CASE WHEN k = '.' THEN {squeeze_sql(entity_sql("tok"))} WHEN k = '>' AND tag IN {_listed_tags(V.LINE_BREAK_TAGS)} THEN chr(10) ELSE '' END AS piece FROM t),
+    s AS (SELECT page_id, string_agg(piece, '' ORDER BY i) AS body FROM p GROUP BY 1), l AS (SELECT page_id, list_filter(list_transform(string_split(body, chr(10)), lambda x: {squeeze_sql("x")}), lambda x: x <> '') AS l FROM s)
+    SELECT page_id, CAST(unnest(range(len(l))) AS INTEGER) AS at, unnest(l) AS line FROM l""")
 def page_visible_lines(spark, sf):
     pages = spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("lines",)).alias("p"))
     return pages.select("page_id", F.posexplode("p.lines").alias("at", "line"))
 
 
-@query()
+# the owner of a token is the last block that began at its level: levels count the open blocks
+@query(f"""{TOKENS_SQL}, b AS (SELECT *, tag IN {_listed_tags(V.BLOCK_TAGS)} AS blk FROM t),
+    d AS (SELECT *, sum(CASE WHEN blk AND k = '<' THEN 1 WHEN blk AND k = '>' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) + CASE WHEN blk AND k = '>' THEN 1 ELSE 0 END AS lev FROM b),
+    o AS (SELECT *, max(CASE WHEN blk AND k = '<' THEN i END) OVER (PARTITION BY page_id, lev ORDER BY i) AS own FROM d WHERE lev >= 1),
+    g AS (SELECT page_id, own, max(CASE WHEN i = own THEN tag END) AS tag, min(lev) - 1 AS depth, max(CASE WHEN blk AND k = '>' THEN i END) AS ended, count(*) FILTER (k = '>' AND tag = 'a') AS n_links,
+      string_agg(CASE WHEN k = '.' THEN {entity_sql(entity_sql("tok"))} WHEN tag IN {_listed_tags(V.LINE_BREAK_TAGS)} THEN chr(10) ELSE '' END, '' ORDER BY i) AS text FROM o GROUP BY page_id, own),
+    n AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY ended) - 1 AS place, tag, depth, n_links, len(list_filter(list_transform(regexp_split_to_array(replace(text, chr(13), chr(10)), '[\\n|•·]+'), lambda x: {squeeze_sql("x")}), lambda x: x <> '')) AS n_lines FROM g WHERE ended IS NOT NULL AND (text <> '' OR n_links > 0))
+    SELECT page_id, CAST(place AS INTEGER) AS at, tag, CAST(depth AS INTEGER) AS depth, CAST(n_links AS INTEGER) AS n_links, CAST(n_lines AS INTEGER) AS n_lines FROM n""")
 def page_blocks(spark, sf):
     pages = spread(table(spark, sf, "pages")).select("page_id", html.parsed("html", "url", ("blocks",)).alias("p"))
     return pages.select("page_id", F.posexplode("p.blocks").alias("at", "b")).select("page_id", "at", "b.tag", "b.depth", F.size("b.links").alias("n_links"), F.size(T.split_lines("b.text")).alias("n_lines"))
 
 
+# the trail above a link: at each level, the last start tag before it
+@query(rf"""{TOKENS_SQL}, e AS (SELECT *, sum(CASE k WHEN '<' THEN 1 WHEN '>' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS lev FROM t),
+    s AS (SELECT page_id, i, lev, tag, CASE WHEN tag IN {_listed_tags(V.MENU_TAGS)} THEN tag WHEN regexp_matches(lower(tag || ' ' || regexp_extract(tok, 'id="([^"]*)"', 1) || ' ' || regexp_extract(tok, 'class="([^"]*)"', 1)), {lit(V.MENU_NAME)}) THEN {lit(V.MENU_LABEL)} ELSE tag END AS label FROM e WHERE k = '<'),
+    a AS (SELECT page_id, i, lev, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS place FROM s WHERE tag = 'a'),
+    x AS (SELECT a.page_id, a.place, s.lev, arg_max(s.label, s.i) AS label FROM a JOIN s ON s.page_id = a.page_id AND s.i <= a.i AND s.lev <= a.lev GROUP BY ALL)
+    SELECT page_id, CAST(place AS INTEGER) AS at, string_agg(label, '|' ORDER BY lev) AS context FROM x GROUP BY page_id, place""")
+def page_link_contexts(spark, sf):
+    return page_links(spark, sf).select("page_id", "at", "context")
+
+
 _order_day = "date_format(o_orderdate, 'yyyy-MM-dd')"
 _order_page = f"""'<html><head><script type="application/ld+json">{{"@graph": [{{"@type": "Event", "name": " Sale  ' || o_orderkey || '", "startDate": "' || {_order_day} || 'T09:00", "endDate": "' || date_format(o_orderdate + interval 10 days, 'M/d') || '", "url": "/e/' || o_orderkey || '", "location": {{"name": "Hall ' || o_custkey || '", "address": {{"streetAddress": "1 Road", "addressCountry": "X"}}}}}}, {{"@type": ["Event"], "name": "not this"}}]}}</script></head></html>'"""
 
@@ -333,14 +358,14 @@ def text_tokens(spark, sf):
     return rows.select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ").cast("binary")).alias("tokens"))
 
 
-@query("""SELECT page_id, md5(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^[\\s]+|[\\s]+$', '', 'g')) AS bare FROM pages WHERE NOT contains(html, '&')""")
+@query(f"""SELECT page_id, md5(regexp_replace({entity_sql("regexp_replace(html, '<[^>]+>', '', 'g')")}, '^[\\s]+|[\\s]+$', '', 'g')) AS bare FROM pages""")
 def text_strip_tags(spark, sf):
-    return table(spark, sf, "pages").filter(~F.contains("html", F.lit("&"))).select("page_id", F.md5(T.strip_tags("html").cast("binary")).alias("bare"))
+    return table(spark, sf, "pages").select("page_id", F.md5(T.strip_tags("html").cast("binary")).alias("bare"))
 
 
-@query(f"""SELECT page_id, md5(regexp_replace({entity_sql("regexp_replace(html, '<[^>]+>', '', 'g')")}, '^[\\s]+|[\\s]+$', '', 'g')) AS bare FROM pages""")
-def text_strip_tags_all(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(T.strip_tags("html").cast("binary")).alias("bare"))
+@query(f"""SELECT page_id, md5({entity_sql(squeeze_sql("regexp_replace(html, '<[^>]*>', ' ', 'g')"))}) AS spaced FROM pages""")
+def text_strip_tags_spaced(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.md5(T.strip_tags_spaced("html").cast("binary")).alias("spaced"))
 
 
 WORDS = ("tion", "ing", "ée", "über", "the", "zzz")
@@ -639,8 +664,7 @@ _messy = "CASE p_partkey % 4 WHEN 0 THEN 'x' || p_size WHEN 1 THEN ' ' || p_size
 @query(f"WITH m AS (SELECT p_partkey, p_brand, coalesce(try_cast(trim({_messy.format('VARCHAR')}) AS INTEGER), 0) AS n FROM part) SELECT p_partkey, n, row_number() OVER (ORDER BY n, coalesce(try_cast(p_brand AS INTEGER), 0), p_partkey) AS place FROM m")
 def sort_safe_int(spark, sf):
     rows = table(spark, sf, "part").select("p_partkey", "p_brand", F.expr(_messy.format("STRING")).alias("s"))
-    order = [T.safe_int("s"), T.safe_int("p_brand"), F.col("p_partkey")]
-    return rows.select("p_partkey", T.safe_int("s").alias("n"), F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
+    return ranking.numbered(rows, [T.safe_int("s"), T.safe_int("p_brand"), F.col("p_partkey")], "place").select("p_partkey", T.safe_int("s").alias("n"), "place")
 
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
@@ -664,12 +688,6 @@ def site_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select(F.col("clean").alias("url"), F.col("url").alias("final_url"), F.lit("ok").alias("status"), F.lit("200").alias("http_status"), F.lit("text/html; charset=utf-8").alias("content_type"), F.col("html").alias("text"), F.lit("").alias("error"))
 
 
-@query()
-def discover_pipeline(spark, sf):
-    venues_ = table(spark, sf, "pages").select(F.col("page_id").alias("venue_index"), F.concat(F.lit("Venue "), "page_id").alias("title"), F.when(F.col("page_id") % 10 != 9, F.col("url")).otherwise("").alias("official_url"))
-    return discover.discover(venues_, site_snapshots(spark, sf), None, discover.Options(top_n=3, rules=RULES))
-
-
 @query("""SELECT 'https://shop.example.com/list/' || o_orderkey AS source_list_url, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'Sale ' || o_orderkey ELSE '' END AS exhibition_name, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'ok' ELSE 'filtered' END AS status,
     CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN '' ELSE 'filtered' END AS failure_stage, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS start_date FROM orders""")
 def extract_pipeline(spark, sf):

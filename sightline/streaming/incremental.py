@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_by, unseen
+from ..sources.files import exists
 
 
 def resume_range(total: int, start: int = 1, end: int = 0, next_start: int = 1, auto: bool = True) -> tuple[int, int]:
@@ -26,26 +27,28 @@ def stream_files(spark: SparkSession, path: str, schema, per_trigger: int | None
     return reader.parquet(path)
 
 
-def stream_first_rows(stream: DataFrame, keys: list[str], output: str, checkpoint: str, position: str):
+def slices(first: int, last: int, every: int = 0):
+    """The ranges of at most ``every`` that a run goes through, with a checkpoint after each; 0: one range."""
+    step = every if every > 0 else max(1, last - first + 1)
+    for at in range(first, last + 1, step):
+        yield at, min(last, at + step - 1)
+
+
+def stream_first_rows(stream: DataFrame, keys: list[str], output: str, checkpoint: str, position: str, buckets: int = 64):
     """Appends to ``output`` the first row of each key over all runs, by position within a batch.
 
-    The state is the output table itself, met by an anti-join, so it needs no bound in event time.
-    A batch that is run again after a failure replaces its own folder, so nothing is written twice."""
+    The state is the output table itself, met by an anti-join on its key columns, so it needs no bound in
+    event time.  It is laid out by a hash of the key, and a batch reads only the folders that its keys
+    fall into.  A batch that is run again after a failure replaces its own folder, so nothing is written twice."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        at = f"{output}/batch={number}"
-        first = first_by(batch, [F.col(k) for k in keys], position)
-        if number:
-            try:
-                before = spark.read.parquet(output).filter(F.col("batch") < number)
-            except Exception as e:  # noqa: BLE001
-                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                    raise
-                before = None
-            if before is not None:
-                first = unseen(first, before, keys)
-        first.write.mode("overwrite").parquet(at)
+        first = first_by(batch, [F.col(k) for k in keys], position).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        if exists(spark, output):
+            some = [r["bucket"] for r in first.select("bucket").distinct().collect()]
+            before = spark.read.schema(first.schema.add("batch", "long")).option("basePath", output).parquet(output)
+            first = unseen(first, before.filter((F.col("batch") < number) & F.col("bucket").isin(some)), keys)
+        first.write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

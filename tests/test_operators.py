@@ -106,7 +106,7 @@ def test_csv(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_bytes('title,url\n"한, ""글""\n둘",u\nx,\n'.encode(encoding))
     got = files.read_csv_any(spark, str(tmp_path / "*.csv"))
     assert got.columns == ["title", "url", "source_row"]
-    assert rows_of(got) == sorted([repr((1, '한, "글"\n둘', "u")), repr((2, "x", ""))] * 2)
+    assert rows_of(got) == sorted(repr(r) for r in ((1, '한, "글"\n둘', "u"), (2, "x", ""), (3, '한, "글"\n둘', "u"), (4, "x", "")))
     assert rows_of(files.read_csv(spark, str(tmp_path / "a.csv"))) == sorted([repr(('한, "글"\n둘', "u")), repr(("x", ""))])
     files.write_csv(got, str(tmp_path / "out"), ["url", "title"])
     assert rows_of(files.read_csv(spark, str(tmp_path / "out"))) == rows_of(got.select("url", "title"))
@@ -139,12 +139,13 @@ def test_search_source(spark):
         return [{"title": f"{query}{i}", "link": sort} for i in range(display)] if query != "none" else []
 
     spark.dataSource.register(search.search_source(fetch, ["q", "none", "bad"], 1))
-    got = spark.read.format("search").option("display", "2").option("sort", "Comment").load()
+    got = spark.read.format("search").option("display", "2").option("sort", "Sim").load()
     assert sorted((r.query, r.pos, r.title, r.status[:5]) for r in got.collect() if r.pos is not None) == [("q", 0, "q0", "ok"), ("q", 1, "q1", "ok")]
-    assert sorted((r.query, r.status[:19]) for r in got.collect() if r.pos is None) == [("bad", "error: RuntimeError:"[:19]), ("none", "ok")]
+    assert sorted((r.query, r.status, r.message) for r in got.collect() if r.pos is None) == [("bad", "error", "RuntimeError: down"), ("none", "ok", "")]
     for display, sort in ((0, "random"), (6, "random"), (1, "x")):
         with pytest.raises(ValueError):
             search.check_options(display, sort)
+    assert search.check_options(10, "SIM", web=True) == (10, "sim")
 
 
 def test_resumed_stream_equals_batch(spark, tmp_path):

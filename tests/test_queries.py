@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from sightline import queries
+from sightline import queries, source_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -35,15 +35,14 @@ def test_against_sql(spark, sf, duck, name):
 
 
 def test_sql_gives_rows(duck):
-    # two empty results are equal: only text_strip_tags, whose SQL leaves out pages with '&', may be empty
-    empty = {name for name, sql in queries.ORACLE_SQL.items() if not len(duck.sql(sql).df())}
-    assert empty <= {"text_strip_tags"}
+    # two empty results are equal
+    assert not [name for name, sql in queries.ORACLE_SQL.items() if not len(duck.sql(sql).df())]
 
 
 def test_strip_tags_of_all_pages(spark, sf, duck):
     pages = duck.sql("SELECT page_id, html FROM pages").fetchall()
     want = {i: hashlib.md5(html.unescape(re.sub("<[^>]+>", "", t or "")).strip().encode()).hexdigest() for i, t in pages}
-    got = {r.page_id: r.bare for r in queries.QUERIES["text_strip_tags_all"](spark, sf).collect()}
+    got = {r.page_id: r.bare for r in queries.QUERIES["text_strip_tags"](spark, sf).collect()}
     assert got == want and len(got) == len(pages) > 0
 
 
@@ -58,7 +57,7 @@ def test_entry(spark):
 
 
 def test_discovery(spark, sf):
-    rows = queries.discover_pipeline(spark, sf).toPandas()
+    rows = source_queries.discover_pipeline(spark, sf).toPandas()
     assert rows.venue_index.nunique() == 50
     none = rows[rows.homepage_status == "no_homepage_url"]
     assert set(none.candidate_type) == {"not_found"} and set(none["error"]) == {"No verified/input/api URL available."}

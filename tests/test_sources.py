@@ -70,5 +70,62 @@ def test_package_reaches_workers(tmp_path):
     assert "GOT <" in out.stdout, out.stderr[-800:]
 
 
-def test_snapshots_are_cut(spark):
-    assert search.snapshot(spark.createDataFrame([("abc",)], "text string"), 2).select(F.length("text")).first()[0] == 2
+def test_command_line_slices_and_files(spark, tmp_path):
+    (tmp_path / "pages.csv").write_text("list_url\n" + "".join(f"https://h.com/{i}\n" for i in range(5)) + "https://www.instagram.com/x\n")
+    page = '<script type="application/ld+json">{"@type":"Event","name":"E","startDate":"2024-05-01","endDate":"2024-05-02","location":"L"}</script>'
+    rows = [(f"https://h.com/{i}", "", "ok" if i != 3 else "error", page, "") for i in range(5)]
+    spark.createDataFrame(rows, "url string, final_url string, status string, text string, error string").write.parquet(f"{tmp_path}/snap")
+    spark.createDataFrame([("https://www.instagram.com/x", 0, "https://www.instagram.com/p/1", "개인전\n2024.6.1", "")], "list_url string, position long, post_url string, caption string, ocr_text string").write.parquet(f"{tmp_path}/posts")
+    base = ["extract", "--data-dir", str(tmp_path), "--input", "pages.csv", "--output", "events.csv", "--snapshots", "snap", "--posts", "posts", "--today", "2024-01-01", "--progress", "progress", "--failed-output", "failed.csv", "--single"]
+    run(spark, options([*base, "--save-every", "2", "--end-index", "4"]))
+    run(spark, options(base))
+    got = csv_rows(spark, tmp_path / "events.csv")
+    assert sorted((r["source_list_url"][-3:], r["exhibition_name"], r["status"]) for r in got) == sorted([*((f"m/{i}", "E", "ok") for i in (0, 1, 2, 4)), ("m/3", "", "failed"), ("m/x", "개인전", "ok")])
+    assert [(r["list_url"], r["stage"]) for r in csv_rows(spark, tmp_path / "failed.csv")] == [("https://h.com/3", "fetch")]
+    done = files.read_progress(spark, f"{tmp_path}/progress")
+    assert (done["last_processed_index"], done["saved_rows"], done["saved_failures"]) == (6, 6, 1)
+    (tmp_path / "social.csv").write_text("list_url\nhttps://www.instagram.com/x\n")
+    run(spark, options(["social", "--input", f"{tmp_path}/social.csv", "--output", f"{tmp_path}/social", "--posts", f"{tmp_path}/posts", "--today", "2024-01-01"]))
+    assert [(r["exhibition_name"], r["start_date"]) for r in csv_rows(spark, tmp_path / "social")] == [("개인전", "2024-06-01")]
+    (tmp_path / "regions.md").write_text("- A\n- B\n")
+    (tmp_path / "words.md").write_text("- x\n- y\n")
+    hits = [(f"{r} {w}", 0, f"{r}{w}", *[""] * 8) for r in "AB" for w in "xy"]
+    spark.createDataFrame(hits, "query string, pos int, title string, link string, category string, description string, telephone string, address string, roadAddress string, mapx string, mapy string").write.parquet(f"{tmp_path}/hits")
+    collect = ["collect", "--input", f"{tmp_path}/regions.md", "--keywords", f"{tmp_path}/words.md", "--results", f"{tmp_path}/hits", "--output", f"{tmp_path}/places.csv", "--progress", f"{tmp_path}/collected", "--single"]
+    run(spark, options([*collect, "--end-index", "3"]))
+    run(spark, options([*collect, "--before", f"{tmp_path}/places.csv"]))
+    assert [r["title"] for r in csv_rows(spark, tmp_path / "places.csv")] == ["Ax", "Ay", "Bx", "By"]
+    assert files.read_progress(spark, f"{tmp_path}/collected")["next_start_index"] == 5
+
+
+def test_command_line_search_and_discovery(spark, tmp_path, capsys):
+    (tmp_path / "places.csv").write_text("title,category,summary,source_query,road_address,full_address,region_sub,official_url,link\n새 미술관,\"문화,예술>미술관\",,,길 1,,구,,\nx,,,,,,,,\n")
+    found = [("새 미술관 길 1 공식", 0, "새 미술관", "https://own.example.com", "전시", "ok", ""), ("x 공식", None, "", "", "", "http_error_500", "down")]
+    spark.createDataFrame(found, "query string, pos int, title string, link string, description string, status string, message string").write.parquet(f"{tmp_path}/hits")
+    run(spark, options(["classify", "--check-all", "--input", f"{tmp_path}/places.csv", "--output", f"{tmp_path}/classified", "--results", f"{tmp_path}/hits"]))
+    got = csv_rows(spark, tmp_path / "classified")
+    assert [(r["api_search_status"], r["verified_url"], r["api_search_reason"]) for r in got] == [("found", "https://own.example.com", "title_match|art_keyword|official_like"), ("http_error_500", "", "down")]
+    page = [("https://own.example.com", "https://own.example.com", "ok", "200", "text/html", '<nav><a href="/exhibition">전시</a></nav>', "")]
+    spark.createDataFrame(page, "url string, final_url string, status string, http_status string, content_type string, text string, error string").write.parquet(f"{tmp_path}/snap")
+    run(spark, options(["discover", "--input", f"{tmp_path}/classified/*.csv", "--output", f"{tmp_path}/found", "--snapshots", f"{tmp_path}/snap", "--limit", "1", "--top-n", "2", "--no-sitemap"]))
+    rows = csv_rows(spark, tmp_path / "found")
+    assert [r["rank"] for r in rows] == ["1", "2"] and {r["homepage_url"] for r in rows} == {"https://own.example.com"} and all(r["candidate_url"].endswith("exhibition") for r in rows)
+    assert "n_api_found': 1" in capsys.readouterr().out
+
+
+def test_images_and_profiles():
+    import numpy as np
+
+    from sightline.sources import images, social
+
+    raw = images.encoded(np.arange(24, dtype=np.uint8).reshape(4, 6) * 10)
+    assert images.decoded(raw).tolist() == (np.arange(24).reshape(4, 6) * 10).tolist() and images.decoded(images.encoded(np.zeros((2, 3, 3)))).shape == (2, 3, 3)
+    found = images.variants(images.decoded(raw))
+    assert [v.shape for v in found] == [(4, 6)] + [(8, 12)] * 4 and all(set(np.unique(v)) <= {0, 255} for v in found[2:])
+    assert np.allclose(images.lanczos(9, 2).sum(1), 1) and images.lanczos(1, 2).shape == (2, 1)
+    assert images.grey(np.full((2, 2, 3), 7, np.uint8)).tolist() == [[7, 7], [7, 7]]
+    assert images.tesseract_command({"TESSERACT_CMD": __file__}) == __file__
+    assert images.readings("bad\nurl", None, None, None, 1)[0][3] == "ValueError: no URL"
+    hrefs = ["/p/1/", "/p/1/", "/reel/2/", "https://x/p/3", "/p/4/"]
+    assert social.post_urls("https://www.instagram.com/a", hrefs, 8) == ["https://www.instagram.com/p/1/", "https://www.instagram.com/p/4/"]
+    assert social.post_urls("https://www.instagram.com/reel/9/", hrefs) == ["https://www.instagram.com/reel/9/"]
