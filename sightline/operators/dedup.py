@@ -17,6 +17,13 @@ def first_by(df: DataFrame, keys: list[Column], position: str) -> DataFrame:
     return df.groupBy(*named).agg(F.min_by(whole, F.col(position)).alias("__row")).select("__row.*")
 
 
+def first_wide(df: DataFrame, keys: list[str], position: str) -> DataFrame:
+    """As ``first_by``, for wide rows and positions that don't repeat: the least position of each key is found
+    first, over small rows, and only its row moves."""
+    least = df.groupBy(*keys).agg(F.min(position).alias(position))
+    return df.join(least, [*keys, position], "left_semi")
+
+
 def dedupe_events(events: DataFrame, position: str = "position", page: str | None = None) -> DataFrame:
     """Events squeezed, the first of each (name in lower case, start, end, detail URL), of each page if given."""
     fields = [*EVENT_KEY, "location", "source_list_url"]

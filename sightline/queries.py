@@ -684,7 +684,7 @@ def stream_dedup(spark, sf):
 
 def site_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Each page as a fetched homepage; a URL is fetched once."""
-    pages = dedup.first_by(table(spark, sf, "pages").withColumn("clean", U.clean_url("url")), [F.col("clean")], "page_id")
+    pages = dedup.first_wide(table(spark, sf, "pages").withColumn("clean", U.clean_url("url")), ["clean"], "page_id")
     return pages.select(F.col("clean").alias("url"), F.col("url").alias("final_url"), F.lit("ok").alias("status"), F.lit("200").alias("http_status"), F.lit("text/html; charset=utf-8").alias("content_type"), F.col("html").alias("text"), F.lit("").alias("error"))
 
 

@@ -67,10 +67,26 @@ def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    place, files = _place(spark, top)
+    files.deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def _place(spark: SparkSession, path: str):
+    """A path, and the file system that it is on."""
     context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(top)
-    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``kept`` wrote and that nothing reads any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_kept_at", None):
+            place, files = _place(df.sparkSession, path)
+            files.delete(place, True)
 
 
 def session(cpus: int | str = "*", name: str = "sightline", **conf: str) -> SparkSession:
