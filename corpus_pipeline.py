@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sightline.llm import bpe, exact_dedup, language_id, minhash, packing, suffix_dedup
-from sightline.llm.common import stored
+from sightline.llm.common import forget, stored
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
