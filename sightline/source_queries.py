@@ -82,6 +82,33 @@ def csv_append(spark, sf):
     return spark.read.parquet(at)
 
 
+@query("SELECT n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE 'a,' || chr(34) || n_nationkey END AS note, TRUE AS marked FROM nation")
+def csv_single_file(spark, sf):
+    """One file, with a byte-order mark, that replaces an earlier one."""
+    rows, at = table(spark, sf, "nation").select("n_name", F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 2 == 1, F.concat(F.lit('a,"'), "n_nationkey")).alias("note")), f"{scratch(spark, 'single')}/out.csv"
+    files.export_csv(rows.limit(3), at, ["name"])
+    files.export_csv(rows, at, ["name", "note"])
+    head = spark.read.format("binaryFile").load(at).select((F.substring("content", 1, 3) == F.lit(b"\xef\xbb\xbf")).alias("marked"))
+    return files.read_csv(spark, at).crossJoin(F.broadcast(head))
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY n_nationkey % 3, n_nationkey) AS BIGINT) AS line, n_name AS name FROM nation")
+def csv_append_header(spark, sf):
+    """A file that grows by three appends has one header."""
+    import csv
+    import os
+    import tempfile
+
+    rows = table(spark, sf, "nation")
+    with tempfile.TemporaryDirectory() as folder:
+        at = os.path.join(folder, "out.csv")
+        for part in range(3):
+            files.append_csv(rows.filter(F.col("n_nationkey") % 3 == part).orderBy("n_nationkey").select(F.col("n_name").alias("name")), at, ["name"])
+        with open(at, encoding="utf-8-sig", newline="") as f:
+            found = [(i, r["name"]) for i, r in enumerate(csv.DictReader(f), 1)]
+    return spark.createDataFrame(found, "line long, name string")
+
+
 @query("SELECT CAST(i * 40 AS BIGINT) AS last_processed_index, CAST(least(i * 40 + 1, 101) AS BIGINT) AS next_start_index, CAST(100 AS BIGINT) AS total, CAST(i * 40 - (i * 40) // 7 AS BIGINT) AS saved_rows, CAST((i * 40) // 7 AS BIGINT) AS saved_failures FROM range(1, 3) t(i) UNION ALL SELECT 100, 101, 100, 86, 14")
 def run_in_slices(spark, sf):
     """A run of 100 pages with a checkpoint after each 40: what the progress says each time."""
@@ -168,6 +195,18 @@ def search_results(spark, sf):
     return searched(spark, asked, "made_up_search", 10).withColumn("pos", F.coalesce("pos", F.lit(-1)))
 
 
+def find_places(asked: str, display: int, sort: str) -> list[dict]:
+    return [{"title": f"<b>{asked}</b>", "category": sort, "address": f"A B구 {i}", "mapx": 100 + i} for i in range(min(display, number(asked.replace(" ", "/")) % 8))]
+
+
+@query("""SELECT 'art ' || p_partkey AS query, CAST(i AS INTEGER) AS pos, 'comment' AS category, 'A B구 ' || i AS address, '10' || i AS mapx, '' AS telephone FROM part, range(4) t(i) WHERE p_partkey BETWEEN 1 AND 60 AND i < p_partkey % 8""")
+def place_search(spark, sf):
+    asked = [f"art {r[0]}" for r in table(spark, sf, "part").filter("p_partkey between 1 and 60").select("p_partkey").collect()]
+    spark.dataSource.register(search.search_source(find_places, asked, 8, "made_up_places", search.PLACE_FIELDS))
+    got = spark.read.format("made_up_places").option("display", 4).option("sort", "Comment").load()
+    return got.filter("pos is not null").select("query", "pos", "category", "address", "mapx", "telephone")
+
+
 @query(f"""WITH q AS ({_asked}), f AS (SELECT n, CASE WHEN n % 5 < 3 THEN least(10, n % 12) ELSE 0 END AS k FROM q)
     SELECT CAST(n AS BIGINT) AS venue_index, CASE WHEN n % 5 = 3 THEN 'http_error_429' WHEN n % 5 = 4 THEN 'error' WHEN k = 0 THEN 'no_results' ELSE 'found' END AS api_search_status, CASE WHEN n % 5 < 3 AND k > 0 THEN 'https://site0.example.com/' ELSE '' END AS api_found_url,
     CASE WHEN n % 5 < 3 AND k > 0 THEN 85 ELSE 0 END AS api_match_score, CASE WHEN n % 5 = 3 THEN 'not found' WHEN n % 5 = 4 THEN 'ValueError: no answer' WHEN k = 0 THEN 'No search results.' ELSE 'title_match|art_keyword|official_like' END AS api_search_reason FROM f

@@ -96,15 +96,26 @@ def write_csv(df: DataFrame, path: str, columns: tuple | list) -> None:
 
 
 def export_csv(df: DataFrame, path: str, columns: tuple | list) -> int:
-    """One CSV file with a byte-order mark, written row by row on the driver and put in place at the end."""
-    part, n = f"{path}.tmp", 0
-    with open(part, "w", encoding="utf-8-sig", newline="") as f:
-        out = csv.writer(f)
-        out.writerow(columns)
-        for row in df.select(*columns).toLocalIterator():
-            out.writerow(["" if x is None else x for x in row])
-            n += 1
-    os.replace(part, path)
+    """One CSV file with a byte-order mark, at a path of any file system, written piece by piece on the driver
+    and put in place of an earlier one at the end.  Other columns are left out."""
+    context, n, text = df.sparkSession.sparkContext, 0, io.StringIO(newline="")
+    path_of = context._jvm.org.apache.hadoop.fs.Path
+    part, place = path_of(f"{path}.tmp"), path_of(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    out, rows = system.create(part, True), csv.writer(text)
+    text.write(BOM)
+    rows.writerow(columns)
+    for row in df.select(*columns).toLocalIterator():
+        rows.writerow(["" if x is None else x for x in row])
+        n += 1
+        if text.tell() > 1 << 20:
+            out.write(bytearray(text.getvalue().encode()))
+            text.seek(0)
+            text.truncate()
+    out.write(bytearray(text.getvalue().encode()))
+    out.close()
+    system.delete(place, False)
+    system.rename(part, place)
     return n
 
 
