@@ -14,12 +14,16 @@ Conventions that hold for every operator here
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import kept, ship
+from ..session import forget, kept, ship  # noqa: F401  forget: for what is stored
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step works on: its scratch arrays stay near 30 MB and inside the caches.
@@ -63,16 +67,21 @@ def with_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
 
 
-def even_keys(n: int) -> np.ndarray:
-    """n numbers that hash partitioning deals to n different partitions: the i-th to partition i."""
-    out, left, at = np.full(n, -1, np.int64), n, 0
-    while left:
-        k = np.arange(at, at + max(1024, 4 * left), dtype=np.int64).astype(np.uint32)
+def even_keys(n: int, partitions: int = 0) -> np.ndarray:
+    """n numbers that hash partitioning into ``partitions`` (n if not given) deals out in turn: the i-th to
+    partition i modulo ``partitions``."""
+    partitions = partitions or n
+    out, have, at = np.full(n, -1, np.int64), np.zeros(partitions, np.int64), 0
+    while (out < 0).any():
+        k = np.arange(at, at + max(1024, 4 * n), dtype=np.int64).astype(np.uint32)
         at += len(k)
-        place, first = np.unique(murmur(k) % n, return_index=True)
-        new = out[place] < 0
-        out[place[new]] = k[first[new]]
-        left = int((out < 0).sum())
+        place = murmur(k) % partitions
+        order = np.argsort(place, kind="stable")
+        head = np.searchsorted(place[order], np.arange(partitions))
+        turn = np.arange(len(k)) - head[place[order]] + have[place[order]]
+        slot = turn * partitions + place[order]
+        out[slot[slot < n]] = k[order][slot < n]
+        have += np.bincount(place, minlength=partitions)
     return out
 
 
@@ -102,6 +111,26 @@ def held_out(column: str, mod: int, rest: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
+def released(f):
+    """A function over Arrow batches that gives memory back to the system when it ends: a worker stays for
+    the next task, and what it keeps counts against its executor."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; a null row is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -227,9 +256,10 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 class Lookup:
     """Places of uint64 values in a sorted array of distinct ones: one probe for nearly all."""
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, room: int = 2):
+        """room: slots for each key, about; more of them take memory and save searches."""
         self.keys = keys
-        self.shift = U64(64 - max(4, min(22, int(2 * max(1, len(keys))).bit_length())))
+        self.shift = U64(64 - max(4, min(22, int(room * max(1, len(keys))).bit_length())))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.slots[self.at(keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -269,6 +299,27 @@ def unplanes(raw: bytes, n: int, size: int, kind: str) -> np.ndarray:
     return out.reshape(-1).view(kind)
 
 
+#: Bytes of a record batch that goes back to Spark, about: it holds a batch outside its heap.
+BATCH = 4 << 20
+TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def records(rows: list[tuple], fields: str):
+    """Record batches of bounded size of rows of numbers and bytes.  fields: as in a schema's text."""
+    names, kinds = zip(*(f.split() for f in fields.split(", ")), strict=True)
+    at = 0
+    while at < len(rows) or not at:
+        stop, size = at, 0
+        while stop < len(rows) and size < BATCH:
+            size += 16 + sum(len(x) for x in rows[stop] if isinstance(x, bytes))
+            stop += 1
+        some = rows[at:stop]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in some], TYPES[kinds[k]]) for k in range(len(names))], list(names))
+        at = stop
+        if not rows:
+            return
+
+
 class Rows:
     """The rows of a block's texts, by (doc_id, hash of text); rows that repeat both are one."""
 
@@ -287,8 +338,9 @@ class Rows:
 
 
 def joined(rows: list[dict], name: str, kind: str) -> np.ndarray:
-    """The numbers of a binary column, one row's after another's."""
-    return np.frombuffer(b"".join(r[name] for r in rows), kind)
+    """The numbers, one a run, that ``planes`` packed in a column, one row's after another's."""
+    size = np.dtype(kind).itemsize
+    return np.concatenate([np.zeros(0, kind), *(unplanes(r[name], len(r[name]) // size, size, kind) for r in rows)])
 
 
 def packed_runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

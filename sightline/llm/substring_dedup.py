@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOW31, OTHER, POWERS, U64, Rows, identified, in_blocks, joined, packed_runs, parts, planes, prefix, ragged, rolled, spans, stored, unplanes, utf8, words
+from .common import LOW31, OTHER, POWERS, U64, Rows, even_keys, identified, in_blocks, joined, packed_runs, parts, planes, prefix, ragged, records, released, rolled, spans, stored, unplanes, utf8, words
 
 #: Words of a window, and bytes of text whose windows fill a bucket, or do where there are fewer buckets than
 #: shuffle partitions.
@@ -62,6 +62,20 @@ def of_later(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return out
 
 
+def steps(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places as the distance from the one before in a run: small numbers pack well."""
+    head = np.cumsum(sizes) - sizes
+    out = np.diff(first.astype(np.int64), prepend=0)
+    out[head] = first[head]
+    return out.astype("<u4")
+
+
+def places(step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What ``steps`` was made of."""
+    total, head = np.cumsum(step.astype(np.int64)), np.cumsum(sizes.astype(np.int64)) - sizes
+    return (total - np.repeat((total - step)[head], sizes)).astype(np.uint32)
+
+
 def grouped(number: np.ndarray):
     """(number, places) of the entries of each number, in order."""
     order = np.argsort(number, kind="stable")
@@ -71,19 +85,14 @@ def grouped(number: np.ndarray):
         yield k, order[i:j]
 
 
-def record(rows: list[tuple], fields: str) -> pa.RecordBatch:
-    names = [f.split()[0] for f in fields.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary() if k else pa.int32()) for k in range(len(names))], names)
-
-
-def entries(bucket, docs: tuple, row, first, one, two, width: int = 8) -> pa.RecordBatch:
+def entries(bucket, docs: tuple, row, first, one, two, width: int = 8):
     """Rows of ``ENTRIES``, one a bucket.  docs: block, id and tag of each row; windows come in the order of
     their rows; ``width`` bytes of the first hash go along."""
     out = []
     for number, some in grouped(bucket):
         own, sizes = packed_runs(row[some])
-        out.append((number, *(x[own].astype(t).tobytes() for x, t in zip(docs, ("<i4", "<i8", "<i8"), strict=True)), sizes.astype("<u4").tobytes(), planes(first[some].astype("<u4")), planes(one[some].astype("<u8"), width) + planes(two[some].astype("<u4"))))
-    return record(out, ENTRIES)
+        out.append((number, *(planes(x[own].astype(t)) for x, t in zip(docs, ("<i4", "<i8", "<i8"), strict=True)), planes(sizes.astype("<u4")), planes(steps(first[some], sizes)), planes(one[some].astype("<u8"), width) + planes(two[some].astype("<u4"))))
+    return records(out, ENTRIES)
 
 
 def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
@@ -92,7 +101,9 @@ def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket:
     # a bucket's number is the first bits of its hashes; if those are five, seven bytes say the rest
     bits = math.ceil(math.log2(max(1, size / bucket, min(parts(table.sparkSession), size / LEAST_BUCKET))))
     width = 7 if bits >= 5 else 8
+    keys = even_keys(1 << bits, parts(table.sparkSession)).astype(np.int32)
 
+    @released
     def count(batches):
         for batch in batches:
             data, off = utf8(batch.column(3))
@@ -108,17 +119,17 @@ def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket:
             if len(here):
                 # settled in the batch: under a number of the batch's own below zero
                 mark = -1 - int(one[0] & LOW31)
-                yield entries(np.full(len(here), mark, np.int32), docs, row[here], first[here], np.zeros(len(here), U64), np.zeros(len(here), np.uint32))
+                yield from entries(np.full(len(here), mark, np.int32), docs, row[here], first[here], np.zeros(len(here), U64), np.zeros(len(here), np.uint32))
             rest = np.flatnonzero(~later)
-            yield entries((one[rest] >> U64(61 - bits)).astype(np.int32), docs, row[rest], first[rest], one[rest], two[rest], width)
+            yield from entries(keys[(one[rest] >> U64(61 - bits)).astype(np.int64)], docs, row[rest], first[rest], one[rest], two[rest], width)
 
     def settle(key, group):
         rows = group.to_pylist()
         sizes, first, one, two = [], [], [], []
         for r in rows:
-            sizes.append(np.frombuffer(r["sizes"], "<u4"))
+            sizes.append(unplanes(r["sizes"], len(r["sizes"]) // 4, 4, "<u4"))
             n = int(sizes[-1].sum())
-            first.append(unplanes(r["places"], n, 4, "<u4"))
+            first.append(places(unplanes(r["places"], n, 4, "<u4"), sizes[-1]))
             wide = len(r["hashes"]) // n - 4
             one.append(unplanes(r["hashes"][: wide * n], n, wide, "<u8"))
             two.append(unplanes(r["hashes"][wide * n :], n, 4, "<u4"))
@@ -129,8 +140,8 @@ def repeated_windows(table: DataFrame, size: int, window: int = WINDOW, bucket:
         out = []
         for number, at in grouped(block[row[some]]):
             own, sizes = packed_runs(row[some[at]])
-            out.append((number, ids[own].tobytes(), tags[own].tobytes(), sizes.astype("<u4").tobytes(), first[some[at]].astype("<u4").tobytes()))
-        return pa.Table.from_batches([record(out, FOUND)])
+            out.append((number, planes(ids[own]), planes(tags[own]), planes(sizes.astype("<u4")), planes(steps(first[some[at]], sizes))))
+        return pa.Table.from_batches(list(records(out, FOUND)))
 
     rows = table.filter("doc_id is not null").select("block", "doc_id", "h", "text")
     return stored(rows.mapInArrow(count, ENTRIES).groupBy("bucket").applyInArrow(settle, FOUND), "windows")
@@ -161,8 +172,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def finish(texts: pa.Table, gone: pa.Table) -> pa.Table:
         """A block's texts next to its removed windows."""
         rows, parts_ = Rows(texts["doc_id"].to_pylist(), texts["h"].to_pylist()), gone.to_pylist()
-        place = joined(parts_, "places", "<u4")
-        row = np.repeat(rows.of(joined(parts_, "ids", "<i8"), joined(parts_, "tags", "<i8")), joined(parts_, "sizes", "<u4"))
+        sizes = joined(parts_, "sizes", "<u4")
+        place = places(joined(parts_, "places", "<u4"), sizes)
+        row = np.repeat(rows.of(joined(parts_, "ids", "<i8"), joined(parts_, "tags", "<i8")), sizes)
         order = np.lexsort((place, row))
         place = place[order]
         cut, out, at = rows.slices(row, order), [], 0

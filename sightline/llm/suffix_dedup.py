@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Lookup, Rows, identified, in_blocks, joined, mix, packed_runs, parts, planes, quoted, ragged, spans, stored, unplanes, utf8
+from .common import U64, Lookup, Rows, even_keys, identified, in_blocks, joined, mix, packed_runs, parts, planes, quoted, ragged, records, released, spans, stored, unplanes, utf8
 
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
 WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
@@ -47,7 +47,6 @@ ENTRIES = "bucket int, blocks binary, ids binary, tags binary, sizes binary, pla
 HELD = "block int, kind int, bytes long, most long, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary"
 SEGMENTS = "bucket int, blocks binary, ids binary, tags binary, sizes binary, places binary, lengths binary, anchors binary, text binary"
 FOUND, KNOWN, MANY = 0, 1, 2
-TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
 def ranks(keys: np.ndarray) -> np.ndarray:
@@ -208,28 +207,23 @@ def grouped(number: np.ndarray):
         yield k, order[i:j]
 
 
-def record(rows: list[tuple], fields: str) -> pa.RecordBatch:
-    names, kinds = zip(*(f.split() for f in fields.split(", ")), strict=True)
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], TYPES[kinds[k]]) for k in range(len(names))], list(names))
-
-
 def pack(docs: tuple, row, first, n, fp) -> tuple:
     """The packed form of entries.  docs: (block,) id, tag of each row; entries of a row follow each other."""
     own, sizes = packed_runs(row)
     kinds = ("<i4", "<i8", "<i8")[3 - len(docs) :]
-    return (*(x[own].astype(t).tobytes() for x, t in zip(docs, kinds, strict=True)), sizes.astype("<u4").tobytes(), planes(first.astype("<u4")), planes(n.astype("<u4")), planes(fp.astype("<u8")) if fp is not None else b"")
+    return (*(planes(x[own].astype(t)) for x, t in zip(docs, kinds, strict=True)), planes(sizes.astype("<u4")), planes(first.astype("<u4")), planes(n.astype("<u4")), planes(fp.astype("<u8")) if fp is not None else b"")
 
 
-def entries(bucket, docs: tuple, row, first, n, fp) -> pa.RecordBatch:
+def entries(bucket, docs: tuple, row, first, n, fp):
     """Rows of ``ENTRIES``, one a bucket."""
-    return record([(k, *pack(docs, row[i], first[i], n[i], fp[i])) for k, i in grouped(bucket)], ENTRIES)
+    return records([(k, *pack(docs, row[i], first[i], n[i], fp[i])) for k, i in grouped(bucket)], ENTRIES)
 
 
 class Unpacked:
     """The entries of packed rows: (block,) id and tag of each run, and by entry its run, first, n, fp."""
 
     def __init__(self, rows: list[dict]):
-        sizes = [np.frombuffer(r["sizes"], "<u4") for r in rows]
+        sizes = [unplanes(r["sizes"], len(r["sizes"]) // 4, 4, "<u4") for r in rows]
         m = [int(x.sum()) for x in sizes]
         self.ids, self.tags = joined(rows, "ids", "<i8"), joined(rows, "tags", "<i8")
         self.blocks = joined(rows, "blocks", "<i4") if rows and "blocks" in rows[0] else np.zeros(len(self.ids), np.int32)
@@ -250,6 +244,8 @@ class Repeats:
         self.blocks, self.window, self.gram, self.bucket, self.most = blocks, window, gram, bucket, most
         #: an anchor stands for some 35 of 100 bytes
         self.buckets = max(1, math.ceil(size / ((window - gram + 2) / 2 * COUNTED)), min(parts(table.sparkSession), size >> 18))
+        #: their numbers are dealt to partitions in turn
+        self.keys = even_keys(self.buckets, parts(table.sparkSession)).astype(np.int32)
 
     def common_grams(self) -> Lookup:
         """k-grams that more than about ``most`` / 2 documents hold, by a sample of few documents in ``most``."""
@@ -257,6 +253,7 @@ class Repeats:
         rate = min(1.0, 2 * HITS / self.most)
         drawn = self.rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) < rate * (1 << 30))
 
+        @released
         def count(batches):
             for batch in batches:
                 data, off = utf8(batch.column(0))
@@ -270,8 +267,9 @@ class Repeats:
 
     def in_batches(self) -> DataFrame:
         """``ENTRIES`` of all anchors, without what its own batch settles; that has a bucket below zero."""
-        window, gram, most, buckets, common = self.window, self.gram, self.bucket, self.buckets, self.common_grams()
+        window, gram, most, buckets, keys, common = self.window, self.gram, self.bucket, self.buckets, self.keys, self.common_grams()
 
+        @released
         def find(batches):
             for batch in batches:
                 data, off = utf8(batch.column(3))
@@ -308,10 +306,10 @@ class Repeats:
                 if sum(len(g[0]) for g in gone):
                     r, f, m = (np.concatenate(x) for x in zip(*gone, strict=True))
                     by = np.lexsort((f, r))
-                    yield entries(np.full(len(r), -1 - int(fp[0] & U64(0x7FFFFFFF)), np.int32), docs, r[by], f[by], m[by], np.zeros(len(r), U64))
+                    yield from entries(np.full(len(r), -1 - int(fp[0] & U64(0x7FFFFFFF)), np.int32), docs, r[by], f[by], m[by], np.zeros(len(r), U64))
                 r, f, m, p = (np.concatenate(x) for x in zip(*left, strict=True))
                 by = np.lexsort((f, r))
-                yield entries((mix(p[by]) % U64(buckets)).astype(np.int32), docs, r[by], f[by], m[by], p[by])
+                yield from entries(keys[(mix(p[by]) % U64(buckets)).astype(np.int64)], docs, r[by], f[by], m[by], p[by])
 
         return self.rows.mapInArrow(find, ENTRIES)
 
@@ -332,16 +330,17 @@ class Repeats:
             for number, i in grouped(e.blocks[e.row[some]].astype(np.int64) * 4 + kind[some]):
                 i = some[i]
                 out.append((number // 4, number % 4, int((e.n[i] + window - 1).sum()), int(times[i].max()), *pack((e.ids, e.tags), e.row[i], e.first[i], e.n[i], e.fp[i] if number % 4 else None)))
-            return pa.Table.from_batches([record(out, HELD)])
+            return pa.Table.from_batches(list(records(out, HELD)))
 
         return stored(found.groupBy("bucket").applyInArrow(count, HELD), "held")
 
     def settled(self, held: DataFrame, parts_: int = 0) -> DataFrame:
         """``ENTRIES``: the strings of the segments ``held`` that start earlier, below bucket zero; with
         ``parts_``, an anchor's segments are settled in so many parts, and those that are left follow."""
-        window, buckets = self.window, self.buckets
+        window, buckets, keys = self.window, self.buckets, self.keys
         size = held.agg(F.sum("bytes")).first()[0] or 0
         number = max(1, math.ceil(size / self.bucket))
+        dealt = even_keys(number, parts(held.sparkSession)).astype(np.int32)
 
         def segments(texts: pa.Table, spans_: pa.Table) -> pa.Table:
             """A block's texts next to its entries: their segments, by bucket."""
@@ -349,25 +348,25 @@ class Repeats:
             data, off = utf8(texts["text"])
             start = off[rows.of(e.ids, e.tags)][e.row] + e.first
             salt = mix(e.ids.view(U64))[e.row] % U64(parts_) if parts_ else np.zeros(len(e.n), U64)
-            bucket = (mix(e.fp + salt * U64(0x9E3779B97F4A7C15)) % U64(number)).astype(np.int32)
+            bucket = dealt[(mix(e.fp + salt * U64(0x9E3779B97F4A7C15)) % U64(number)).astype(np.int64)]
             block = np.full(len(e.ids), texts["block"][0].as_py() if len(texts) else 0, np.int32)
             out = []
             for k, i in grouped(bucket):
                 out.append((k, *pack((block, e.ids, e.tags), e.row[i], e.first[i], e.n[i], e.fp[i] if parts_ else None), data[ragged(start[i], e.n[i] + window - 1)].tobytes()))
-            return pa.Table.from_batches([record(out, SEGMENTS)])
+            return pa.Table.from_batches(list(records(out, SEGMENTS)))
 
         def settle(key, group):
             rows = group.to_pylist()
             e = Unpacked(rows)
-            text = joined(rows, "text", np.uint8)
+            text = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
             ids, tags = e.ids[e.row], e.tags[e.row]
             order, flags = repeated_starts(ids, tags, e.first, e.n, text, np.append(0, np.cumsum(e.n + window - 1)), window)
             s, a, m, hit = runs(order, e.n, flags)
-            mark = np.where(hit, -1 - key[0].as_py(), (mix(e.fp[s]) % U64(buckets)).astype(np.int64)).astype(np.int32)
+            mark = np.where(hit, -1 - key[0].as_py(), keys[(mix(e.fp[s]) % U64(buckets)).astype(np.int64)]).astype(np.int32)
             some = np.arange(len(s)) if parts_ else np.flatnonzero(hit)
             some = some[np.lexsort((e.first[s][some] + a[some], e.row[s][some]))]
             s = s[some]
-            return pa.Table.from_batches([entries(mark[some], (e.blocks, e.ids, e.tags), e.row[s], e.first[s] + a[some], m[some], e.fp[s])])
+            return pa.Table.from_batches(list(entries(mark[some], (e.blocks, e.ids, e.tags), e.row[s], e.first[s] + a[some], m[some], e.fp[s])))
 
         texts = self.rows.repartition(self.blocks, "block")
         return texts.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(segments, SEGMENTS).groupBy("bucket").applyInArrow(settle, ENTRIES)
