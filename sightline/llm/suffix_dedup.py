@@ -38,7 +38,7 @@ from .common import U64, Lookup, Rows, even_keys, identified, in_blocks, joined,
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
 WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
 #: Segments of an anchor above which they are settled in parts; anchors that are counted in a task, about.
-MOST, COUNTED = 2000, 1 << 20
+MOST, COUNTED = 10_000, 1 << 20
 #: Sampled documents that hold a common k-gram, and the most common k-grams that are told apart.
 HITS, COMMON = 4, 1 << 20
 HALF = U64(0xFFFFFFFF)
