@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import identified, parts, stored
+from .common import identified, parts, released, stored
 
 #: Bytes above which a document is dealt out in parts, bytes of such a part, and of a leaf of the tree.
 LONG, PART, LEAF = 1 << 16, 1 << 14, 1 << 10
@@ -176,6 +176,7 @@ def encoded(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
         out = [(i, *coder.digests(ids), ids)[: len(names)] for i, ids in found]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(len(names))], names)
 
+    @released
     def short(batches):
         coder = Coder.of(vocabulary, leaf)
         for batch in batches:
@@ -183,6 +184,7 @@ def encoded(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
                 some = batch.slice(at, 1000)
                 yield rows((i, coder.encode(text)) for i, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True))
 
+    @released
     def split(batches):
         coder = Coder.of(vocabulary, leaf)
         named = ["doc_id", "row", "k", "kind", "piece"]
@@ -204,6 +206,7 @@ def encoded(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
         if made:
             yield flush()
 
+    @released
     def encode_parts(batches):
         coder = Coder.of(vocabulary, leaf)
         for batch in batches:

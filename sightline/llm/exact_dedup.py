@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import identified, stored, with_rows
+from .common import identified, released, stored, with_rows
 
 #: Counters of a summary and the most rows that are ever broadcast.
 COUNTERS = 1024
@@ -40,6 +40,7 @@ def shrink(counts: dict[bytes, int], k: int) -> dict[bytes, int]:
 def heavy_digests(digests: DataFrame, k: int) -> DataFrame:
     """(digest, keep_id, group_size) of at most ``k`` digests, counted exactly, that are in over 1/(k+1) of a partition's rows."""
 
+    @released
     def summary(batches):
         found = misra_gries(batches, k)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["digest", "n"])

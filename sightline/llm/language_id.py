@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import Lookup, bounded_batches, held_out, identified, quoted, spans, utf8
+from .common import Lookup, bounded_batches, held_out, identified, quoted, released, spans, utf8
 
 ORDER = 3
 #: Expected labelled texts that are learned from, of a language, at least of any, and of all; the most
@@ -48,6 +48,7 @@ def fit(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE_DOCS, tota
     most = spark.createDataFrame([(r["lang"], max(r["least"], each / r["n"])) for r in sizes], "lang string, most double")
     chosen = rows.join(F.broadcast(most) if len(sizes) <= BROADCAST else most, "lang").filter("draw <= most").select("lang", F.explode(pieces("text")).alias("text"))
 
+    @released
     def count(batches):
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -104,8 +105,11 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Whether each row has a character that Unicode calls a letter."""
-    sums = np.concatenate([[0], np.cumsum(_LETTER[data])])
-    out = sums[off[1:]] > sums[off[:-1]]
+    out = np.zeros(len(off) - 1, bool)
+    for i, j in spans(off):
+        at = off[i : j + 1] - off[i]
+        sums = np.concatenate([[0], np.cumsum(_LETTER[data[off[i] : off[j]]], dtype=np.int32)])
+        out[i:j] = sums[at[1:]] > sums[at[:-1]]
     for i in np.flatnonzero(~out):
         out[i] = any(c.isalpha() for c in data[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace"))
     return out
@@ -130,6 +134,7 @@ def language_id(docs: DataFrame, models: dict[str, ppm.Model], id_col: str = "do
     all if there is no model.  Ties go to the language that sorts first."""
     scorer = Scorer(models)
 
+    @released
     def predict(batches):
         for batch in batches:
             lang, score = predictions(scorer, batch.column(1))
@@ -158,6 +163,7 @@ def with_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
     plain = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)])
     at = names.index(text_col)
 
+    @released
     def keep(batches):
         for batch in batches:
             if scorer.names:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import identified, stored
+from .common import identified, released, stored
 from .word_bpe import WordCoder
 
 #: Tokens of a window, and the id that ends a document.
@@ -98,6 +98,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
     with open(vocabulary_path, encoding="utf-8") as f:
         spec = f.read()
 
+    @released
     def cut(batches):
         coder = WordCoder.of(spec)
         for batch in batches:
@@ -120,6 +121,7 @@ def numbered(table: DataFrame, key: str) -> DataFrame:
     counts by partition and key says.  No task holds the rows of a key."""
     schema = T.StructType([*table.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("inner", T.LongType())])
 
+    @released
     def count(batches):
         from pyspark import TaskContext
 
@@ -154,6 +156,7 @@ def pack(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col
         runs.sort()
         by_length[length] = tuple(np.array([r[k] for r in runs], np.int64) for k in range(3))
 
+    @released
     def place(batches):
         for batch in batches:
             length, nth = (batch.column(k).to_numpy() for k in ("length", "nth"))

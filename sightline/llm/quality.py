@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, held_out, identified, mix, prefix, rolled, spans, utf8, words
+from .common import U64, held_out, identified, mix, prefix, released, rolled, spans, utf8, words
 
 PASSAGE = 32
 #: Expected labelled documents that are learned from, the most passages of each (spread evenly over it), and passes over them.
@@ -155,6 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     def some(a: int, b: int) -> np.ndarray:
         return np.unique(np.linspace(a, b - 1, min(b - a, SAMPLE_PASSAGES)).round().astype(np.int64))
 
+    @released
     def encode(batches):
         for batch in batches:
             data, off = utf8(batch.column(2))
@@ -178,6 +179,7 @@ def quality(docs: DataFrame, model: AttentionMIL | None, id_col: str = "doc_id",
     """One row for each input row: doc_id, score, predicted.  Null and empty texts are one empty passage.
     Without a model every score is 0.5."""
 
+    @released
     def score(batches):
         for batch in batches:
             data, off = utf8(batch.column(1))

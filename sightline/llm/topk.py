@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts, quoted, stored
+from .common import parts, quoted, released, stored
 
 #: Lists that a score is the sum of, results a query, rows of a vector block and of a query block, and
 #: vector blocks of which the first phase reads one.
@@ -41,6 +41,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
 def packed(rows: DataFrame, size: int) -> DataFrame:
     """(dims, ids, data) blocks of at most ``size`` rows of one length, packed where they are."""
 
+    @released
     def pack(batches):
         for batch in batches:
             lists = batch.column(1)
@@ -121,6 +122,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         q = q.withColumnsRenamed({"ids": "q_ids", "data": "q_data"}).withColumn("column", F.pmod(F.xxhash64("q"), F.lit(columns)).cast("int")).withColumn("line", every(lines))
         return q.join(v, ["dims", "line", "column"])
 
+    @released
     def first(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -138,6 +140,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                 keep = best_of_each(i, score, tile.own[j], k)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), row["q"])), pa.array(i[keep].astype(np.int32)), pa.array(score[keep])], ["q", "i", "score"])
 
+    @released
     def collect(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -162,6 +165,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     nth = F.row_number().over(Window.partitionBy("q", "i").orderBy(F.desc("score")))
     cuts = near.withColumn("nth", nth).filter(F.col("nth") <= k).filter(F.col("nth") == k).select("q", "i", F.col("score").alias("cut"))
 
+    @released
     def table(batches):
         for batch in batches:
             for row in batch.to_pylist():
