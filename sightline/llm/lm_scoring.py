@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .common import BLOCK, U64, Lookup, held_out, identified, in_blocks, spans, stored, utf8
+from .common import BLOCK, U64, Lookup, held_out, identified, in_blocks, released, spans, stored, utf8
 
 ORDER = 4
 WORD, GRAM = 0, 1
@@ -100,6 +100,7 @@ def corpus_counts(rows: DataFrame, order: int) -> DataFrame:
     """(kind, key, word, n): training counts of all words and grams; grams of other texts have n = 0.
     rows: train (boolean), text."""
 
+    @released
     def count(batches):
         gram, words = Tally(), {}
         for batch in batches:
@@ -172,6 +173,7 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     values = known.unionByName(costs.select(F.lit(GRAM).cast("byte").alias("kind"), "key", F.lit(b"").alias("word"), "value"))
     dealt = numbered.select("block", "doc_id", "text").repartition(blocks, "block")
 
+    @released
     def wanted(batches):
         tallies: dict[int, tuple[Tally, dict]] = {}
         for batch in batches:
@@ -191,7 +193,7 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
         kind, key, value = (found[k].to_numpy() for k in ("kind", "key", "value"))
         own = np.flatnonzero(kind == GRAM)
         own = own[np.argsort(key[own].view(U64))]
-        grams, cost = Lookup(key[own].view(U64)), value[own]
+        grams, cost = Lookup(key[own].view(U64), 8), value[own]
         own = np.flatnonzero(kind == WORD)
         counted = dict(zip(found["word"].take(pa.array(own)).to_pylist(), value[own].tolist(), strict=True))
         rows = []

@@ -44,7 +44,7 @@ def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Distinct keys, sorted, and the sums of their counts."""
     if not len(keys):
         return keys.astype(U64), counts.astype(np.int64)
-    place = np.argsort(keys, kind="stable")
+    place = np.argsort(keys)
     keys = keys[place]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(counts[place].astype(np.int64), first)
