@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 
 def _star(links: DataFrame, small: bool) -> DataFrame:
@@ -17,18 +17,18 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
     moved = near.filter("v > m" if small else "v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     # the node itself stays reachable through its least neighbour
     moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.filter("u > v").distinct()
+    out = stored(moved.filter("u > v").distinct(), "star")
+    forget(least, links)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component.  links: (a, b) in any order; nodes
-    without a link don't appear.  Every round is written, so a lost executor repeats one round; the
-    rounds grow with the logarithm of the nodes."""
-    links = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    links, before = stored(links, "links"), None
+    without a link don't appear.  Every round is written, so a lost executor repeats one round, and the
+    round before is deleted; the rounds grow with the logarithm of the nodes."""
+    links, before = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"), None
     while True:
-        large = stored(_star(links, small=False), "large")
-        links = stored(_star(large, small=True), "small")
+        links = _star(_star(links, small=False), small=True)
         # equal sums over the links of two rounds: nothing moved
         now = tuple(links.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
         if now == before:

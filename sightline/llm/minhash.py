@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, identified, mix, prefix, ragged, rolled, spans, stored, utf8, with_rows, words
+from .common import U64, forget, identified, mix, prefix, ragged, released, rolled, spans, stored, utf8, with_rows, words
 from .components import components
 
 #: Words of a shingle, least similarity of a link, bands, and registers of a band.
@@ -149,6 +149,7 @@ def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
     """(a, b): every pair of different labels that may be ``similar``.  lists: (doc_id, label, list)."""
     rate = min(1.0, ORDER_DOCS / max(1, lists.count()))
 
+    @released
     def tokens(batches):
         for batch in batches:
             values = [read(x.as_py())[0] for x in batch.column(0)]
@@ -164,6 +165,7 @@ def open_pairs(lists: DataFrame, similar: float) -> DataFrame:
     bits = [f"p{i}" for i in range(PARITY)]
     columns = ["doc_id", "label", "rest", "share", "n", "total", *bits]
 
+    @released
     def prefixes(batches):
         for batch in batches:
             rows, values, rests, shares, sizes, sums, odd = [], [], [], [], [], [], []
@@ -214,6 +216,7 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
     pairs = stored(pairs.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct(), "pairs")
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
 
+    @released
     def lists(batches):
         for batch in batches:
             data, off = utf8(batch.column(1))
@@ -225,6 +228,7 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
 
     known = stored(docs.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lists, "doc_id long, list binary"), "lists")
 
+    @released
     def verify(batches):
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -238,12 +242,15 @@ def near_links(docs: DataFrame, reps: DataFrame, size: int, similar: float) -> D
 
     links = verified(pairs)
     # a bucket of two is compared in full; one of more is settled if its members are in one component
-    labels = stored(components(links).withColumnRenamed("node", "doc_id"), "labels")
+    linked = components(links)
+    labels = stored(linked.withColumnRenamed("node", "doc_id"), "labels")
     named = met.filter("n > 2").join(labels, "doc_id", "left").select("band", "doc_id", F.coalesce("label", "doc_id").alias("label"))
     unsettled = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band")
     left = stored(named.join(unsettled, "band", "left_semi").select("doc_id", "label").distinct(), "left")
-    more = open_pairs(known.join(left, "doc_id"), similar)
-    return links.unionByName(verified(more.join(pairs, ["a", "b"], "left_anti")))
+    lists_ = stored(known.join(left, "doc_id"), "open")
+    more = verified(open_pairs(lists_, similar).join(pairs, ["a", "b"], "left_anti"))
+    forget(met, pairs, needed, known, labels, left, lists_)
+    return links.unionByName(more)
 
 
 def near_groups(docs: DataFrame, id_col: str, text_col: str, size: int, similar: float, n_bands: int, rows: int) -> DataFrame:
@@ -251,6 +258,7 @@ def near_groups(docs: DataFrame, id_col: str, text_col: str, size: int, similar:
     table = identified(docs, id_col, text_col)
     registers = n_bands * rows
 
+    @released
     def sign(batches):
         for batch in batches:
             data, off = utf8(batch.column(2))
