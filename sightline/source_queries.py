@@ -11,10 +11,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import text as T
 from .functions import urls as U
 from .functions import vocabulary as V
-from .operators import dedup, html, records, scoring
+from .operators import dedup, html, records
 from .plans import classify, discover, extract
 from .queries import CONTEXT, EVENTS, FULL_SQL, LINKS_SQL, RULES, any_sql, clean_sql, detail_sql, entity_sql, hits_sql, host_sql, key_sql, lit, query, rx, site_snapshots, squeeze_sql
 from .session import kept, shared_dir, spread, table
@@ -68,7 +67,7 @@ def csv_encodings(spark, sf):
 
 @query("SELECT CAST(row_number() OVER (ORDER BY r_regionkey) AS INTEGER) AS position, r_name AS value FROM region")
 def bullets(spark, sf):
-    names = [r[0] for r in table(spark, sf, "region").orderBy("r_regionkey").collect() for r in [(r["r_name"],)]]
+    names = [r["r_name"] for r in table(spark, sf, "region").orderBy("r_regionkey").collect()]
     at = f"{scratch(spark, 'bullets')}/list.md"
     files.put(spark, at, ("# Regions\n\n" + "".join(f"  {'-*'[i % 2]}  {n}  \r\ntext - {n}\n" for i, n in enumerate(names + names[:2]))).encode())
     return files.read_bullets(spark, at, "region")

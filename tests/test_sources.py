@@ -4,8 +4,6 @@ import subprocess
 import sys
 from pathlib import Path
 
-from pyspark.sql import functions as F
-
 from sightline.__main__ import options, run
 from sightline.sources import files, pages, search
 
