@@ -20,7 +20,6 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import LOW31, OTHER, POWERS, U64, Rows, even_keys, identified, in_blocks, joined, packed_runs, parts, planes, prefix, ragged, records, released, rolled, spans, stored, unplanes, utf8, words
 
