@@ -7,6 +7,7 @@ is not repeatable: write the snapshot once and let every pipeline read that tabl
 
 from __future__ import annotations
 
+import heapq
 import re
 import time
 from collections.abc import Callable
@@ -17,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SNAPSHOT
-from .search import retried
 
 NAMES = [f.split()[0] for f in SNAPSHOT.split(", ")]
 SAFE_PATH = "/:@!$&'()*+,;="
+#: Seconds before a second try; twice as many before a third (fixed value).
+BACKOFF = 0.25
 
 
 def charset(content_type: str) -> str:
@@ -43,46 +45,76 @@ def quoted_path(url: str) -> str:
     return urlunsplit(parts._replace(path=quote(parts.path, safe=SAFE_PATH)))
 
 
-def fetch_one(url: str, get: Callable, seconds: float, most_bytes: int | None, tries: int) -> tuple:
-    """A snapshot row; server errors that carry a code are not tried again."""
+class Again(Exception):
+    """A try that failed and may be made again; its cause says why."""
+
+
+def fetch_one(url: str, get: Callable, seconds: float, most_bytes: int | None) -> tuple:
+    """A snapshot row from one try; server errors that carry a code are rows, others raise ``Again``."""
+    try:
+        final, status, kind, body = get(quoted_path(url), seconds)
+    except Exception as e:  # noqa: BLE001
+        if not hasattr(e, "code"):
+            raise Again from e
+        return url, getattr(e, "url", url) or url, "http_error", str(e.code), "", "", str(getattr(e, "reason", e))[:240]
     try:
-        failed: list[BaseException] = []
-
-        def call():
-            try:
-                return get(quoted_path(url), seconds)
-            except Exception as e:  # noqa: BLE001
-                if hasattr(e, "code"):
-                    failed.append(e)
-                    return None
-                raise
-
-        got = retried(call, tries)
-        if got is None:
-            e = failed[0]
-            return url, getattr(e, "url", url) or url, "http_error", str(e.code), "", "", str(getattr(e, "reason", e))[:240]
-        final, status, kind, body = got
         return url, final or url, "ok", str(status), kind or "", page_text(body[:most_bytes], kind), ""
     except Exception as e:  # noqa: BLE001  a page that fails is a record, not a failed job
-        return url, "", "error", "", "", "", f"{type(e).__name__}: {e}"[:240]
+        return failed(url, e)
+
+
+def failed(url: str, e: BaseException) -> tuple:
+    return url, "", "error", "", "", "", f"{type(e).__name__}: {e}"[:240]
 
 
 def fetch_pages(urls: DataFrame, get: Callable, partitions: int, column: str = "url", seconds: float = 8.0, most_bytes: int | None = 700_000, tries: int = 2, budget: float | None = None, pause: float = 0.0) -> DataFrame:
     """A snapshot of the distinct URLs.  Hosts are spread over ``partitions`` tasks; a task that has used
-    its ``budget`` of seconds gives error rows for the rest of a batch."""
+    its ``budget`` of seconds gives error rows for the rest.
+
+    A URL that fails is tried again after a growing pause, in which the task goes on with others: it
+    waits only where nothing else is left."""
     wanted = urls.select(F.col(column).alias("url")).filter("url <> ''").distinct().repartition(partitions, "url")
 
     def fetch(batches):
         began = time.monotonic()
-        for batch in batches:
-            out = []
-            for url in batch.column(0).to_pylist():
-                if budget is not None and time.monotonic() - began > max(1.0, budget):
-                    out.append((url, "", "error", "", "", "", f"TimeoutError: over {budget:.0f} s"))
-                    continue
-                out.append(fetch_one(url, get, seconds, most_bytes, tries))
+        fresh = (url for batch in batches for url in batch.column(0).to_pylist())
+        # tries that failed, by when they are due: (due, tries made, url, error)
+        waiting: list[tuple] = []
+        out, held = [], 0
+        while True:
+            if waiting and waiting[0][0] <= time.monotonic():
+                _, made, url, error = heapq.heappop(waiting)
+            elif (url := next(fresh, None)) is not None:
+                made, error = 0, None
+            elif waiting:
+                time.sleep(max(0.0, waiting[0][0] - time.monotonic()))
+                continue
+            else:
+                break
+            if budget is not None and time.monotonic() - began > max(1.0, budget):
+                row = failed(url, error or TimeoutError(f"over {budget:.0f} s"))
+            else:
+                try:
+                    row = fetch_one(url, get, seconds, most_bytes)
+                except Again as e:
+                    row = failed(url, e.__cause__)
+                    if made + 1 < tries:
+                        # URLs are distinct, so errors are never compared
+                        heapq.heappush(waiting, (time.monotonic() + BACKOFF * (made + 1), made + 1, url, e.__cause__))
+                        row = None
                 if pause:
                     time.sleep(pause)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.string()) for i in range(len(NAMES))], NAMES)
+            if row:
+                out.append(row)
+                held += len(row[5])
+            if len(out) >= 1000 or held > 8 << 20:
+                yield _rows(out)
+                out, held = [], 0
+        if out:
+            yield _rows(out)
 
     return wanted.mapInArrow(fetch, SNAPSHOT)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(len(NAMES))], NAMES)

@@ -2,6 +2,7 @@
 
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 from sightline.__main__ import options, run
@@ -26,6 +27,23 @@ def test_fetch_pages(spark):
     assert len(late) == 4 and any(r.error.startswith("TimeoutError") for r in late)
 
 
+def test_fetch_pages_waits_for_all_at_once(spark):
+    """A second try is made after a pause, and other URLs are fetched meanwhile."""
+    made: dict[str, list[float]] = {}
+
+    def get(url, seconds):
+        made.setdefault(url, []).append(time.monotonic())
+        if url.endswith("/7") and len(made[url]) == 2:
+            return url, 200, "", b"at last"
+        raise OSError(" ".join(f"{t:.3f}" for t in made[url]))
+
+    rows = pages.fetch_pages(spark.range(40).selectExpr("concat('https://x/', id) as url"), get, 1).collect()
+    assert len(rows) == 40 and [(r.url, r.text) for r in rows if r.status == "ok"] == [("https://x/7", "at last")]
+    tries = [[float(t) for t in r.error.removeprefix("OSError: ").split()] for r in rows if r.status == "error"]
+    assert len(tries) == 39 and all(len(t) == 2 and t[1] - t[0] >= 0.24 for t in tries)
+    assert max(t[1] for t in tries) - min(t[0] for t in tries) < 5
+
+
 def test_place_search(spark):
     spark.dataSource.register(search.search_source(lambda q, n, s: [{"title": q, "address": "A B구 C", "mapx": 1}], ["q"], name="places", fields=search.PLACE_FIELDS))
     r = spark.read.format("places").load().first()
