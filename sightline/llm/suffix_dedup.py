@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Lookup, Rows, even_keys, identified, in_blocks, joined, mix, packed_runs, parts, planes, quoted, ragged, records, released, spans, stored, unplanes, utf8
+from .common import U64, Lookup, Rows, even_keys, identified, in_blocks, joined, mix, packed_runs, parts, planes, quoted, ragged, records, released, returned, spans, stored, unplanes, utf8
 
 #: Bytes of a repeated string, of the k-grams that route it, and of text in a bucket.
 WINDOW, GRAM, BUCKET = 100, 32, 1 << 20
@@ -317,6 +317,7 @@ class Repeats:
         """``HELD`` rows of ``ENTRIES``, packed by block: found ones, and those of anchors with several segments."""
         window, most = self.window, self.most
 
+        @returned
         def count(key, group):
             e = Unpacked(group.to_pylist())
             if key[0].as_py() < 0:
@@ -342,6 +343,7 @@ class Repeats:
         number = max(1, math.ceil(size / self.bucket))
         dealt = even_keys(number, parts(held.sparkSession)).astype(np.int32)
 
+        @returned
         def segments(texts: pa.Table, spans_: pa.Table) -> pa.Table:
             """A block's texts next to its entries: their segments, by bucket."""
             e, rows = Unpacked(spans_.to_pylist()), Rows(texts["doc_id"].to_pylist(), texts["t"].to_pylist())
@@ -355,6 +357,7 @@ class Repeats:
                 out.append((k, *pack((block, e.ids, e.tags), e.row[i], e.first[i], e.n[i], e.fp[i] if parts_ else None), data[ragged(start[i], e.n[i] + window - 1)].tobytes()))
             return pa.Table.from_batches(list(records(out, SEGMENTS)))
 
+        @returned
         def settle(key, group):
             rows = group.to_pylist()
             e = Unpacked(rows)
@@ -412,6 +415,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = Repeats(table, blocks, size, window, gram, bucket, most).found()
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "rest"][: 7 + carry]
 
+    @returned
     def finish(texts: pa.Table, spans_: pa.Table) -> pa.Table:
         """A block's texts next to the strings that go."""
         rows, e = Rows(texts["doc_id"].to_pylist(), texts["h"].to_pylist()), Unpacked(spans_.to_pylist())

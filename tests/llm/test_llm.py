@@ -709,3 +709,28 @@ def test_against_sql(spark, sf):
         columns = sorted(a.columns)
         assert columns == sorted(b.columns) and [str(a[c].dtype) for c in columns] == [str(b[c].dtype) for c in columns]
         assert sorted(map(tuple, a[columns].astype(str).values.tolist())) == sorted(map(tuple, b[columns].astype(str).values.tolist())), name
+
+
+def test_memory_goes_back_after_each_group(monkeypatch):
+    """A worker settles many groups in a task: what one group took is not kept for the next."""
+    import inspect
+
+    from sightline.llm import common
+
+    freed = []
+    monkeypatch.setattr(common, "release", lambda: freed.append(True))
+
+    def settle(key, group):
+        assert not freed
+        return key + group
+
+    def broken(key, group):
+        raise ValueError
+
+    f = common.returned(settle)
+    # Spark tells (group) from (key, group) by the number of parameters
+    assert len(inspect.getfullargspec(f).args) == 2 and f(1, 2) == 3 and freed == [True]
+    with pytest.raises(ValueError):
+        common.returned(broken)(1, 2)
+    assert freed == [True, True]
+    assert inspect.getsource(suffix_dedup).count("@returned") == inspect.getsource(suffix_dedup).count(".applyInArrow(") == 4
